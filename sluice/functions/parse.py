@@ -20,39 +20,47 @@ DATE_LAYOUTS = {
 }
 
 
+def _date_pattern(layout: str) -> tuple[str, str]:
+    """Regex matching every text (lenient prefix or anything else) and its replacement.
+
+    A text that starts like the layout becomes ``y-M-d`` (leading zeros dropped, year of
+    1–4 significant digits); any other text matches the catch-all branch, whose groups
+    are empty, and becomes ``--``, which no parser accepts.
+    """
+    sep, order = DATE_LAYOUTS[layout]
+    group = {"y": r"0*([1-9]\d{0,3})", "M": r"0*(\d+)", "d": r"0*(\d+)"}
+    body = rf"\s*{group[order[0]]}{sep}\s*{group[order[1]]}{sep}\s*{group[order[2]]}"
+    if order[-1] == "y":
+        body += r"(?!\d)"  # a fifth year digit makes the text invalid
+    at = {name: i + 1 for i, name in enumerate(order)}
+    return rf"(?s)^(?:{body}.*|.*)$", f"${at['y']}-${at['M']}-${at['d']}"
+
+
 def parse_date(text: Column, layout: str) -> Column:
     """Date from text in ``layout``, accepting what a lenient prefix parser accepts.
 
     Three digit groups are taken from the start of the text (blanks allowed before each
     group, anything allowed after the last), the year loses its leading zeros and must
-    have 1–4 digits, and the calendar check is left to ``try_to_date`` on a zero-padded
-    ISO string, so ``31.02.2018`` is NULL while ``2018-01-01abc`` is 2018-01-01.
+    have 1–4 digits, and the calendar check is left to ``try_to_date``, so
+    ``31.02.2018`` is NULL while ``2018-01-01abc`` is 2018-01-01. One regex pass and
+    one parse per value.
     """
-    sep, order = DATE_LAYOUTS[layout]
-    pattern = rf"^\s*(\d+){sep}\s*(\d+){sep}\s*(\d+)"
-    part = {name: F.regexp_extract(text, pattern, i + 1) for i, name in enumerate(order)}
-    year = F.regexp_replace(part["y"], "^0+", "")
-    month = part["M"].try_cast("int")
-    day = part["d"].try_cast("int")
-    iso = F.format_string("%s-%02d-%02d", F.lpad(year, 4, "0"), month, day)
-    ok = (F.length(year).between(1, 4)) & month.isNotNull() & day.isNotNull()
-    return F.when(ok, F.try_to_date(iso, "yyyy-MM-dd"))
+    pattern, replacement = _date_pattern(layout)
+    return F.try_to_date(F.regexp_replace(text, pattern, replacement), "y-M-d")
 
 
 def parse_integral(text: Column, type_name: str = "int") -> Column:
     """``int``/``bigint`` from text; decimal text truncates (``'12.7'`` → 12, ``'.5'`` → 0).
 
     Anything else that is not a plain (optionally signed, blank-padded) integer in range
-    is NULL: ``'1e3'``, ``'abc'``, ``''``, overflow.
+    is NULL: ``'1e3'``, ``'abc'``, ``''``, overflow. Plain integers take the cast alone;
+    the regexes only run for the rest.
     """
     t = F.regexp_replace(text, r"^\s+|\s+$", "")
     decimal_like = t.rlike(r"^[+-]?\d*\.\d*$") & t.rlike(r"\d|^\.$")
     whole = F.regexp_extract(t, r"^([+-]?\d+)", 1).try_cast(type_name)
-    return (
-        F.when(decimal_like & t.rlike(r"^[+-]?\."), F.lit(0).cast(type_name))
-        .when(decimal_like, whole)
-        .otherwise(text.try_cast(type_name))
-    )
+    slow = F.when(decimal_like & t.rlike(r"^[+-]?\."), F.lit(0).cast(type_name)).when(decimal_like, whole)
+    return F.coalesce(text.try_cast(type_name), slow)
 
 
 def parse_double(text: Column) -> Column:

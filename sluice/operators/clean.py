@@ -52,9 +52,16 @@ def align(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def accepted(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Typed, filtered and defaulted rows, before duplicate removal."""
-    return apply_defaults(required_filter(typed(raw, spec), spec), spec)
+def accepted(raw: DataFrame, spec: TableSpec, counted: Optional[Observation] = None) -> DataFrame:
+    """Typed, filtered and defaulted rows, before duplicate removal.
+
+    The typed rows are counted (``counted``) before the filter. The count also keeps
+    Catalyst from pushing the filter below the projection, which would inline — and so
+    evaluate twice — every parse expression the filter tests.
+    """
+    counted = counted or Observation()
+    rows = typed(raw, spec).observe(counted, F.count(F.lit(1)).alias("rows"))
+    return apply_defaults(required_filter(rows, spec), spec)
 
 
 def transform(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -105,8 +112,7 @@ def accepted_observed(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, Count
     a result task, which Spark applies exactly once even when tasks are retried.
     """
     obs_in, obs_ok = Observation(), Observation()
-    df = apply_defaults(required_filter(typed(_count(obs_in, raw), spec), spec), spec)
-    return _count(obs_ok, df), Counters(spec.name, obs_in, obs_ok)
+    return _count(obs_ok, accepted(raw, spec, obs_in)), Counters(spec.name, obs_in, obs_ok)
 
 
 def transform_observed(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, Counters]:

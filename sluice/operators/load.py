@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.checks import key_summary
 from sluice.spec import TableSpec
 
 # Above this many touched partitions the pruning list becomes a semi join on a range.
@@ -47,16 +46,25 @@ def target_schema(spec: TableSpec) -> T.StructType:
     return schema
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its file system (local, HDFS, object store)?"""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:  # no JVM handle (e.g. Spark Connect): let the reader decide
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
+
+
 def read_target(spark: SparkSession, spec: TableSpec, path: str) -> Optional[DataFrame]:
     """The target with its declared schema, or ``None`` if it was never written."""
-    try:
-        df = spark.read.schema(target_schema(spec)).parquet(path)
-        df.schema  # resolve now: an absent path fails here, not in a later job
-        return df
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return None
-        raise
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(target_schema(spec)).parquet(path)
 
 
 def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
@@ -72,10 +80,10 @@ def _write_partitioned(df: DataFrame, spec: TableSpec, path: str, *, dynamic: bo
     if not part:
         df.write.mode("overwrite").parquet(path)
         return
-    # Range-partition on (partition, key): each task writes one or two partitions
-    # (few files), and a hot partition is still split across tasks by key range.
-    order = [F.col(c) for c in (spec.primary_key or spec.columns)]
-    writer = df.repartitionByRange(F.col(part), *order).write.mode("overwrite")
+    # Rebalance on the partition column: rows of one partition meet in few tasks (few
+    # files), while AQE splits a hot partition into advisory-sized tasks and merges
+    # small ones. Unlike a range repartition, no sampling job re-evaluates the input.
+    writer = df.hint("rebalance", part).write.mode("overwrite")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(part).parquet(path)
@@ -96,19 +104,42 @@ def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) ->
     return {"table": spec.name, "status": "overwritten", "rows_loaded": int(loaded)}
 
 
-def touched_partitions(batch: DataFrame, spec: TableSpec) -> tuple[int, object, object, list]:
-    """(count, min, max, values) of the batch's partition values.
+def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) -> dict:
+    """Keys, conflicting keys and touched partitions of a batch, in one job.
 
-    One aggregate row first; the value list is only collected when it is short
-    (at most ``MAX_PARTITION_LIST`` values), so the driver never receives more.
+    Per key (partial aggregation, so a hot key collapses map-side): does it hold more
+    than one row (or, for ``distinct_rows``, more than one *different* row)? Then per
+    partition value of the key's date: keys and conflicts. At most
+    ``MAX_PARTITION_LIST + 1`` partition rows reach the driver; beyond that, totals
+    and the range come from one more aggregate and the partition list stays on the
+    executors.
     """
+    pk = list(spec.primary_key)
     part = partition_column(spec)
-    values = batch.select(partition_value(spec).alias(part)).distinct()
-    stats = values.agg(F.count(F.lit(1)).alias("n"), F.min(part).alias("lo"), F.max(part).alias("hi")).first()
-    listed = []
-    if 0 < stats["n"] <= MAX_PARTITION_LIST:
-        listed = sorted(r[0] for r in values.collect())
-    return int(stats["n"]), stats["lo"], stats["hi"], listed
+    rest = F.struct(*[F.col(c) for c in batch.columns if c not in pk])
+    if distinct_rows:
+        per_key = batch.groupBy(*pk).agg((~F.min(rest).eqNullSafe(F.max(rest))).alias("conflict"))
+    else:
+        per_key = batch.groupBy(*pk).agg((F.count(F.lit(1)) > 1).alias("conflict"))
+    per_part = per_key.groupBy(partition_value(spec).alias(part)).agg(
+        F.count(F.lit(1)).alias("keys"), F.sum(F.col("conflict").cast("long")).alias("conflicts")
+    )
+    rows = per_part.limit(MAX_PARTITION_LIST + 1).collect()
+    if len(rows) <= MAX_PARTITION_LIST:
+        return {
+            "keys": sum(r["keys"] for r in rows),
+            "conflicts": sum(r["conflicts"] for r in rows),
+            "partitions": sorted(r[part] for r in rows),
+            "lo": None,
+            "hi": None,
+            "n_partitions": len(rows),
+        }
+    t = per_part.agg(
+        F.sum("keys").alias("keys"), F.sum("conflicts").alias("conflicts"),
+        F.min(part).alias("lo"), F.max(part).alias("hi"), F.count(F.lit(1)).alias("n"),
+    ).first()
+    return {"keys": int(t["keys"]), "conflicts": int(t["conflicts"]), "partitions": None,
+            "lo": t["lo"], "hi": t["hi"], "n_partitions": int(t["n"])}
 
 
 def upsert(
@@ -121,43 +152,44 @@ def upsert(
 ) -> dict:
     """Merge ``batch`` (spec columns, ideally read from staging) into the target at ``path``.
 
-    1. Key check (N2): one job over the batch; any key with two different rows (or two
-       rows at all for a spec without distinct) refuses the batch.
-    2. Touched partitions: distinct partition values of the batch.
-    3. ``touched ▷ batch keys ∪ batch``, written with dynamic partition overwrite, so
-       untouched partitions are neither read nor rewritten.
+    1. One summary job: key check (N2) — any key with two different rows (or two rows
+       at all for a spec without distinct) refuses the batch before anything is
+       written — plus the partitions the batch touches.
+    2. ``touched ▷ batch keys ∪ batch``, written with dynamic partition overwrite, so
+       untouched partitions are neither read nor rewritten. The join strategy is left
+       to Catalyst/AQE (a small batch is broadcast after its size is measured).
     """
     if spec.mode != "upsert":
         raise ValueError(f"{spec.name} is not an upsert table")
+    part = partition_column(spec)
+    if part is None:
+        raise ValueError(f"{spec.name}: an upsert target needs partition_date")
     pk = list(spec.primary_key)
     batch = batch.select(*spec.columns)
-    summary = key_summary(batch, spec, distinct_rows=not batch_is_distinct and spec.distinct)
+    summary = batch_summary(batch, spec, distinct_rows=not batch_is_distinct and spec.distinct)
     if summary["conflicts"]:
         raise KeyConflictError(
             f"{spec.name}: {summary['conflicts']} key(s) of {tuple(pk)} occur more than once in the batch"
         )
+    result = {"table": spec.name, "status": "upserted", "rows_batch": summary["keys"],
+              "partitions": summary["n_partitions"]}
     if summary["keys"] == 0:
-        return {"table": spec.name, "status": "empty batch", "rows_batch": 0, "partitions": 0}
+        return {**result, "status": "empty batch"}
     if spec.distinct and not batch_is_distinct:
         # No key conflicts: removing duplicate keys is removing duplicate rows.
         batch = batch.dropDuplicates(pk)
+    new_rows = batch.withColumn(part, partition_value(spec))
 
-    part = partition_column(spec)
     existing = read_target(spark, spec, path)
-    if part is None:
-        raise ValueError(f"{spec.name}: an upsert target needs partition_date")
-    new_rows = batch.withColumn(part, partition_value(spec))
     if existing is None:
         _write_partitioned(new_rows, spec, path)
-        return {"table": spec.name, "status": "upserted", "rows_batch": summary["keys"], "partitions": None}
-
-    n_parts, lo, hi, parts = touched_partitions(batch, spec)
-    if parts:
-        touched = existing.filter(F.col(part).isin(parts))  # static PartitionFilters
+        return result
+    if summary["partitions"] is not None:
+        touched = existing.filter(F.col(part).isin(summary["partitions"]))  # static PartitionFilters
     else:
         wanted = new_rows.select(part).distinct()
-        touched = existing.filter(F.col(part).between(lo, hi)).join(wanted, part, "left_semi")
+        touched = existing.filter(F.col(part).between(summary["lo"], summary["hi"])).join(wanted, part, "left_semi")
     kept = touched.join(batch.select(*pk), pk, "left_anti")
     merged = kept.select(*spec.columns, part).unionByName(new_rows.select(*spec.columns, part))
     _write_partitioned(merged, spec, path)
-    return {"table": spec.name, "status": "upserted", "rows_batch": summary["keys"], "partitions": n_parts}
+    return result

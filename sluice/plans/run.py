@@ -30,7 +30,7 @@ def stage_accepted(spark: SparkSession, spec: TableSpec, source: str, stage_dir:
     raw = read_feed(spark, spec, source)
     rows, counters = accepted_observed(raw, spec)
     rows.write.mode("overwrite").parquet(f"{stage_dir}/accepted")
-    staged = spark.read.parquet(f"{stage_dir}/accepted")
+    staged = spark.read.schema(rows.schema).parquet(f"{stage_dir}/accepted")
     return align(staged, spec), counters.get()
 
 
