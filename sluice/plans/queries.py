@@ -519,10 +519,10 @@ def overwrite_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- L1–L6, F8, C22: journal ---------------------------------------------------------------
-# Journal events from the event stream: a user is a run; signup starts it, a purchase
-# finishes it with success, an error finishes it with failure.
+# Journal events from the event stream: a user's day is a run; signup starts it, a
+# purchase finishes it with success, an error finishes it with failure.
 _JOURNAL_EVENTS_SPARK = """
-SELECT cast(user_id AS string) AS run_id, ts AS at,
+SELECT concat(user_id, '/', cast(cast(ts AS date) AS string)) AS run_id, ts AS at,
   CASE event_type WHEN 'signup' THEN 'Started' WHEN 'purchase' THEN 'Success' ELSE 'Failed' END AS event,
   CASE WHEN event_type = 'error' THEN concat('error in ', props) END AS error_message,
   props AS extra
@@ -530,7 +530,7 @@ FROM {src} WHERE event_type IN ('signup', 'purchase', 'error')"""
 
 _JOURNAL_FOLD_ORACLE = """
 WITH e AS (
-  SELECT CAST(user_id AS VARCHAR) AS run_id, ts AS evt_at,
+  SELECT CAST(user_id AS VARCHAR) || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, ts AS evt_at,
     CASE event_type WHEN 'signup' THEN 'Started' WHEN 'purchase' THEN 'Success' ELSE 'Failed' END AS event,
     CASE WHEN event_type = 'error' THEN 'error in ' || props END AS error_message, props AS extra
   FROM events WHERE event_type IN ('signup', 'purchase', 'error')),
@@ -567,20 +567,21 @@ def journal_open_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "journal_detail",
     """
-SELECT CAST(user_id AS VARCHAR) AS run_id,
+SELECT CAST(user_id AS VARCHAR) || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id,
   to_json({'started': count(*) FILTER (WHERE event_type = 'signup'),
            'succeeded': count(*) FILTER (WHERE event_type = 'purchase'),
            'failed': count(*) FILTER (WHERE event_type = 'error')}) AS extra
-FROM events GROUP BY user_id""",
+FROM events GROUP BY 1""",
 )
 def journal_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-run detail encoded as JSON text by ``to_json(struct(...))``."""
     ev = _t(spark, sf_dir, "events")
+    run_id = F.concat_ws("/", F.col("user_id").cast("string"), F.col("ts").cast("date").cast("string"))
     n = lambda kind: F.count(F.when(F.col("event_type") == kind, 1))
-    return ev.groupBy("user_id").agg(
+    return ev.groupBy(run_id.alias("run_id")).agg(
         F.to_json(F.struct(n("signup").alias("started"), n("purchase").alias("succeeded"), n("error").alias("failed")))
         .alias("extra")
-    ).select(F.col("user_id").cast("string").alias("run_id"), "extra")
+    )
 
 
 # -- D7, D8: whole run ---------------------------------------------------------------------
