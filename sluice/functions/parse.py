@@ -49,18 +49,29 @@ def parse_date(text: Column, layout: str) -> Column:
     return F.try_to_date(F.regexp_replace(text, pattern, replacement), "y-M-d")
 
 
+# Characters Spark's numeric casts trim at both ends: U+0000–U+0020 and U+007F.
+_CAST_BLANK = r"[\x00-\x20\x7f]"
+
+
 def parse_integral(text: Column, type_name: str = "int") -> Column:
     """``int``/``bigint`` from text; decimal text truncates (``'12.7'`` → 12, ``'.5'`` → 0).
 
     Anything else that is not a plain (optionally signed, blank-padded) integer in range
-    is NULL: ``'1e3'``, ``'abc'``, ``''``, overflow. Plain integers take the cast alone;
-    the regexes only run for the rest.
+    is NULL: ``'1e3'``, ``'abc'``, ``''``, ``'+.'``, overflow. A plain integer goes to the
+    cast; everything else takes one anchored regex pass that rewrites decimal text to
+    ``.<sign><integer part>:<fraction>`` and any other text to ``:``. Casting only text
+    that looks like an integer also keeps away from the cast's slow failure path.
     """
-    t = F.regexp_replace(text, r"^\s+|\s+$", "")
-    decimal_like = t.rlike(r"^[+-]?\d*\.\d*$") & t.rlike(r"\d|^\.$")
-    whole = F.regexp_extract(t, r"^([+-]?\d+)", 1).try_cast(type_name)
-    slow = F.when(decimal_like & t.rlike(r"^[+-]?\."), F.lit(0).cast(type_name)).when(decimal_like, whole)
-    return F.coalesce(text.try_cast(type_name), slow)
+    b = _CAST_BLANK
+    plain = text.rlike(rf"^{b}*[+-]?\d+{b}*$")
+    shape = F.regexp_replace(text, rf"(?s)^(?:{b}*([+-]?)(\d*)(\.)(\d*){b}*|.*)$", "$3$1$2:$4")
+    head = F.substring_index(F.substring(shape, 2, 1 << 30), ":", 1)  # sign and integer part
+    frac = F.substring_index(shape, ":", -1)
+    decimal = F.when(
+        head.isin("", "+", "-"),  # no integer digits: '.5' and '.' are 0, '+.' is not a number
+        F.when((head == "") | (frac != ""), F.lit(0).cast(type_name)),
+    ).otherwise(head.try_cast(type_name))
+    return F.when(plain, text.try_cast(type_name)).when(F.startswith(shape, F.lit(".")), decimal)
 
 
 def parse_double(text: Column) -> Column:

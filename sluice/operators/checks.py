@@ -27,32 +27,20 @@ def pk_violations(df: DataFrame, spec: TableSpec, *, distinct_rows: bool = False
     """Keys held by more than one row: ``(pk..., n_rows)``.
 
     With ``distinct_rows=True`` the frame is taken as not yet deduplicated and a key
-    only violates when it holds two *different* rows; min/max of the non-key columns
-    decide that in one partially aggregated pass (no distinct shuffle first).
+    only violates when it holds two *different* rows (``n_rows`` then counts distinct
+    rows). Both steps are partially aggregated hash aggregates, so exact copies and
+    hot keys collapse map-side.
     """
     pk = list(spec.primary_key)
-    if not distinct_rows:
-        return df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
-    rest = F.struct(*[F.col(c) for c in df.columns if c not in pk])
-    return (
-        df.groupBy(*pk)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.min(rest).alias("_lo"), F.max(rest).alias("_hi"))
-        .filter(~F.col("_lo").eqNullSafe(F.col("_hi")))
-        .drop("_lo", "_hi")
-    )
+    rows = df.dropDuplicates() if distinct_rows else df
+    return rows.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
 def key_summary(df: DataFrame, spec: TableSpec, *, distinct_rows: bool) -> dict:
     """Number of keys and of conflicting keys, in one job (exact: a query result)."""
     pk = list(spec.primary_key)
-    per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows"))
-    if distinct_rows:
-        rest = F.struct(*[F.col(c) for c in df.columns if c not in pk])
-        per_key = df.groupBy(*pk).agg(
-            (~F.min(rest).eqNullSafe(F.max(rest))).alias("conflict")
-        )
-    else:
-        per_key = per_key.select((F.col("n_rows") > 1).alias("conflict"))
+    rows = df.dropDuplicates() if distinct_rows else df
+    per_key = rows.groupBy(*pk).agg((F.count(F.lit(1)) > 1).alias("conflict"))
     row = per_key.agg(
         F.count(F.lit(1)).alias("keys"),
         F.coalesce(F.sum(F.col("conflict").cast("long")), F.lit(0)).alias("conflicts"),

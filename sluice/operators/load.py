@@ -108,7 +108,8 @@ def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) ->
     """Keys, conflicting keys and touched partitions of a batch, in one job.
 
     Per key (partial aggregation, so a hot key collapses map-side): does it hold more
-    than one row (or, for ``distinct_rows``, more than one *different* row)? Then per
+    than one row (or, for ``distinct_rows``, more than one *different* row, counted
+    after a full-row distinct)? Then per
     partition value of the key's date: keys and conflicts. At most
     ``MAX_PARTITION_LIST + 1`` partition rows reach the driver; beyond that, totals
     and the range come from one more aggregate and the partition list stays on the
@@ -116,11 +117,10 @@ def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) ->
     """
     pk = list(spec.primary_key)
     part = partition_column(spec)
-    rest = F.struct(*[F.col(c) for c in batch.columns if c not in pk])
-    if distinct_rows:
-        per_key = batch.groupBy(*pk).agg((~F.min(rest).eqNullSafe(F.max(rest))).alias("conflict"))
-    else:
-        per_key = batch.groupBy(*pk).agg((F.count(F.lit(1)) > 1).alias("conflict"))
+    # Hash aggregation only: exact copies collapse map-side in the full-row distinct,
+    # then each map task sends one partial count per key.
+    rows = batch.dropDuplicates() if distinct_rows else batch
+    per_key = rows.groupBy(*pk).agg((F.count(F.lit(1)) > 1).alias("conflict"))
     per_part = per_key.groupBy(partition_value(spec).alias(part)).agg(
         F.count(F.lit(1)).alias("keys"), F.sum(F.col("conflict").cast("long")).alias("conflicts")
     )

@@ -80,3 +80,46 @@ def test_code3(spark):
 def test_text_rules(spark):
     assert _apply(spark, ["  МЕЖБАНК  ", "   ", "ab\t"], lambda c: parse.text_field(c, 3)) == ["МЕЖ", "", "ab\t"]
     assert _apply(spark, ["  ", "", " 0810 ", None], lambda c: parse.code_field(c, 3)) == [None, None, "081", None]
+
+
+def _model_integral(s, bits):
+    """Plain-Python statement of the truncating integer cast the feeds expect."""
+    import re
+
+    if s is None:
+        return None
+    t = s.strip("".join(chr(c) for c in range(0x21)) + "\x7f")
+    lo, hi = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
+    if re.fullmatch(r"[+-]?[0-9]+", t):
+        v = int(t)
+    else:
+        m = re.fullmatch(r"([+-]?)([0-9]*)\.([0-9]*)", t)
+        if not m:
+            return None
+        sign, whole, frac = m.groups()
+        if whole == "":
+            return 0 if (sign == "" or frac != "") else None
+        v = int(sign + whole)
+    return v if lo <= v <= hi else None
+
+
+def test_control_characters_trimmed_like_the_cast(spark):
+    got = _apply(spark, ["\x0112.7\x7f", "\x0112\x7f", "\x00.5"], lambda c: parse.parse_integral(c, "int"))
+    assert got == [12, 12, 0]
+
+
+def test_integral_matches_model_on_generated_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    piece = st.sampled_from(list("0123456789.+- \t\x01\x7fae,x") + ["", "12", "00", "99999999999", "2147483648"])
+    texts = st.lists(st.lists(piece, max_size=6).map("".join), min_size=50, max_size=200)
+
+    @settings(max_examples=4, deadline=None)
+    @given(texts)
+    def check(values):
+        for type_name, bits in (("int", 32), ("bigint", 64)):
+            got = _apply(spark, values, lambda c: parse.parse_integral(c, type_name))
+            assert got == [_model_integral(v, bits) for v in values]
+
+    check()
