@@ -92,3 +92,22 @@ def test_overwrite_replaces_and_counts(spark, workdir):
     r2 = load.overwrite(spark, spec, spark.createDataFrame([(F1, 1, 2, 1.0, 0.1)], schema), t)
     assert (r1["rows_loaded"], r2["rows_loaded"]) == (3, 1)
     assert [r.oper_date for r in load.read_table(spark, spec, t).collect()] == [F1]
+
+
+def test_parallel_run_equals_sequential(spark, workdir):
+    from sluice.operators import journal
+    from sluice.plans import run as R
+    from sluice.sources import feeds
+
+    sf = "/root/testdata/sf0.001"
+    specs = [TB.MD_CURRENCY_D, TB.FT_BALANCE_F, TB.FT_POSTING_F]
+    sources = {s.feed_name: feeds.materialize_feed(spark, sf, s.feed_name) for s in specs}
+    seq = R.run_all(spark, sources, {s.name: f"{workdir}/seq/{s.name}" for s in specs}, f"{workdir}/j", specs=specs)
+    par = R.run_all(spark, sources, {s.name: f"{workdir}/par/{s.name}" for s in specs}, f"{workdir}/j", specs=specs,
+                    parallelism=3)
+    assert [t["transform"] for t in seq["tables"].values()] == [t["transform"] for t in par["tables"].values()]
+    for s in specs:
+        a = sorted(map(tuple, load.read_table(spark, s, f"{workdir}/seq/{s.name}").collect()), key=repr)
+        b = sorted(map(tuple, load.read_table(spark, s, f"{workdir}/par/{s.name}").collect()), key=repr)
+        assert a == b
+    assert {r.status for r in journal.fold(journal.read_events(spark, f"{workdir}/j")).collect()} == {"Success"}
