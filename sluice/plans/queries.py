@@ -568,9 +568,9 @@ def journal_open_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     "journal_detail",
     """
 SELECT CAST(user_id AS VARCHAR) || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id,
-  to_json({'started': count(*) FILTER (WHERE event_type = 'signup'),
-           'succeeded': count(*) FILTER (WHERE event_type = 'purchase'),
-           'failed': count(*) FILTER (WHERE event_type = 'error')}) AS extra
+  CAST(to_json({'started': count(*) FILTER (WHERE event_type = 'signup'),
+                'succeeded': count(*) FILTER (WHERE event_type = 'purchase'),
+                'failed': count(*) FILTER (WHERE event_type = 'error')}) AS VARCHAR) AS extra
 FROM events GROUP BY 1""",
 )
 def journal_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
