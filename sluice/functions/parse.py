@@ -95,8 +95,8 @@ def text_field(text: Column, length: int) -> Column:
 
 
 def empty_to_null(text: Column) -> Column:
-    """Trimmed text, NULL when nothing is left."""
-    return F.nullif(trimmed(text), F.lit(""))
+    """Trimmed text (any input type is taken as its text), NULL when nothing is left."""
+    return F.nullif(trimmed(text.cast("string")), F.lit(""))
 
 
 def code_field(text: Column, length: int) -> Column:
@@ -110,13 +110,13 @@ def digits_key(text: Column, type_name: str = "int") -> Column:
     No digits → NULL; a digit string out of range for ``type_name`` → NULL (a wrapped
     key would silently point at another row).
     """
-    digits = F.regexp_replace(trimmed(text), r"\D", "")
+    digits = F.regexp_replace(trimmed(text.cast("string")), r"\D", "")
     return F.nullif(digits, F.lit("")).try_cast(type_name)
 
 
 def code3(text: Column) -> Column:
     """Three-letter code: upper-cased, the first run of three Latin capitals, else NULL."""
-    return F.nullif(F.regexp_extract(F.upper(trimmed(text)), "([A-Z]{3})", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(F.upper(trimmed(text.cast("string"))), "([A-Z]{3})", 1), F.lit(""))
 
 
 def default_to(value: Column, fallback: Column) -> Column:

@@ -111,3 +111,57 @@ def test_parallel_run_equals_sequential(spark, workdir):
         b = sorted(map(tuple, load.read_table(spark, s, f"{workdir}/par/{s.name}").collect()), key=repr)
         assert a == b
     assert {r.status for r in journal.fold(journal.read_events(spark, f"{workdir}/j")).collect()} == {"Success"}
+
+
+def test_failed_run_is_journaled_and_stops(spark, workdir):
+    from sluice.operators import journal
+    from sluice.plans import run as R
+    from sluice.sources.delimited import write_delimited
+
+    raw = "CURRENCY_RK string, DATA_ACTUAL_DATE string, DATA_ACTUAL_END_DATE string, CURRENCY_CODE string, CODE_ISO_CHAR string"
+    # Two rows for one key and no distinct on this table: the keyed load must refuse.
+    write_delimited(spark.createDataFrame([("1", "2018-01-01", "", "810", "RUB"),
+                                           ("1", "2018-01-01", "", "810", "RUB")], raw), f"{workdir}/cur")
+    bal = "ON_DATE string, ACCOUNT_RK string, CURRENCY_RK string, BALANCE_OUT string"
+    write_delimited(spark.createDataFrame([("1.1.2018", "1", "1", "1")], bal), f"{workdir}/bal")
+    specs = [TB.MD_CURRENCY_D, TB.FT_BALANCE_F]
+    targets = {s.name: f"{workdir}/ds/{s.name}" for s in specs}
+    with pytest.raises(load.KeyConflictError):
+        R.run_all(spark, {"md_currency_d": f"{workdir}/cur", "ft_balance_f": f"{workdir}/bal"}, targets,
+                  f"{workdir}/j", specs=specs, run_id="r-fail")
+    state = journal.fold(journal.read_events(spark, f"{workdir}/j")).collect()[0]
+    assert (state.run_id, state.status) == ("r-fail", "Failed")
+    assert '"failed_step": "md_currency_d"' in state.extra and '"error_type": "KeyConflictError"' in state.extra
+    assert load.read_target(spark, TB.FT_BALANCE_F, targets["ft_balance_f"]) is None  # later tables not loaded
+
+
+def test_hot_copy_collapses_before_the_shuffle(spark, workdir):
+    hot = spark.range(30000).select(F.lit(J1).alias("on_date"), F.lit(7).cast("bigint").alias("account_rk"),
+                                    F.lit(1).alias("currency_rk"), F.lit(1.5).alias("balance_out"))
+    rest = spark.range(60000).select(F.lit(F1).alias("on_date"), F.col("id").alias("account_rk"),
+                                     F.lit(1).alias("currency_rk"), F.col("id").cast("double").alias("balance_out"))
+    batch = hot.unionByName(rest)
+    plan = batch.dropDuplicates()._jdf.queryExecution().executedPlan().toString()
+    # A partial HashAggregate runs before the Exchange, so the 30,000 copies leave each
+    # map task as one row.
+    assert plan.rfind("HashAggregate") > plan.find("Exchange") > plan.find("HashAggregate")
+    res = load.upsert(spark, SPEC, batch, f"{workdir}/hot", batch_is_distinct=False)
+    assert res["rows_batch"] == 60001
+    assert load.read_table(spark, SPEC, f"{workdir}/hot").count() == 60001
+
+
+def test_load_reads_the_text_once(spark, workdir):
+    """After staging, nothing reads the feed again: replacing it changes nothing."""
+    from sluice.plans import run as R
+    from sluice.sources.delimited import write_delimited
+
+    raw = "ON_DATE string, ACCOUNT_RK string, CURRENCY_RK string, BALANCE_OUT string"
+    feed = f"{workdir}/feed"
+    write_delimited(spark.createDataFrame([("1.1.2018", "1", "1", "10"), ("1.1.2018", "1", "1", "10"),
+                                           ("x", "2", "1", "20")], raw), feed)
+    batch, stats = R.stage_accepted(spark, SPEC, feed, f"{workdir}/stage")
+    write_delimited(spark.createDataFrame([("2.2.2019", "9", "9", "99")], raw), feed)  # a new drop arrives
+    res = load.upsert(spark, SPEC, batch, f"{workdir}/t", batch_is_distinct=False)
+    assert stats == {"rows_input": 3, "rows_after_filter": 2, "rows_output": 2, "rows_rejected": 1}
+    assert res["rows_batch"] == 1
+    assert _rows(spark, f"{workdir}/t") == [(dt.date(2018, 1, 1), 1, 1, 10.0)]

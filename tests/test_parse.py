@@ -123,3 +123,9 @@ def test_integral_matches_model_on_generated_text(spark):
             assert got == [_model_integral(v, bits) for v in values]
 
     check()
+
+
+def test_key_and_code_rules_take_any_input_type(spark):
+    df = spark.createDataFrame([(12, 810)], "k long, c int")
+    row = df.select(parse.digits_key(F.col("k")).alias("k"), parse.code_field(F.col("c"), 3).alias("c")).first()
+    assert (row.k, row.c) == (12, "810")
