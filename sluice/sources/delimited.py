@@ -14,11 +14,15 @@ def read_raw(spark: SparkSession, path: str, sep: str = SEPARATOR) -> DataFrame:
     """Every column of a header feed as a nullable string; no type inference.
 
     ``path`` may be a file, a folder or a glob, so one scan covers a whole day's drop.
-    Unquoted empty and ``""`` values read as NULL; blank-only values stay blanks.
+    Unquoted empty and ``""`` values read as NULL; blank-only values stay blanks. The
+    column names come from the first file's header, and every other file's header is
+    checked against them (``enforceSchema=false``): a file with reordered columns fails
+    the read instead of being bound by position.
     """
     return (
         spark.read.option("header", True)
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
         .csv(path)

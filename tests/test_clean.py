@@ -73,3 +73,16 @@ def test_read_feed_binds_by_header_name(spark, workdir):
     assert raw.columns == ["ON_DATE", "ACCOUNT_RK", "CURRENCY_RK", "BALANCE_OUT"]
     out = clean.transform(raw, TB.FT_BALANCE_F).collect()
     assert out[0].on_date == dt.date(2018, 1, 1) and out[0].account_rk == 1
+
+
+def test_reordered_file_in_a_drop_is_refused(spark, workdir):
+    import pytest
+
+    write_delimited(spark.createDataFrame([("1.1.2018", "1", "1", "1")],
+                                          "ON_DATE string, ACCOUNT_RK string, CURRENCY_RK string, BALANCE_OUT string"),
+                    f"{workdir}/drop/a")
+    write_delimited(spark.createDataFrame([("1", "1.1.2018", "1", "1")],
+                                          "ACCOUNT_RK string, ON_DATE string, CURRENCY_RK string, BALANCE_OUT string"),
+                    f"{workdir}/drop/b")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_feed(spark, TB.FT_BALANCE_F, f"{workdir}/drop/*").collect()
