@@ -75,15 +75,27 @@ def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return df.select(*spec.columns)
 
 
+def _spread(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Lay rows out for a partitioned write: few files per partition, no hot task.
+
+    With adaptive execution on (Spark's default), the ``rebalance`` hint groups rows of
+    a partition in few tasks, splits a hot partition into advisory-sized tasks and
+    merges small ones, without a sampling job. With it off (read, never set, here), a
+    range repartition on (partition, key) gives the same balance at the cost of one
+    sampling pass.
+    """
+    part = partition_column(spec)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", part)
+    return df.repartitionByRange(F.col(part), *[F.col(c) for c in (spec.primary_key or spec.columns)])
+
+
 def _write_partitioned(df: DataFrame, spec: TableSpec, path: str, *, dynamic: bool = True) -> None:
     part = partition_column(spec)
     if not part:
         df.write.mode("overwrite").parquet(path)
         return
-    # Rebalance on the partition column: rows of one partition meet in few tasks (few
-    # files), while AQE splits a hot partition into advisory-sized tasks and merges
-    # small ones. Unlike a range repartition, no sampling job re-evaluates the input.
-    writer = df.hint("rebalance", part).write.mode("overwrite")
+    writer = _spread(df, spec).write.mode("overwrite")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(part).parquet(path)

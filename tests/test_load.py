@@ -165,3 +165,13 @@ def test_load_reads_the_text_once(spark, workdir):
     assert stats == {"rows_input": 3, "rows_after_filter": 2, "rows_output": 2, "rows_rejected": 1}
     assert res["rows_batch"] == 1
     assert _rows(spark, f"{workdir}/t") == [(dt.date(2018, 1, 1), 1, 1, 10.0)]
+
+
+def test_write_layout_follows_adaptive_setting(spark):
+    df = spark.createDataFrame([(J1, 1, 1, 1.0)], BAL).withColumn(load.partition_column(SPEC), F.lit(J1))
+    assert "RebalancePartitions" in load._spread(df, SPEC)._jdf.queryExecution().analyzed().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "RepartitionByExpression" in load._spread(df, SPEC)._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
