@@ -36,18 +36,6 @@ def pk_violations(df: DataFrame, spec: TableSpec, *, distinct_rows: bool = False
     return rows.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def key_summary(df: DataFrame, spec: TableSpec, *, distinct_rows: bool) -> dict:
-    """Number of keys and of conflicting keys, in one job (exact: a query result)."""
-    pk = list(spec.primary_key)
-    rows = df.dropDuplicates() if distinct_rows else df
-    per_key = rows.groupBy(*pk).agg((F.count(F.lit(1)) > 1).alias("conflict"))
-    row = per_key.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum(F.col("conflict").cast("long")), F.lit(0)).alias("conflicts"),
-    ).first()
-    return {"keys": int(row["keys"]), "conflicts": int(row["conflicts"])}
-
-
 def length_violations(df: DataFrame, spec: TableSpec, key: list[str] | None = None) -> DataFrame:
     """One row per (row, column) whose text is longer than the column's limit.
 
