@@ -175,3 +175,21 @@ def test_write_layout_follows_adaptive_setting(spark):
         assert "RepartitionByExpression" in load._spread(df, SPEC)._jdf.queryExecution().analyzed().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_many_partitions_use_range_and_semi_join(spark, workdir, monkeypatch):
+    import dataclasses
+
+    daily = dataclasses.replace(SPEC, partition_grain="day")
+    t = f"{workdir}/daily"
+    days = [J1 + dt.timedelta(days=i) for i in range(12)]
+    load.upsert(spark, daily, spark.createDataFrame([(d, i, 1, float(i)) for i, d in enumerate(days)], BAL), t)
+    monkeypatch.setattr(load, "MAX_PARTITION_LIST", 3)  # force the path for very wide batches
+    batch = spark.createDataFrame([(days[i], i, 2, -1.0) for i in (0, 5, 6, 7, 11)] + [(days[3], 99, 2, 0.0)], BAL)
+    res = load.upsert(spark, daily, batch, t)
+    assert res["partitions"] == 6
+    got = {(r.on_date, r.account_rk): r.balance_out for r in load.read_table(spark, daily, t).collect()}
+    want = {(d, i): float(i) for i, d in enumerate(days)}
+    want.update({(days[i], i): -1.0 for i in (0, 5, 6, 7, 11)})
+    want[(days[3], 99)] = 0.0
+    assert got == want
