@@ -1,9 +1,11 @@
 """Spec-driven cleaning: one projection, the required-columns filter, defaults, distinct.
 
-Everything is a native expression in one ``select`` plus a ``filter``; Catalyst collapses
-it into a single whole-stage-codegen span over the scan. Row counters (input, after the
-filter, output) are collected with ``DataFrame.observe`` on whatever action runs the
-plan, so counting never costs an extra pass over the text.
+Everything is a native expression in one ``select`` plus a ``filter``, compiled by
+whole-stage codegen over the scan (the projection and the filter are two codegen spans,
+split by the input counter that also keeps each parse expression from being evaluated a
+second time inside the filter). Row counters (input, after the filter, output) are
+collected with ``DataFrame.observe`` on whatever action runs the plan, so counting never
+costs an extra pass over the text.
 """
 
 from __future__ import annotations

@@ -4,8 +4,8 @@ Each feed is a Spark SQL projection of one table into upper-case text columns, w
 dirt planted as a pure function of the row's key (impossible dates, wrong separators,
 trailing text, blank padding, empty values, decimals in integers, letters in numbers,
 over-long text, exact duplicate rows). Because the dirt depends only on the key, the
-expected typed result can be stated straight from the table (see ``plans.oracles``).
-The feed is written as ``;``-separated CSV with a header, the reference feed format,
+expected typed result can be stated straight from the table (see ``plans.expected``).
+The feed is written as ``;``-separated CSV with a header (the source files' format),
 so the whole read path (header binding, empty → NULL, blank padding) is exercised.
 """
 
