@@ -21,6 +21,10 @@ from sluice.spec import TableSpec
 
 # Above this many touched partitions the pruning list becomes a semi join on a range.
 MAX_PARTITION_LIST = 10_000
+# A merge touching at most this many partitions is written without the rebalance
+# shuffle: each task then writes at most this many files, and the touched side keeps
+# its scan layout (one partition per split) when the batch keys are broadcast.
+SPREAD_ABOVE_PARTITIONS = 8
 
 
 class KeyConflictError(ValueError):
@@ -90,12 +94,14 @@ def _spread(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.repartitionByRange(F.col(part), *[F.col(c) for c in (spec.primary_key or spec.columns)])
 
 
-def _write_partitioned(df: DataFrame, spec: TableSpec, path: str, *, dynamic: bool = True) -> None:
+def _write_partitioned(
+    df: DataFrame, spec: TableSpec, path: str, *, dynamic: bool = True, spread: bool = True
+) -> None:
     part = partition_column(spec)
     if not part:
         df.write.mode("overwrite").parquet(path)
         return
-    writer = _spread(df, spec).write.mode("overwrite")
+    writer = (_spread(df, spec) if spread else df).write.mode("overwrite")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(part).parquet(path)
@@ -203,5 +209,5 @@ def upsert(
         touched = existing.filter(F.col(part).between(summary["lo"], summary["hi"])).join(wanted, part, "left_semi")
     kept = touched.join(batch.select(*pk), pk, "left_anti")
     merged = kept.select(*spec.columns, part).unionByName(new_rows.select(*spec.columns, part))
-    _write_partitioned(merged, spec, path)
+    _write_partitioned(merged, spec, path, spread=summary["n_partitions"] > SPREAD_ABOVE_PARTITIONS)
     return result
