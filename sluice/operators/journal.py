@@ -38,7 +38,8 @@ STATE_COLUMNS = ["run_id", "started_at", "finished_at", "status", "error_message
 
 
 def _append(spark: SparkSession, path: str, run_id: str, event: str, error: Optional[str], extra: Optional[str]) -> None:
-    row = (run_id, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), event, error, extra)
+    # An aware UTC instant: PySpark converts it exactly, whatever the host's time zone.
+    row = (run_id, _dt.datetime.now(_dt.timezone.utc), event, error, extra)
     # One small file per event; the fold reads them all. current_timestamp() would
     # be evaluated again on a retried task, so the time is fixed on the driver.
     spark.createDataFrame([row], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
