@@ -31,6 +31,27 @@ class KeyConflictError(ValueError):
     """The batch holds more than one row for some primary key."""
 
 
+class ConstraintError(ValueError):
+    """The batch breaks a NOT NULL or length constraint of the target."""
+
+
+def violation_flags(spec: TableSpec) -> tuple[Column, Column]:
+    """Per-row flags: a NOT NULL column is NULL; a text is longer than its column."""
+    nulls = [F.col(c).isNull() for c in spec.not_null]
+    longs = [F.length(c) > n for c, n in spec.lengths.items()]
+    any_of = lambda flags: F.coalesce(F.greatest(*flags), F.lit(False)) if len(flags) > 1 else (
+        F.coalesce(flags[0], F.lit(False)) if flags else F.lit(False))
+    return any_of(nulls), any_of(longs)
+
+
+def _refuse_violations(spec: TableSpec, not_null: int, too_long: int) -> None:
+    if not_null or too_long:
+        raise ConstraintError(
+            f"{spec.name}: {not_null} row(s) with NULL in a NOT NULL column, "
+            f"{too_long} row(s) with text longer than its column"
+        )
+
+
 def partition_column(spec: TableSpec) -> Optional[str]:
     if not spec.partition_date:
         return None
@@ -115,6 +136,10 @@ def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) ->
     """
     part = partition_column(spec)
     out = df.select(*spec.columns)
+    nn, ln = violation_flags(spec)
+    bad = out.select(nn.cast("long").alias("nn"), ln.cast("long").alias("ln")).agg(
+        F.coalesce(F.sum("nn"), F.lit(0)).alias("nn"), F.coalesce(F.sum("ln"), F.lit(0)).alias("ln")).first()
+    _refuse_violations(spec, bad["nn"], bad["ln"])  # before anything is replaced
     if part:
         out = out.withColumn(part, partition_value(spec))
     _write_partitioned(out, spec, path, dynamic=False)
@@ -135,18 +160,28 @@ def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) ->
     """
     pk = list(spec.primary_key)
     part = partition_column(spec)
+    nn, ln = violation_flags(spec)
+    # The flags are functions of the row, so adding them changes no distinctness.
+    flagged = batch.select(*batch.columns, nn.alias("_nn"), ln.alias("_ln"))
     # Hash aggregation only: exact copies collapse map-side in the full-row distinct,
     # then each map task sends one partial count per key.
-    rows = batch.dropDuplicates() if distinct_rows else batch
-    per_key = rows.groupBy(*pk).agg((F.count(F.lit(1)) > 1).alias("conflict"))
+    rows = flagged.dropDuplicates() if distinct_rows else flagged
+    per_key = rows.groupBy(*pk).agg(
+        (F.count(F.lit(1)) > 1).alias("conflict"),
+        F.sum(F.col("_nn").cast("long")).alias("nn"),
+        F.sum(F.col("_ln").cast("long")).alias("ln"),
+    )
     per_part = per_key.groupBy(partition_value(spec).alias(part)).agg(
-        F.count(F.lit(1)).alias("keys"), F.sum(F.col("conflict").cast("long")).alias("conflicts")
+        F.count(F.lit(1)).alias("keys"), F.sum(F.col("conflict").cast("long")).alias("conflicts"),
+        F.sum("nn").alias("not_null"), F.sum("ln").alias("too_long"),
     )
     rows = per_part.limit(MAX_PARTITION_LIST + 1).collect()
     if len(rows) <= MAX_PARTITION_LIST:
         return {
             "keys": sum(r["keys"] for r in rows),
             "conflicts": sum(r["conflicts"] for r in rows),
+            "not_null": sum(r["not_null"] for r in rows),
+            "too_long": sum(r["too_long"] for r in rows),
             "partitions": sorted(r[part] for r in rows),
             "lo": None,
             "hi": None,
@@ -154,9 +189,11 @@ def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) ->
         }
     t = per_part.agg(
         F.sum("keys").alias("keys"), F.sum("conflicts").alias("conflicts"),
+        F.sum("not_null").alias("not_null"), F.sum("too_long").alias("too_long"),
         F.min(part).alias("lo"), F.max(part).alias("hi"), F.count(F.lit(1)).alias("n"),
     ).first()
-    return {"keys": int(t["keys"]), "conflicts": int(t["conflicts"]), "partitions": None,
+    return {"keys": int(t["keys"]), "conflicts": int(t["conflicts"]), "not_null": int(t["not_null"]),
+            "too_long": int(t["too_long"]), "partitions": None,
             "lo": t["lo"], "hi": t["hi"], "n_partitions": int(t["n"])}
 
 
@@ -171,8 +208,9 @@ def upsert(
     """Merge ``batch`` (spec columns, ideally read from staging) into the target at ``path``.
 
     1. One summary job: key check (N2) — any key with two different rows (or two rows
-       at all for a spec without distinct) refuses the batch before anything is
-       written — plus the partitions the batch touches.
+       at all for a spec without distinct) refuses the batch — and the NOT NULL and
+       length checks (N1, N3), all before anything is written; plus the partitions the
+       batch touches.
     2. ``touched ▷ batch keys ∪ batch``, written with dynamic partition overwrite, so
        untouched partitions are neither read nor rewritten. The join strategy is left
        to Catalyst/AQE (a small batch is broadcast after its size is measured).
@@ -189,6 +227,7 @@ def upsert(
         raise KeyConflictError(
             f"{spec.name}: {summary['conflicts']} key(s) of {tuple(pk)} occur more than once in the batch"
         )
+    _refuse_violations(spec, summary["not_null"], summary["too_long"])
     result = {"table": spec.name, "status": "upserted", "rows_batch": summary["keys"],
               "partitions": summary["n_partitions"]}
     if summary["keys"] == 0:

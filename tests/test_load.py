@@ -193,3 +193,35 @@ def test_many_partitions_use_range_and_semi_join(spark, workdir, monkeypatch):
     want.update({(days[i], i): -1.0 for i in (0, 5, 6, 7, 11)})
     want[(days[3], 99)] = 0.0
     assert got == want
+
+
+def test_constraints_refuse_the_batch_before_writing(spark, workdir):
+    from sluice.functions import rules as r
+    from sluice.spec import Field, TableSpec
+
+    # A spec whose text rule does not clamp, and a NOT NULL column the filter allows NULL in.
+    unclamped = r.Rule(lambda c: c, "string", 3)
+    spec = TableSpec(
+        "codes",
+        (Field("d", "D", r.date("yyyy-M-d"), nullable=False), Field("k", "K", r.integer(), nullable=False),
+         Field("code", "CODE", unclamped), Field("note", "NOTE", r.text(10), nullable=False)),
+        required=("d", "k"), primary_key=("d", "k"), partition_date="d",
+    )
+    schema = "d date, k int, code string, note string"
+    t = f"{workdir}/codes"
+    load.upsert(spark, spec, spark.createDataFrame([(J1, 1, "RUB", "ok")], schema), t)
+    with pytest.raises(load.ConstraintError, match="1 row\\(s\\) with text longer"):
+        load.upsert(spark, spec, spark.createDataFrame([(J1, 2, "RUBX", "ok")], schema), t)
+    with pytest.raises(load.ConstraintError, match="1 row\\(s\\) with NULL"):
+        load.upsert(spark, spec, spark.createDataFrame([(J1, 3, "USD", None)], schema), t)
+    assert [tuple(x) for x in load.read_table(spark, spec, t).collect()] == [(J1, 1, "RUB", "ok")]
+    over = dataclass_replace(spec, mode="overwrite", primary_key=())
+    with pytest.raises(load.ConstraintError):
+        load.overwrite(spark, over, spark.createDataFrame([(J1, 4, "EURO", "x")], schema), t)
+    assert load.read_table(spark, spec, t).count() == 1  # not replaced
+
+
+def dataclass_replace(obj, **kw):
+    import dataclasses
+
+    return dataclasses.replace(obj, **kw)
