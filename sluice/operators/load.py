@@ -85,6 +85,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` recursively on its file system; False if it cannot be reached."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True))
+    except Exception:  # no JVM handle (e.g. Spark Connect): the folder is kept
+        return False
+
+
 def read_target(spark: SparkSession, spec: TableSpec, path: str) -> Optional[DataFrame]:
     """The target with its declared schema, or ``None`` if it was never written."""
     if not path_exists(spark, path):

@@ -4,8 +4,9 @@
 in one map-only job that writes the accepted rows to a staging folder of the run, with
 the input and accepted counters observed on that write (exact even with retried
 tasks, since no shuffle precedes the write). Everything after — key check, distinct,
-merge or overwrite — reads the staged Parquet, never the text again. A failed load
-leaves its staging folder, so a rerun or an inspection can start from it.
+merge or overwrite — reads the staged Parquet, never the text again. A successful load
+drops its staging folder; a failed one leaves it, so a rerun or an inspection can
+start from it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from sluice.operators import journal
 from sluice.operators.clean import accepted_observed, align
-from sluice.operators.load import overwrite, upsert
+from sluice.operators.load import overwrite, remove_path, upsert
 from sluice.plans.tables import RUN_ORDER
 from sluice.sources.delimited import read_feed
 from sluice.spec import TableSpec
@@ -42,8 +43,13 @@ def load_table(
     target: str,
     *,
     stage_dir: Optional[str] = None,
+    keep_stage: bool = False,
 ) -> dict:
-    """Extract, clean and load one table; returns ``{table, transform, load}``."""
+    """Extract, clean and load one table; returns ``{table, transform, load}``.
+
+    The staging folder is dropped once the load has succeeded (``keep_stage`` keeps
+    it); a failed load leaves it for inspection or a rerun.
+    """
     stage_dir = stage_dir or new_dir(spark, f"stage/{spec.name}")
     batch, stats = stage_accepted(spark, spec, source, stage_dir)
     if spec.mode == "overwrite":
@@ -55,7 +61,9 @@ def load_table(
         if spec.distinct:
             # No key conflicts: one distinct row per key.
             stats["rows_output"] = load["rows_batch"]
-    load["stage"] = stage_dir
+    load["stage"] = stage_dir if keep_stage else None
+    if not keep_stage:
+        remove_path(spark, stage_dir)
     return {"table": spec.name, "transform": stats, "load": load}
 
 

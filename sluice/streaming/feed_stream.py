@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators import journal
 from sluice.operators.clean import accepted_observed, align
-from sluice.operators.load import overwrite, upsert
+from sluice.operators.load import overwrite, remove_path, upsert
 from sluice.sources.delimited import SEPARATOR
 from sluice.spec import TableSpec
 
@@ -58,6 +58,7 @@ def load_micro_batch(spark: SparkSession, spec: TableSpec, target: str, work: st
             if journal_path:
                 journal.log_finish(spark, journal_path, run_id, False, str(exc), journal.failure_detail(exc, spec.name))
             raise
+        remove_path(spark, stage)  # the batch is loaded; a failed one keeps its stage
         if journal_path:
             journal.log_finish(spark, journal_path, run_id, True, extra={"transform": stats, "load": load})
 

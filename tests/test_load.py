@@ -225,3 +225,18 @@ def dataclass_replace(obj, **kw):
     import dataclasses
 
     return dataclasses.replace(obj, **kw)
+
+
+def test_stage_dropped_on_success_kept_on_failure(spark, workdir):
+    from sluice.plans import run as R
+    from sluice.sources.delimited import write_delimited
+
+    raw = "ON_DATE string, ACCOUNT_RK string, CURRENCY_RK string, BALANCE_OUT string"
+    write_delimited(spark.createDataFrame([("1.1.2018", "1", "1", "10")], raw), f"{workdir}/ok")
+    write_delimited(spark.createDataFrame([("1.1.2018", "1", "1", "10"), ("1.1.2018", "1", "1", "11")], raw),
+                    f"{workdir}/bad")
+    R.load_table(spark, SPEC, f"{workdir}/ok", f"{workdir}/t", stage_dir=f"{workdir}/s1")
+    assert not load.path_exists(spark, f"{workdir}/s1")
+    with pytest.raises(load.KeyConflictError):
+        R.load_table(spark, SPEC, f"{workdir}/bad", f"{workdir}/t", stage_dir=f"{workdir}/s2")
+    assert load.path_exists(spark, f"{workdir}/s2/accepted")
