@@ -15,6 +15,13 @@ from pyspark.sql import SparkSession
 _KEY = "spark.checkpoint.dir"
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # Spark Connect: the master is not visible
+        return spark.conf.get("spark.master", "").startswith("local")
+
+
 def work_root(spark: SparkSession) -> str:
     root = spark.conf.get(_KEY, None)
     if not root:
@@ -23,7 +30,10 @@ def work_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
-        # Unset: a local/test session. Register the folder so later calls agree.
+        if not _is_local(spark):
+            # Executors and a restarted driver could not see a driver-local folder.
+            raise ValueError(f"set {_KEY} to a folder shared by the cluster (HDFS, object store)")
+        # Unset on a local session (tests): register a folder so later calls agree.
         root = tempfile.mkdtemp(prefix="sluice-work-")
         spark.conf.set(_KEY, root)
         try:
