@@ -21,6 +21,9 @@ from sluice.spec import TableSpec
 
 # Above this many touched partitions the pruning list becomes a semi join on a range.
 MAX_PARTITION_LIST = 10_000
+# A merge touching at most this many partitions reads their folders directly instead of
+# listing the whole table (listing is the slow part of a small merge on object stores).
+READ_FOLDERS_UP_TO = 64
 # A merge touching at most this many partitions is written without the rebalance
 # shuffle: each task then writes at most this many files, and the touched side keeps
 # its scan layout (one partition per split) when the batch keys are broadcast.
@@ -102,6 +105,20 @@ def read_target(spark: SparkSession, spec: TableSpec, path: str) -> Optional[Dat
     return spark.read.schema(target_schema(spec)).parquet(path)
 
 
+def read_partitions(spark: SparkSession, spec: TableSpec, path: str, values: list) -> Optional[DataFrame]:
+    """Only the given partitions of the target (``None`` if none of them exists yet).
+
+    Each folder is checked with one file-system call and read with ``basePath`` set, so
+    the partition column keeps its value and no other partition is listed.
+    """
+    part = partition_column(spec)
+    folders = [f"{path.rstrip('/')}/{part}={v}" for v in values]
+    present = [f for f in folders if path_exists(spark, f)]
+    if not present:
+        return None
+    return spark.read.schema(target_schema(spec)).option("basePath", path).parquet(*present)
+
+
 def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """The loaded table in the spec's columns; an absent target reads as empty."""
     df = read_target(spark, spec, path)
@@ -247,15 +264,20 @@ def upsert(
         batch = batch.dropDuplicates(pk)
     new_rows = batch.withColumn(part, partition_value(spec))
 
-    existing = read_target(spark, spec, path)
-    if existing is None:
+    if not path_exists(spark, path):
         _write_partitioned(new_rows, spec, path)
         return result
-    if summary["partitions"] is not None:
-        touched = existing.filter(F.col(part).isin(summary["partitions"]))  # static PartitionFilters
+    if summary["partitions"] is not None and len(summary["partitions"]) <= READ_FOLDERS_UP_TO:
+        touched = read_partitions(spark, spec, path, summary["partitions"])
+        if touched is None:  # only new partitions: nothing to keep
+            _write_partitioned(new_rows, spec, path, spread=summary["n_partitions"] > SPREAD_ABOVE_PARTITIONS)
+            return result
+    elif summary["partitions"] is not None:
+        touched = read_target(spark, spec, path).filter(F.col(part).isin(summary["partitions"]))  # PartitionFilters
     else:
         wanted = new_rows.select(part).distinct()
-        touched = existing.filter(F.col(part).between(summary["lo"], summary["hi"])).join(wanted, part, "left_semi")
+        touched = read_target(spark, spec, path).filter(F.col(part).between(summary["lo"], summary["hi"])).join(
+            wanted, part, "left_semi")
     kept = touched.join(batch.select(*pk), pk, "left_anti")
     merged = kept.select(*spec.columns, part).unionByName(new_rows.select(*spec.columns, part))
     _write_partitioned(merged, spec, path, spread=summary["n_partitions"] > SPREAD_ABOVE_PARTITIONS)
