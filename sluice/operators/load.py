@@ -155,22 +155,55 @@ def _write_partitioned(
     writer.partitionBy(part).parquet(path)
 
 
+def partition_folders(spark: SparkSession, path: str, part: str) -> list[str]:
+    """Partition values that have a folder under ``path`` (one listing call)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(hpath):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+    except Exception:  # no JVM handle: nothing is known to be stale
+        return []
+    prefix = f"{part}="
+    return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+
 def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) -> dict:
     """Full replacement of the target by ``df``; the read-back count is returned.
 
-    The frame must not read the target it replaces (a static overwrite deletes its own
-    input first).
+    One job checks NOT NULL and lengths and lists the new data's partitions; a failing
+    batch replaces nothing. The new partitions are then written with dynamic partition
+    overwrite — old files stay readable until the commit swaps them in — and partition
+    folders the new data does not have are removed afterwards. (With more than
+    ``MAX_PARTITION_LIST`` partitions, a plain overwrite replaces the folder.) The frame
+    must not read the target it replaces.
     """
     part = partition_column(spec)
     out = df.select(*spec.columns)
     nn, ln = violation_flags(spec)
-    bad = out.select(nn.cast("long").alias("nn"), ln.cast("long").alias("ln")).agg(
-        F.coalesce(F.sum("nn"), F.lit(0)).alias("nn"), F.coalesce(F.sum("ln"), F.lit(0)).alias("ln")).first()
-    _refuse_violations(spec, bad["nn"], bad["ln"])  # before anything is replaced
-    if part:
+    flags = [F.coalesce(F.sum(nn.cast("long")), F.lit(0)).alias("nn"), F.coalesce(F.sum(ln.cast("long")), F.lit(0)).alias("ln")]
+    if not part:
+        bad = out.agg(*flags).first()
+        _refuse_violations(spec, bad["nn"], bad["ln"])
+        out.write.mode("overwrite").parquet(path)
+    else:
         out = out.withColumn(part, partition_value(spec))
-    _write_partitioned(out, spec, path, dynamic=False)
-    loaded = spark.read.parquet(path).count()  # answered from Parquet footers
+        per_part = out.groupBy(part).agg(*flags)
+        rows = per_part.limit(MAX_PARTITION_LIST + 1).collect()
+        if len(rows) <= MAX_PARTITION_LIST:
+            _refuse_violations(spec, sum(r["nn"] for r in rows), sum(r["ln"] for r in rows))
+            _write_partitioned(out, spec, path, dynamic=True)
+            fresh = {str(r[part]) for r in rows}
+            for value in partition_folders(spark, path, part):
+                if value not in fresh:
+                    remove_path(spark, f"{path.rstrip('/')}/{part}={value}")
+        else:
+            bad = per_part.agg(F.sum("nn").alias("nn"), F.sum("ln").alias("ln")).first()
+            _refuse_violations(spec, bad["nn"], bad["ln"])
+            _write_partitioned(out, spec, path, dynamic=False)
+    loaded = spark.read.schema(target_schema(spec)).parquet(path).count()  # answered from Parquet footers
     return {"table": spec.name, "status": "overwritten", "rows_loaded": int(loaded)}
 
 
