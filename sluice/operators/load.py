@@ -38,13 +38,19 @@ class ConstraintError(ValueError):
     """The batch breaks a NOT NULL or length constraint of the target."""
 
 
+def _any(flags: list[Column]) -> Column:
+    """True if any flag is true (NULL flags, e.g. the length of a NULL, count as false)."""
+    if not flags:
+        return F.lit(False)
+    return F.coalesce(F.greatest(*flags) if len(flags) > 1 else flags[0], F.lit(False))
+
+
 def violation_flags(spec: TableSpec) -> tuple[Column, Column]:
     """Per-row flags: a NOT NULL column is NULL; a text is longer than its column."""
-    nulls = [F.col(c).isNull() for c in spec.not_null]
-    longs = [F.length(c) > n for c, n in spec.lengths.items()]
-    any_of = lambda flags: F.coalesce(F.greatest(*flags), F.lit(False)) if len(flags) > 1 else (
-        F.coalesce(flags[0], F.lit(False)) if flags else F.lit(False))
-    return any_of(nulls), any_of(longs)
+    return (
+        _any([F.col(c).isNull() for c in spec.not_null]),
+        _any([F.length(c) > n for c, n in spec.lengths.items()]),
+    )
 
 
 def _refuse_violations(spec: TableSpec, not_null: int, too_long: int) -> None:
@@ -183,7 +189,10 @@ def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) ->
     part = partition_column(spec)
     out = df.select(*spec.columns)
     nn, ln = violation_flags(spec)
-    flags = [F.coalesce(F.sum(nn.cast("long")), F.lit(0)).alias("nn"), F.coalesce(F.sum(ln.cast("long")), F.lit(0)).alias("ln")]
+    flags = [
+        F.coalesce(F.sum(nn.cast("long")), F.lit(0)).alias("nn"),
+        F.coalesce(F.sum(ln.cast("long")), F.lit(0)).alias("ln"),
+    ]
     if not part:
         bad = out.agg(*flags).first()
         _refuse_violations(spec, bad["nn"], bad["ln"])
@@ -212,10 +221,10 @@ def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) ->
 
     Per key (partial aggregation, so a hot key collapses map-side): does it hold more
     than one row (or, for ``distinct_rows``, more than one *different* row, counted
-    after a full-row distinct)? Then per
-    partition value of the key's date: keys and conflicts. At most
-    ``MAX_PARTITION_LIST + 1`` partition rows reach the driver; beyond that, totals
-    and the range come from one more aggregate and the partition list stays on the
+    after a full-row distinct), and how many rows break NOT NULL or length? Then per
+    partition value of the key's date: keys, conflicts, violations. At most
+    ``MAX_PARTITION_LIST + 1`` partition rows reach the driver; beyond that, totals and
+    the range come from one more aggregate and the partition list stays on the
     executors.
     """
     pk = list(spec.primary_key)

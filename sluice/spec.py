@@ -76,6 +76,9 @@ class TableSpec:
             if not self.update_columns:
                 # Checked here, before any job runs.
                 raise ValueError(f"{self.name}: every column is in the primary key, nothing to update")
+            if not set(self.primary_key) <= set(self.required):
+                # A NULL key never matches in the merge: key columns must be required.
+                raise ValueError(f"{self.name}: primary key columns must be required (NOT NULL)")
             if self.partition_date and self.partition_date not in self.primary_key:
                 raise ValueError(f"{self.name}: partition date must be part of the primary key")
         if self.partition_grain not in ("month", "day"):

@@ -15,7 +15,7 @@ def test_unknown_and_partition_columns():
     with pytest.raises(ValueError, match="unknown column"):
         TableSpec("t", f, required=("x",), primary_key=("d",))
     with pytest.raises(ValueError, match="partition date"):
-        TableSpec("t", f, required=("d",), primary_key=("v",), partition_date="d")
+        TableSpec("t", f, required=("d", "v"), primary_key=("v",), partition_date="d")
 
 
 def test_table_specs_shape():
@@ -28,3 +28,9 @@ def test_table_specs_shape():
     assert TB.FT_POSTING_F.mode == "overwrite" and not TB.FT_POSTING_F.distinct
     assert TB.MD_CURRENCY_D.raw_schema.names == ["CURRENCY_RK", "DATA_ACTUAL_DATE", "DATA_ACTUAL_END_DATE",
                                                   "CURRENCY_CODE", "CODE_ISO_CHAR"]
+
+
+def test_key_columns_must_be_required():
+    f = (Field("d", "D", r.date("yyyy-M-d")), Field("k", "K", r.integer()), Field("v", "V", r.integer()))
+    with pytest.raises(ValueError, match="must be required"):
+        TableSpec("t", f, required=("d",), primary_key=("d", "k"))
