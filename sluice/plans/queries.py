@@ -506,6 +506,24 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_batches(spark, sf_dir, 2)
 
 
+@register("stream_merge", _UPSERT_ORACLE)
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming ingestion: the two batches of ``upsert_merge`` arrive as two file drops."""
+    from sluice.streaming import stream_feed
+
+    spec = TB.FT_BALANCE_F
+    root = new_dir(spark, "stream")
+    target, inbox, ckpt = f"{root}/ds/{spec.name}", f"{root}/in", f"{root}/ckpt"
+    drops = [
+        dict(where="o_orderkey % 2 = 0"),
+        dict(where="o_orderkey % 2 = 1 OR o_orderkey % 4 = 0", price=_UPDATED_PRICE),
+    ]
+    for i, shape in enumerate(drops):
+        feeds.materialize_feed(spark, sf_dir, spec.name, dest=f"{inbox}/drop{i}", **shape)
+        stream_feed(spark, spec, f"{inbox}/*", target, ckpt, journal_path=f"{root}/journal").awaitTermination()
+    return read_table(spark, spec, target)
+
+
 @register("overwrite_readback", X.cleaned("ft_posting_f"))
 def overwrite_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6/S3/K8: postings fully replaced twice, then read back (absent target → empty)."""
