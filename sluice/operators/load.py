@@ -176,15 +176,11 @@ def partition_folders(spark: SparkSession, path: str, part: str) -> list[str]:
     return [n[len(prefix):] for n in names if n.startswith(prefix)]
 
 
-def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) -> dict:
-    """Full replacement of the target by ``df``; the read-back count is returned.
+def check_overwrite(spec: TableSpec, df: DataFrame) -> dict:
+    """One job: NOT NULL and length check of a full replacement, plus its partitions.
 
-    One job checks NOT NULL and lengths and lists the new data's partitions; a failing
-    batch replaces nothing. The new partitions are then written with dynamic partition
-    overwrite — old files stay readable until the commit swaps them in — and partition
-    folders the new data does not have are removed afterwards. (With more than
-    ``MAX_PARTITION_LIST`` partitions, a plain overwrite replaces the folder.) The frame
-    must not read the target it replaces.
+    Raises ``ConstraintError`` (nothing replaced). Returns the partition values when
+    there are at most ``MAX_PARTITION_LIST`` of them (``None`` otherwise).
     """
     part = partition_column(spec)
     out = df.select(*spec.columns)
@@ -196,26 +192,50 @@ def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) ->
     if not part:
         bad = out.agg(*flags).first()
         _refuse_violations(spec, bad["nn"], bad["ln"])
+        return {"partitions": None}
+    per_part = out.groupBy(partition_value(spec).alias(part)).agg(*flags)
+    rows = per_part.limit(MAX_PARTITION_LIST + 1).collect()
+    if len(rows) <= MAX_PARTITION_LIST:
+        _refuse_violations(spec, sum(r["nn"] for r in rows), sum(r["ln"] for r in rows))
+        return {"partitions": sorted(r[part] for r in rows)}
+    bad = per_part.agg(F.sum("nn").alias("nn"), F.sum("ln").alias("ln")).first()
+    _refuse_violations(spec, bad["nn"], bad["ln"])
+    return {"partitions": None}
+
+
+def write_overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str, check: dict) -> dict:
+    """Replace the target by ``df`` (already checked); the read-back count is returned.
+
+    The new partitions are written with dynamic partition overwrite — old files stay
+    readable until the commit swaps them in — and partition folders the new data does
+    not have are removed afterwards. (Unpartitioned, or with more than
+    ``MAX_PARTITION_LIST`` partitions, a plain overwrite replaces the folder.) The frame
+    must not read the target it replaces.
+    """
+    part = partition_column(spec)
+    out = df.select(*spec.columns)
+    if not part:
         out.write.mode("overwrite").parquet(path)
     else:
         out = out.withColumn(part, partition_value(spec))
-        per_part = out.groupBy(part).agg(*flags)
-        rows = per_part.limit(MAX_PARTITION_LIST + 1).collect()
-        if len(rows) <= MAX_PARTITION_LIST:
-            _refuse_violations(spec, sum(r["nn"] for r in rows), sum(r["ln"] for r in rows))
+        if check["partitions"] is not None:
             _write_partitioned(out, spec, path, dynamic=True)
-            fresh = {str(r[part]) for r in rows}
+            fresh = {str(v) for v in check["partitions"]}
             for value in partition_folders(spark, path, part):
                 if value not in fresh:
                     remove_path(spark, f"{path.rstrip('/')}/{part}={value}")
         else:
-            bad = per_part.agg(F.sum("nn").alias("nn"), F.sum("ln").alias("ln")).first()
-            _refuse_violations(spec, bad["nn"], bad["ln"])
             _write_partitioned(out, spec, path, dynamic=False)
     loaded = spark.read.schema(target_schema(spec)).parquet(path).count()  # answered from Parquet footers
     return {"table": spec.name, "status": "overwritten", "rows_loaded": int(loaded)}
 
 
+def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) -> dict:
+    """Full replacement: ``check_overwrite`` (a failing batch replaces nothing), then
+    ``write_overwrite``."""
+    return write_overwrite(spark, spec, df, path, check_overwrite(spec, df))
+
+
 def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) -> dict:
     """Keys, conflicting keys and touched partitions of a batch, in one job.
 
@@ -266,37 +286,44 @@ def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) ->
             "lo": t["lo"], "hi": t["hi"], "n_partitions": int(t["n"])}
 
 
-def upsert(
+def check_batch(spec: TableSpec, batch: DataFrame, *, batch_is_distinct: bool = True) -> dict:
+    """The summary job of an upsert; raises before anything is written.
+
+    Key check (N2): any key with two different rows (or two rows at all for a spec
+    without distinct) refuses the batch; NOT NULL and length checks (N1, N3) too.
+    Returns the summary (keys, touched partitions) that ``merge_batch`` needs.
+    """
+    if spec.mode != "upsert":
+        raise ValueError(f"{spec.name} is not an upsert table")
+    if partition_column(spec) is None:
+        raise ValueError(f"{spec.name}: an upsert target needs partition_date")
+    summary = batch_summary(batch.select(*spec.columns), spec, distinct_rows=not batch_is_distinct and spec.distinct)
+    if summary["conflicts"]:
+        raise KeyConflictError(
+            f"{spec.name}: {summary['conflicts']} key(s) of {tuple(spec.primary_key)} occur more than once in the batch"
+        )
+    _refuse_violations(spec, summary["not_null"], summary["too_long"])
+    return summary
+
+
+def merge_batch(
     spark: SparkSession,
     spec: TableSpec,
     batch: DataFrame,
     path: str,
+    summary: dict,
     *,
     batch_is_distinct: bool = True,
 ) -> dict:
-    """Merge ``batch`` (spec columns, ideally read from staging) into the target at ``path``.
-
-    1. One summary job: key check (N2) — any key with two different rows (or two rows
-       at all for a spec without distinct) refuses the batch — and the NOT NULL and
-       length checks (N1, N3), all before anything is written; plus the partitions the
-       batch touches.
-    2. ``touched ▷ batch keys ∪ batch``, written with dynamic partition overwrite, so
-       untouched partitions are neither read nor rewritten. The join strategy is left
-       to Catalyst/AQE (a small batch is broadcast after its size is measured).
+    """Write ``touched ▷ batch keys ∪ batch`` for a batch ``check_batch`` accepted.
+
+    Dynamic partition overwrite: untouched partitions are neither read nor rewritten.
+    The join strategy is left to Catalyst/AQE (small batch keys are broadcast after
+    their size is measured).
     """
-    if spec.mode != "upsert":
-        raise ValueError(f"{spec.name} is not an upsert table")
     part = partition_column(spec)
-    if part is None:
-        raise ValueError(f"{spec.name}: an upsert target needs partition_date")
     pk = list(spec.primary_key)
     batch = batch.select(*spec.columns)
-    summary = batch_summary(batch, spec, distinct_rows=not batch_is_distinct and spec.distinct)
-    if summary["conflicts"]:
-        raise KeyConflictError(
-            f"{spec.name}: {summary['conflicts']} key(s) of {tuple(pk)} occur more than once in the batch"
-        )
-    _refuse_violations(spec, summary["not_null"], summary["too_long"])
     result = {"table": spec.name, "status": "upserted", "rows_batch": summary["keys"],
               "partitions": summary["n_partitions"]}
     if summary["keys"] == 0:
@@ -305,6 +332,7 @@ def upsert(
         # No key conflicts: removing duplicate keys is removing duplicate rows.
         batch = batch.dropDuplicates(pk)
     new_rows = batch.withColumn(part, partition_value(spec))
+    spread = summary["n_partitions"] > SPREAD_ABOVE_PARTITIONS
 
     if not path_exists(spark, path):
         _write_partitioned(new_rows, spec, path)
@@ -312,7 +340,7 @@ def upsert(
     if summary["partitions"] is not None and len(summary["partitions"]) <= READ_FOLDERS_UP_TO:
         touched = read_partitions(spark, spec, path, summary["partitions"])
         if touched is None:  # only new partitions: nothing to keep
-            _write_partitioned(new_rows, spec, path, spread=summary["n_partitions"] > SPREAD_ABOVE_PARTITIONS)
+            _write_partitioned(new_rows, spec, path, spread=spread)
             return result
     elif summary["partitions"] is not None:
         touched = read_target(spark, spec, path).filter(F.col(part).isin(summary["partitions"]))  # PartitionFilters
@@ -322,5 +350,20 @@ def upsert(
             wanted, part, "left_semi")
     kept = touched.join(batch.select(*pk), pk, "left_anti")
     merged = kept.select(*spec.columns, part).unionByName(new_rows.select(*spec.columns, part))
-    _write_partitioned(merged, spec, path, spread=summary["n_partitions"] > SPREAD_ABOVE_PARTITIONS)
+    _write_partitioned(merged, spec, path, spread=spread)
     return result
+
+
+def upsert(
+    spark: SparkSession,
+    spec: TableSpec,
+    batch: DataFrame,
+    path: str,
+    *,
+    batch_is_distinct: bool = True,
+) -> dict:
+    """Merge ``batch`` (spec columns, ideally read from staging) into the target at ``path``:
+    ``check_batch`` (one summary job; a refused batch writes nothing), then
+    ``merge_batch``."""
+    summary = check_batch(spec, batch, batch_is_distinct=batch_is_distinct)
+    return merge_batch(spark, spec, batch, path, summary, batch_is_distinct=batch_is_distinct)

@@ -39,7 +39,7 @@ def main(argv: Optional[Sequence[str]] = None, spark: Optional[SparkSession] = N
     run.add_argument("--target-root", required=True)
     run.add_argument("--journal")
     run.add_argument("--tables", help="comma-separated subset, kept in run order")
-    run.add_argument("--parallelism", type=int, default=1)
+    run.add_argument("--parallelism", type=int, default=4, help="tables prepared at once (commits stay in order)")
     run.add_argument("--run-id")
     state = sub.add_parser("state", help="print the folded journal")
     state.add_argument("--journal", required=True)

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from sluice.operators import journal
 from sluice.operators.clean import accepted_observed, align
-from sluice.operators.load import overwrite, remove_path, upsert
+from sluice.operators.load import check_batch, check_overwrite, merge_batch, remove_path, write_overwrite
 from sluice.plans.tables import RUN_ORDER
 from sluice.sources.delimited import read_feed
 from sluice.spec import TableSpec
@@ -36,6 +36,41 @@ def stage_accepted(spark: SparkSession, spec: TableSpec, source: str, stage_dir:
     return align(staged, spec), counters.get()
 
 
+def prepare_table(spark: SparkSession, spec: TableSpec, source: str, stage_dir: str) -> dict:
+    """Everything before the target is touched: the text pass and the checks.
+
+    Stages the accepted rows (counters observed on that write) and runs the batch
+    checks (keys, NOT NULL, lengths; touched partitions). Raises on a refused batch.
+    Reads no target and writes only ``stage_dir``, so tables can be prepared side by
+    side without changing what a failed run leaves behind.
+    """
+    batch, stats = stage_accepted(spark, spec, source, stage_dir)
+    if spec.mode == "overwrite":
+        batch = batch.dropDuplicates() if spec.distinct else batch
+        check = check_overwrite(spec, batch)
+    else:
+        check = check_batch(spec, batch, batch_is_distinct=not spec.distinct)
+        if spec.distinct:
+            # No key conflicts: one distinct row per key.
+            stats["rows_output"] = check["keys"]
+    return {"spec": spec, "batch": batch, "stats": stats, "check": check, "stage": stage_dir}
+
+
+def commit_table(spark: SparkSession, prepared: dict, target: str, *, keep_stage: bool = False) -> dict:
+    """Write a prepared batch into its target; drop the staging folder after success."""
+    spec, batch, stats = prepared["spec"], prepared["batch"], prepared["stats"]
+    if spec.mode == "overwrite":
+        load = write_overwrite(spark, spec, batch, target, prepared["check"])
+        if spec.distinct:
+            stats["rows_output"] = load["rows_loaded"]
+    else:
+        load = merge_batch(spark, spec, batch, target, prepared["check"], batch_is_distinct=not spec.distinct)
+    load["stage"] = prepared["stage"] if keep_stage else None
+    if not keep_stage:
+        remove_path(spark, prepared["stage"])
+    return {"table": spec.name, "transform": stats, "load": load}
+
+
 def load_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -51,20 +86,7 @@ def load_table(
     it); a failed load leaves it for inspection or a rerun.
     """
     stage_dir = stage_dir or new_dir(spark, f"stage/{spec.name}")
-    batch, stats = stage_accepted(spark, spec, source, stage_dir)
-    if spec.mode == "overwrite":
-        load = overwrite(spark, spec, batch.dropDuplicates() if spec.distinct else batch, target)
-        if spec.distinct:
-            stats["rows_output"] = load["rows_loaded"]
-    else:
-        load = upsert(spark, spec, batch, target, batch_is_distinct=not spec.distinct)
-        if spec.distinct:
-            # No key conflicts: one distinct row per key.
-            stats["rows_output"] = load["rows_batch"]
-    load["stage"] = stage_dir if keep_stage else None
-    if not keep_stage:
-        remove_path(spark, stage_dir)
-    return {"table": spec.name, "transform": stats, "load": load}
+    return commit_table(spark, prepare_table(spark, spec, source, stage_dir), target, keep_stage=keep_stage)
 
 
 def run_all(
@@ -75,19 +97,19 @@ def run_all(
     *,
     specs: Iterable[TableSpec] = RUN_ORDER,
     run_id: Optional[str] = None,
-    parallelism: int = 1,
+    parallelism: int = 4,
 ) -> dict:
-    """Load every table, journaled; a failure fails the run.
+    """Load every table in order, journaled; the first failure ends the run.
 
     Journal events: ``Started`` before the first table, then ``Success`` with the
     per-table counters and the Spark version, or ``Failed`` with the error, the table
     that failed and the traceback (the exception is re-raised).
 
-    ``parallelism=1`` loads the tables one after another in ``specs`` order and stops
-    at the first failure. The tables are independent, so ``parallelism > 1`` submits
-    that many loads at once from driver threads (Spark schedules their jobs side by
-    side); the first failure in ``specs`` order is reported, and loads already running
-    are allowed to finish.
+    Preparing a table (text pass, staging, checks) touches no target, so up to
+    ``parallelism`` tables are prepared at once from driver threads (Spark schedules
+    their jobs side by side). Commits run one table after another in ``specs`` order;
+    the first table whose preparation or commit fails ends the run, and no later table
+    is committed — the same targets as a strictly sequential run.
     """
     specs = list(specs)
     run_id = run_id or uuid.uuid4().hex
@@ -95,27 +117,29 @@ def run_all(
     journal.log_start(spark, journal_path, run_id)
     tables: dict[str, dict] = {}
 
-    def one(spec: TableSpec) -> dict:
-        return load_table(spark, spec, sources[spec.feed_name], targets[spec.name], stage_dir=f"{run_dir}/{spec.name}")
+    def prepare(spec: TableSpec) -> dict:
+        return prepare_table(spark, spec, sources[spec.feed_name], f"{run_dir}/{spec.name}")
 
     step = "start"
     try:
-        if parallelism <= 1:
-            for spec in specs:
-                step = spec.name
-                tables[spec.name] = one(spec)
-        else:
-            with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="sluice-load") as pool:
-                futures = [(spec, pool.submit(one, spec)) for spec in specs]
-                for spec, fut in futures:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism), thread_name_prefix="sluice-prepare") as pool:
+            # parallelism 1: each table is prepared only when its turn comes.
+            pending = [pool.submit(prepare, spec) for spec in specs] if parallelism > 1 else [None] * len(specs)
+            try:
+                for i, spec in enumerate(specs):
                     step = spec.name
-                    tables[spec.name] = fut.result()
+                    prepared = pending[i].result() if pending[i] is not None else prepare(spec)
+                    tables[spec.name] = commit_table(spark, prepared, targets[spec.name])
+            except BaseException:
+                for fut in pending:  # preparations not started yet are dropped
+                    if fut is not None:
+                        fut.cancel()
+                raise
     except Exception as exc:
         journal.log_finish(
             spark, journal_path, run_id, False, error_message=str(exc), extra=journal.failure_detail(exc, step)
         )
         raise
-    tables = {spec.name: tables[spec.name] for spec in specs}
     result = {"run_id": run_id, "tables": tables, "spark_version": spark.version}
     journal.log_finish(spark, journal_path, run_id, True, extra={"tables": tables, "spark_version": spark.version})
     return result

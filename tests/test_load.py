@@ -240,3 +240,23 @@ def test_stage_dropped_on_success_kept_on_failure(spark, workdir):
     with pytest.raises(load.KeyConflictError):
         R.load_table(spark, SPEC, f"{workdir}/bad", f"{workdir}/t", stage_dir=f"{workdir}/s2")
     assert load.path_exists(spark, f"{workdir}/s2/accepted")
+
+
+def test_parallel_prepare_keeps_ordered_commits(spark, workdir):
+    from sluice.operators import journal
+    from sluice.plans import run as R
+    from sluice.sources.delimited import write_delimited
+
+    bal = "ON_DATE string, ACCOUNT_RK string, CURRENCY_RK string, BALANCE_OUT string"
+    write_delimited(spark.createDataFrame([("1.1.2018", "1", "1", "1")], bal), f"{workdir}/bal")
+    cur = "CURRENCY_RK string, DATA_ACTUAL_DATE string, DATA_ACTUAL_END_DATE string, CURRENCY_CODE string, CODE_ISO_CHAR string"
+    write_delimited(spark.createDataFrame([("7", "2018-01-01", "", "1", "A")] * 2, cur), f"{workdir}/cur")
+    specs = [TB.FT_BALANCE_F, TB.MD_CURRENCY_D]  # the later table is the one that fails
+    targets = {s.name: f"{workdir}/ds/{s.name}" for s in specs}
+    with pytest.raises(load.KeyConflictError):
+        R.run_all(spark, {"ft_balance_f": f"{workdir}/bal", "md_currency_d": f"{workdir}/cur"}, targets,
+                  f"{workdir}/j", specs=specs, run_id="r2", parallelism=4)
+    assert load.read_table(spark, TB.FT_BALANCE_F, targets["ft_balance_f"]).count() == 1  # committed first
+    assert load.read_target(spark, TB.MD_CURRENCY_D, targets["md_currency_d"]) is None
+    state = journal.fold(journal.read_events(spark, f"{workdir}/j")).collect()[0]
+    assert state.status == "Failed" and '"failed_step": "md_currency_d"' in state.extra
