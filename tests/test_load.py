@@ -260,3 +260,14 @@ def test_parallel_prepare_keeps_ordered_commits(spark, workdir):
     assert load.read_target(spark, TB.MD_CURRENCY_D, targets["md_currency_d"]) is None
     state = journal.fold(journal.read_events(spark, f"{workdir}/j")).collect()[0]
     assert state.status == "Failed" and '"failed_step": "md_currency_d"' in state.extra
+
+
+def test_small_merge_reads_only_touched_folders(spark, workdir):
+    t = f"{workdir}/folders"
+    load.upsert(spark, SPEC, spark.createDataFrame([(J1, 1, 1, 1.0), (F1, 2, 1, 1.0), (M1, 3, 1, 1.0)], BAL), t)
+    part = load.partition_column(SPEC)
+    df = load.read_partitions(spark, SPEC, t, [dt.date(2018, 2, 1), dt.date(2019, 1, 1)])  # one present, one new
+    files = df.inputFiles()
+    assert files and all(f"{part}=2018-02-01" in f for f in files)
+    assert [(r.account_rk, r[part]) for r in df.collect()] == [(2, dt.date(2018, 2, 1))]
+    assert load.read_partitions(spark, SPEC, t, [dt.date(2019, 1, 1)]) is None
