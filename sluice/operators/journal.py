@@ -13,7 +13,6 @@ state of each run is a single partially aggregated ``groupBy(run_id)``:
 
 from __future__ import annotations
 
-import datetime as _dt
 import json
 import traceback
 from typing import Optional
@@ -38,11 +37,16 @@ STATE_COLUMNS = ["run_id", "started_at", "finished_at", "status", "error_message
 
 
 def _append(spark: SparkSession, path: str, run_id: str, event: str, error: Optional[str], extra: Optional[str]) -> None:
-    # An aware UTC instant: PySpark converts it exactly, whatever the host's time zone.
-    row = (run_id, _dt.datetime.now(_dt.timezone.utc), event, error, extra)
-    # One small file per event; the fold reads them all. current_timestamp() would
-    # be evaluated again on a retried task, so the time is fixed on the driver.
-    spark.createDataFrame([row], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    """One event row, stamped with ``current_timestamp()`` (fixed once per query by the
+    optimizer), appended as one small file; the fold reads them all."""
+    row = spark.range(1).select(
+        F.lit(run_id).alias("run_id"),
+        F.current_timestamp().alias("at"),
+        F.lit(event).alias("event"),
+        F.lit(error).cast("string").alias("error_message"),
+        F.lit(extra).cast("string").alias("extra"),
+    )
+    row.write.mode("append").parquet(path)
 
 
 def log_start(spark: SparkSession, path: str, run_id: str) -> str:
