@@ -81,6 +81,12 @@ class TableSpec:
                 raise ValueError(f"{self.name}: primary key columns must be required (NOT NULL)")
             if self.partition_date and self.partition_date not in self.primary_key:
                 raise ValueError(f"{self.name}: partition date must be part of the primary key")
+        types = {f.name: f.dtype for f in self.fields}
+        for col, fallback in self.defaults:
+            if types[col] != types[fallback]:
+                raise ValueError(f"{self.name}: default of {col!r} must have its type ({types[col]})")
+        if self.partition_date and types.get(self.partition_date) != "date":
+            raise ValueError(f"{self.name}: partition_date must be a date column")
         if self.partition_grain not in ("month", "day"):
             raise ValueError(f"{self.name}: partition_grain must be 'month' or 'day'")
 

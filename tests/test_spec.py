@@ -34,3 +34,11 @@ def test_key_columns_must_be_required():
     f = (Field("d", "D", r.date("yyyy-M-d")), Field("k", "K", r.integer()), Field("v", "V", r.integer()))
     with pytest.raises(ValueError, match="must be required"):
         TableSpec("t", f, required=("d",), primary_key=("d", "k"))
+
+
+def test_defaults_and_partition_column_types():
+    f = (Field("d", "D", r.date("yyyy-M-d")), Field("k", "K", r.integer()), Field("e", "E", r.integer()))
+    with pytest.raises(ValueError, match="default of 'e'"):
+        TableSpec("t", f, required=("d", "k"), primary_key=("d", "k"), defaults=(("e", "d"),))
+    with pytest.raises(ValueError, match="must be a date column"):
+        TableSpec("t", f, required=("d", "k"), primary_key=("d", "k"), partition_date="k")
