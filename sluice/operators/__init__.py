@@ -1,0 +1 @@
+"""Operators: cleaning (clean), constraint checks (checks), loading (load), run journal (journal)."""
