@@ -129,3 +129,21 @@ def test_key_and_code_rules_take_any_input_type(spark):
     df = spark.createDataFrame([(12, 810)], "k long, c int")
     row = df.select(parse.digits_key(F.col("k")).alias("k"), parse.code_field(F.col("c"), 3).alias("c")).first()
     assert (row.k, row.c) == (12, "810")
+
+
+def test_rules_do_not_depend_on_ansi_mode(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    cases = ["12.7", "abc", "", "1e3", "4294967301", " 5 "]
+    dates = ["2018-02-30", "2018-1-1abc", "x"]
+    try:
+        got = {}
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            got[mode] = (
+                _apply(spark, cases, lambda c: parse.parse_integral(c, "int")),
+                _apply(spark, cases, parse.parse_double),
+                _apply(spark, dates, lambda c: parse.parse_date(c, "yyyy-M-d")),
+            )
+        assert got["true"] == got["false"]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
