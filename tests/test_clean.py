@@ -86,3 +86,17 @@ def test_reordered_file_in_a_drop_is_refused(spark, workdir):
                     f"{workdir}/drop/b")
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_feed(spark, TB.FT_BALANCE_F, f"{workdir}/drop/*").collect()
+
+
+def test_bom_and_blank_lines_in_a_feed(spark, workdir):
+    import os
+
+    folder = workdir.replace("file:", "") + "/bom"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/ft_balance_f.csv", "w", encoding="utf-8-sig") as fh:  # writes a BOM first
+        fh.write("ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT\n31.12.2017;42;1;10.5\n\n1.1.2018;43;;\n")
+    raw = read_feed(spark, TB.FT_BALANCE_F, folder)
+    assert raw.columns[0] == "ON_DATE"
+    out = sorted(clean.transform(raw, TB.FT_BALANCE_F).collect(), key=lambda r: r.account_rk)
+    assert [(r.on_date, r.account_rk, r.currency_rk, r.balance_out) for r in out] == [
+        (dt.date(2017, 12, 31), 42, 1, 10.5), (dt.date(2018, 1, 1), 43, None, None)]
