@@ -100,3 +100,16 @@ def test_bom_and_blank_lines_in_a_feed(spark, workdir):
     out = sorted(clean.transform(raw, TB.FT_BALANCE_F).collect(), key=lambda r: r.account_rk)
     assert [(r.on_date, r.account_rk, r.currency_rk, r.balance_out) for r in out] == [
         (dt.date(2017, 12, 31), 42, 1, 10.5), (dt.date(2018, 1, 1), 43, None, None)]
+
+
+def test_schema_bound_read_checks_the_header(spark, workdir):
+    import pytest
+
+    cols = "ON_DATE string, ACCOUNT_RK string, CURRENCY_RK string, BALANCE_OUT string"
+    write_delimited(spark.createDataFrame([("1.1.2018", "1", "2", "3.5")], cols), f"{workdir}/inorder")
+    raw = read_feed(spark, TB.FT_BALANCE_F, f"{workdir}/inorder", by_header=False)
+    assert [tuple(r) for r in raw.collect()] == [("1.1.2018", "1", "2", "3.5")]
+    swapped = "ACCOUNT_RK string, ON_DATE string, CURRENCY_RK string, BALANCE_OUT string"
+    write_delimited(spark.createDataFrame([("1", "1.1.2018", "2", "3.5")], swapped), f"{workdir}/swapped")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_feed(spark, TB.FT_BALANCE_F, f"{workdir}/swapped", by_header=False).collect()
