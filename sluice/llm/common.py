@@ -72,20 +72,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def shingles(words: np.ndarray, starts: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each run of ``width`` words that lies within one text, and the text's number.
+def shingles(words: np.ndarray, starts: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each run of ``width`` words that lies within one text, the text's number, and
+    where in ``words`` the run begins.
 
     ``words`` and ``starts`` are as from ``hash_words``; texts with fewer words give none.
     """
     n = len(words) - width + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = words[:n] * _MULTIPLIERS[0]
     for k in range(1, width):
         h = h + words[k : k + n] * _MULTIPLIERS[k % 5] * np.uint64(2 * (k // 5) + 1)
     owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    whole = owner[:n] == owner[width - 1 :]
-    return mix(h[whole]), owner[:n][whole]
+    whole = np.flatnonzero(owner[:n] == owner[width - 1 :])
+    return mix(h[whole]), owner[whole], whole
 
 
 def rows(schema: pa.Schema, **columns) -> pa.RecordBatch:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import packing, token_output
+from sluice.llm import decontaminate, packing, token_output
 from sluice.workspace import new_dir
 
 
@@ -27,6 +27,20 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.search(docs, table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.aggregate("hit_words", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=0, capacity=2048)
     return packed.select(
@@ -35,7 +49,7 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op4_pack": op4_pack}
+    return {"op1_token_output": op1_token_output, "op3_decontaminate": op3_decontaminate, "op4_pack": op4_pack}
 
 
 def oracle_sql() -> dict[str, str]:
