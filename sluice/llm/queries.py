@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, packing, token_output
+from sluice.llm import decontaminate, packing, quality_rules, token_output
 from sluice.workspace import new_dir
 
 
@@ -27,6 +27,20 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        F.array_join("broken", ",").alias("broken"),
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.search(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -49,7 +63,7 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op3_decontaminate": op3_decontaminate, "op4_pack": op4_pack}
+    return {"op1_token_output": op1_token_output, "op2_quality_rules": op2_quality_rules, "op3_decontaminate": op3_decontaminate, "op4_pack": op4_pack}
 
 
 def oracle_sql() -> dict[str, str]:
