@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, packing, quality_rules, token_output
+from sluice.llm import decontaminate, near_dedup, packing, quality_rules, token_output
 from sluice.workspace import new_dir
 
 
@@ -62,8 +62,12 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op2_quality_rules": op2_quality_rules, "op3_decontaminate": op3_decontaminate, "op4_pack": op4_pack}
+    return {"op1_token_output": op1_token_output, "op2_quality_rules": op2_quality_rules, "op3_decontaminate": op3_decontaminate, "op4_pack": op4_pack, "op5_near_dedup": op5_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
