@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, near_dedup, packing, quality_rules, token_output
+from sluice.llm import decontaminate, near_dedup, packing, quality_rules, suffix_dedup, token_output
 from sluice.workspace import new_dir
 
 
@@ -66,8 +66,23 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output, "op2_quality_rules": op2_quality_rules, "op3_decontaminate": op3_decontaminate, "op4_pack": op4_pack, "op5_near_dedup": op5_near_dedup}
+    found = [
+        op1_token_output,
+        op2_quality_rules,
+        op3_decontaminate,
+        op4_pack,
+        op5_near_dedup,
+        op10_suffix_dedup,
+    ]
+    return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
