@@ -108,6 +108,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """
     counted = with_counts(docs.select("lang", "source", "text")).drop("text")
     limits = fences(counted)
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    again = with_counts(docs.select("lang", "source", F.col("text"), whole)).drop("text")
-    return judge(again, limits).filter("kept").select("row.*")
+    rest = [c for c in docs.columns if c != "text"]
+    beside = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("row")
+    again = with_counts(docs.select("lang", "source", "text", beside))
+    kept = judge(again, limits).filter("kept")
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

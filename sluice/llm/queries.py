@@ -12,6 +12,9 @@ from sluice.llm import decontaminate, near_dedup, packing, quality_rules, suffix
 from sluice.workspace import new_dir
 
 
+SEQUENCE_TOKENS = 2048
+
+
 def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -56,7 +59,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=0, capacity=2048)
+    packed = packing.pack(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=0, capacity=SEQUENCE_TOKENS)
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )

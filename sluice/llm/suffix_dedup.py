@@ -394,8 +394,11 @@ def removal_spans(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int =
     return mine.join(whole, "text_hash", "full")
 
 
-def remove(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int = 100_000) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans and ``kept`` (the remaining bytes)."""
+def remove(
+    docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int = 100_000, characters: bool = False
+) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans and ``kept`` (the remaining bytes). With
+    ``characters``, characters of which a byte goes go as a whole."""
     spans = store(removal_spans(docs, hot_runs, broadcast_rows), "removal-spans")
     spans = spans.withColumnRenamed("text_hash", "removal_of")
     side = F.broadcast(spans) if spans.count() <= broadcast_rows else spans
@@ -410,6 +413,8 @@ def remove(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int = 100_000
                 got: dict[str, list] = {f.name: [] for f in added}
                 for text, whole, spans in zip(*(part.column(c).to_pylist() for c in ("text_bytes", "whole", "spans"))):
                     gone = merge([(0, len(text))] if whole else [(s["start"], s["end"]) for s in spans or []])
+                    if characters:
+                        gone = merge([_whole_characters(text, s, e) for s, e in gone])
                     got["kept"].append(cut(text, gone))
                     got["n_bytes"].append(len(text))
                     got["n_removed"].append(sum(e - s for s, e in gone))
@@ -423,6 +428,26 @@ def remove(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int = 100_000
     return joined.drop("removal_key", "removal_of").mapInArrow(work, schema)
 
 
+def strip(docs: DataFrame) -> DataFrame:
+    """``docs`` without repeated strings, whole characters at a time; documents of which nothing
+    is left go. All columns stay; n_chars, where there is one, follows."""
+    beside = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    left = remove(docs.select("doc_id", "text", beside), characters=True).filter("n_removed = 0 or length(kept) > 0")
+    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text")).alias("text")
+    rows = left.select(text, "row").select("text", "row.*").drop("_")
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(docs.columns)
+
+
+def _whole_characters(text: bytes, start: int, end: int) -> tuple[int, int]:
+    while start and text[start] & 0xC0 == 0x80:
+        start -= 1
+    while end < len(text) and text[end] & 0xC0 == 0x80:
+        end += 1
+    return start, end
+
+
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching spans become one."""
     out: list[tuple[int, int]] = []
