@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, near_dedup, packing, quality_rules, suffix_dedup, token_output
+from sluice.llm import decontaminate, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, token_output
 from sluice.workspace import new_dir
 
 
@@ -69,6 +69,16 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def fold(doc_id: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``; a null id is in fold 0."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(0))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_classifier.classify(docs, labels, fold("doc_id", 5) == 0)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove(docs).select(
@@ -83,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_decontaminate,
         op4_pack,
         op5_near_dedup,
+        op8_quality_classifier,
         op10_suffix_dedup,
     ]
     return {q.__name__: q for q in found}
