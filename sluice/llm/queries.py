@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, token_output
+from sluice.llm import decontaminate, lm_score, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, token_output
 from sluice.workspace import new_dir
 
 
@@ -79,6 +79,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, labels, fold("doc_id", 5) == 0)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove(docs).select(
@@ -94,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_pack,
         op5_near_dedup,
         op8_quality_classifier,
+        op9_lm_score,
         op10_suffix_dedup,
     ]
     return {q.__name__: q for q in found}
