@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, lm_score, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, token_output
+from sluice.llm import (
+    decontaminate,
+    license_scan,
+    lm_score,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    token_output,
+)
 from sluice.workspace import new_dir
 
 
@@ -69,6 +80,21 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), word_tokenizer()).drop("name")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_windows",
+        F.array_join(F.transform("licenses", lambda x: x["name"]), ",").alias("licenses"),
+        F.size("licenses").alias("n_licenses"),
+        F.array_max(F.transform("licenses", lambda x: x["containment"])).alias("containment"),
+    )
+
+
 def fold(doc_id: str, parts: int):
     """crc32 of the id as text, modulo ``parts``; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(0))
@@ -97,6 +123,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_decontaminate,
         op4_pack,
         op5_near_dedup,
+        op6_token_counts,
+        op7_license_scan,
         op8_quality_classifier,
         op9_lm_score,
         op10_suffix_dedup,
@@ -106,4 +134,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements of the queries that SQL can express."""
-    return {}
+    return {"op7_license_scan": license_scan.oracle()}

@@ -23,7 +23,7 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*\Z")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-z0-9à-öø-ÿß]+")
 
 
-class _Cache(dict):
+class Cache(dict):
     """Values made on first use; of two generations of ``limit`` entries the older one goes."""
 
     def __init__(self, make, limit: int):
@@ -56,8 +56,8 @@ class Encoder:
         self._model = self._tokenizer.model
         letters = _byte_letters()
         self._letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
-        self._parts = _Cache(self._part, limit)
-        self._pieces = _Cache(self._piece, limit)
+        self._parts = Cache(self._part, limit)
+        self._pieces = Cache(self._piece, limit)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
