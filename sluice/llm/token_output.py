@@ -160,9 +160,10 @@ def write_shards(
     shards.write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(f"{path}/shards")
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, broadcast_rows: int = 200_000) -> DataFrame:
     """doc_id, start, n_tokens and the ids (little-endian unsigned 32-bit) of each document in
-    the shards; ``start`` counts the ids of all documents before it."""
+    the shards; ``start`` counts the ids of all documents before it. The shards' first
+    positions are broadcast up to ``broadcast_rows`` shards, so no ids are shuffled."""
     table = np.array(
         [r["token_id"] for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()], dtype="<u4"
     )
@@ -199,8 +200,9 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     )
     # One row a shard of millions of tokens.
     before = Window.orderBy("partition", "sequence").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = heads.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).drop("tokens")
-    return documents.join(offsets, ["partition", "sequence"]).select(
+    offsets = store(heads.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))).drop("tokens"), "offsets")
+    side = F.broadcast(offsets) if offsets.count() <= broadcast_rows else offsets
+    return documents.join(side, ["partition", "sequence"]).select(
         "doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids"
     )
 
