@@ -9,18 +9,29 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.spec import TableSpec
 
 
+def _any(flags: list[Column]) -> Column:
+    """True if any flag is true (NULL flags, e.g. the length of a NULL, count as false)."""
+    return F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in flags], F.lit(False)), F.lit(False))
+
+
+def violation_flags(spec: TableSpec) -> tuple[Column, Column]:
+    """Per-row flags: a NOT NULL column is NULL; a text is longer than its column. The load
+    counts them; the violation frames below list what they mark."""
+    return (
+        _any([F.col(c).isNull() for c in spec.not_null]),
+        _any([F.length(c) > n for c, n in spec.lengths.items()]),
+    )
+
+
 def not_null_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows with a NULL in any NOT NULL column."""
-    cols = spec.not_null
-    if not cols:
-        return df.limit(0)
-    return df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols]))
+    return df.filter(violation_flags(spec)[0])
 
 
 def pk_violations(df: DataFrame, spec: TableSpec, *, distinct_rows: bool = False) -> DataFrame:

@@ -17,13 +17,15 @@ from typing import Optional
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from sluice.operators.checks import violation_flags
 from sluice.spec import TableSpec
 
 
-def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Raw strings → the spec's typed columns that come from the feed (no filtering)."""
+def typed(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw strings → the spec's typed columns that come from the feed (no filtering), and the
+    columns to ``keep`` as they are."""
     return raw.select(
-        *[f.rule(F.col(f"`{f.source}`")).alias(f.name) for f in spec.fields if f.source is not None]
+        *[f.rule(F.col(f"`{f.source}`")).alias(f.name) for f in spec.fields if f.source is not None], *keep
     )
 
 
@@ -54,7 +56,9 @@ def align(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def accepted(raw: DataFrame, spec: TableSpec, counted: Optional[Observation] = None) -> DataFrame:
+def accepted(
+    raw: DataFrame, spec: TableSpec, counted: Optional[Observation] = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Typed, filtered and defaulted rows, before duplicate removal.
 
     The typed rows are counted (``counted``) before the filter. The count also keeps
@@ -62,7 +66,7 @@ def accepted(raw: DataFrame, spec: TableSpec, counted: Optional[Observation] = N
     evaluate twice — every parse expression the filter tests.
     """
     counted = counted or Observation()
-    rows = typed(raw, spec).observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = typed(raw, spec, keep).observe(counted, F.count(F.lit(1)).alias("rows"))
     return apply_defaults(required_filter(rows, spec), spec)
 
 
@@ -83,44 +87,41 @@ class Counters:
     table: str
     observed_input: Observation
     observed_accepted: Observation
-    observed_output: Optional[Observation] = None
-    rows_output: Optional[int] = None
 
     def get(self) -> dict:
         rows_input = int(self.observed_input.get["rows"])
         rows_after = int(self.observed_accepted.get["rows"])
-        if self.rows_output is not None:
-            rows_output = self.rows_output
-        elif self.observed_output is not None:
-            rows_output = int(self.observed_output.get["rows"])
-        else:
-            rows_output = rows_after
         return {
             "rows_input": rows_input,
             "rows_after_filter": rows_after,
-            "rows_output": rows_output,
+            "rows_output": rows_after,
             "rows_rejected": rows_input - rows_after,
         }
 
+    def violations(self) -> tuple[int, int]:
+        """Accepted rows that break NOT NULL, and that break a length."""
+        seen = self.observed_accepted.get
+        return int(seen["not_null"] or 0), int(seen["too_long"] or 0)
 
-def _count(obs: Observation, df: DataFrame) -> DataFrame:
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
-
-def accepted_observed(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, Counters]:
-    """``accepted`` with input and accepted counters attached (one pass, no shuffle).
+def accepted_observed(
+    raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, Counters]:
+    """``accepted`` with its input, accepted and violation counters attached (one pass, no
+    shuffle).
 
     With no shuffle between scan and the action's write, every counter update comes from
     a result task, which Spark applies exactly once even when tasks are retried.
     """
     obs_in, obs_ok = Observation(), Observation()
-    return _count(obs_ok, accepted(raw, spec, obs_in)), Counters(spec.name, obs_in, obs_ok)
-
-
-def transform_observed(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, Counters]:
-    """``transform`` with all three counters attached."""
-    df, counters = accepted_observed(raw, spec)
-    if spec.distinct:
-        counters.observed_output = Observation()
-        df = _count(counters.observed_output, df.dropDuplicates())
-    return align(df, spec), counters
+    rows = accepted(raw, spec, obs_in, keep)
+    # Columns that the feed lacks are typed NULLs after alignment.
+    nn, ln = violation_flags(spec)
+    missing = {f.name: F.lit(None).cast(f.dtype) for f in spec.fields if f.name not in rows.columns}
+    flagged = rows.withColumns(missing).observe(
+        obs_ok,
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(nn.cast("long")).alias("not_null"),
+        F.sum(ln.cast("long")).alias("too_long"),
+    )
+    return flagged.select(*rows.columns), Counters(spec.name, obs_in, obs_ok)

@@ -3,13 +3,16 @@
 Upsert (the keyed merge the feed contract asks for): matched keys get every non-key
 column from the batch (NULLs included), new keys are inserted, keys absent from the
 batch are untouched. Targets are partitioned by the month (or day) of the key's date
-column, so a key never changes partition and only partitions the batch touches are
-read and rewritten (dynamic partition overwrite, a write option, not a session
-setting). A batch holding one key twice is refused before anything is written.
+column and, if the spec asks, by a bucket of the key: functions of the key, so a row
+never changes partition and only partitions the batch touches are read and rewritten
+(dynamic partition overwrite, a write option, not a session setting). A batch holding
+one key twice is refused before anything is written.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
 from typing import Optional
 
 from pyspark.errors import AnalysisException
@@ -17,91 +20,123 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.checks import violation_flags
 from sluice.spec import TableSpec
+from sluice.workspace import new_dir
 
-# Above this many touched partitions the pruning list becomes a semi join on a range.
+# Defaults of call parameters. They choose an access path or a file layout; the rows that
+# are written do not depend on them.
+#: ``max_partition_list``: above this many touched partitions the driver holds no list of
+#: them; the touched ones are found by a range and a semi join.
 MAX_PARTITION_LIST = 10_000
-# A merge touching at most this many partitions reads their folders directly instead of
-# listing the whole table (listing is the slow part of a small merge on object stores).
+#: ``read_folders_up_to``: a merge touching at most this many partitions reads their folders
+#: directly instead of listing the whole table (the slow part on object stores).
 READ_FOLDERS_UP_TO = 64
-# A merge touching at most this many partitions is written without the rebalance
-# shuffle: each task then writes at most this many files, and the touched side keeps
-# its scan layout (one partition per split) when the batch keys are broadcast.
+#: ``spread_above``: a merge touching at most this many partitions is written without the
+#: rebalance shuffle; each task then writes at most this many files, and the touched side
+#: keeps its scan layout when the batch keys are broadcast.
 SPREAD_ABOVE_PARTITIONS = 8
 
-
-class KeyConflictError(ValueError):
-    """The batch holds more than one row for some primary key."""
+KEY_BUCKET = "key_bucket"
 
 
-class ConstraintError(ValueError):
-    """The batch breaks a NOT NULL or length constraint of the target."""
+class KeyConflictError(ValueError):
+    """The batch holds more than one row for some primary key (``keys`` of them)."""
 
+    def __init__(self, message: str, keys: int = 0):
+        super().__init__(message)
+        self.keys = keys
 
-def _any(flags: list[Column]) -> Column:
-    """True if any flag is true (NULL flags, e.g. the length of a NULL, count as false)."""
-    if not flags:
-        return F.lit(False)
-    return F.coalesce(F.greatest(*flags) if len(flags) > 1 else flags[0], F.lit(False))
 
+class ConstraintError(ValueError):
+    """The batch breaks a NOT NULL (``not_null`` rows) or length (``too_long``) constraint."""
 
-def violation_flags(spec: TableSpec) -> tuple[Column, Column]:
-    """Per-row flags: a NOT NULL column is NULL; a text is longer than its column."""
-    return (
-        _any([F.col(c).isNull() for c in spec.not_null]),
-        _any([F.length(c) > n for c, n in spec.lengths.items()]),
-    )
+    def __init__(self, message: str, not_null: int = 0, too_long: int = 0):
+        super().__init__(message)
+        self.not_null, self.too_long = not_null, too_long
 
 
 def _refuse_violations(spec: TableSpec, not_null: int, too_long: int) -> None:
     if not_null or too_long:
         raise ConstraintError(
             f"{spec.name}: {not_null} row(s) with NULL in a NOT NULL column, "
-            f"{too_long} row(s) with text longer than its column"
+            f"{too_long} row(s) with text longer than its column",
+            not_null,
+            too_long,
         )
 
 
 def partition_column(spec: TableSpec) -> Optional[str]:
+    """The date partition column (``None`` for an unpartitioned target)."""
     if not spec.partition_date:
         return None
     return f"{spec.partition_date}_{spec.partition_grain}"
 
 
+def partition_columns(spec: TableSpec) -> list[str]:
+    """All partition columns: the date's, then the key bucket's if the spec has buckets."""
+    part = partition_column(spec)
+    if not part:
+        return []
+    return [part, KEY_BUCKET] if spec.key_buckets > 1 else [part]
+
+
 def partition_value(spec: TableSpec) -> Column:
     c = F.col(spec.partition_date)
     return F.trunc(c, "month") if spec.partition_grain == "month" else c
 
 
+def partition_values(spec: TableSpec) -> dict[str, Column]:
+    """Partition column → expression over the row (functions of the key, both)."""
+    out = {}
+    if partition_column(spec):
+        out[partition_column(spec)] = partition_value(spec)
+    if len(partition_columns(spec)) > 1:
+        out[KEY_BUCKET] = F.pmod(F.xxhash64(*spec.primary_key), F.lit(spec.key_buckets)).cast("int")
+    return out
+
+
 def target_schema(spec: TableSpec) -> T.StructType:
-    schema = spec.schema
-    part = partition_column(spec)
-    if part:
-        schema = T.StructType(schema.fields + [T.StructField(part, T.DateType(), True)])
-    return schema
+    kinds = [T.DateType(), T.IntegerType()]
+    added = [T.StructField(c, kinds[i], True) for i, c in enumerate(partition_columns(spec))]
+    return T.StructType(spec.schema.fields + added)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` exist on its file system (local, HDFS, object store)?"""
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) through the session's JVM, or ``None`` where there is no JVM
+    handle (Spark Connect). Errors of the file system itself are raised, never swallowed."""
     try:
         jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
-    except Exception:  # no JVM handle (e.g. Spark Connect): let the reader decide
-        try:
-            spark.read.parquet(path).schema
-            return True
-        except AnalysisException:
+    except Exception:  # Spark Connect refuses the attribute
+        return None
+    if jvm is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its file system (local, HDFS, object store)?
+
+    Only "not found" means no; any other failure (permissions, network) is raised, since
+    a partition that only seems absent would be overwritten by the batch alone.
+    """
+    handle = _file_system(spark, path)
+    if handle is not None:
+        return bool(handle[0].exists(handle[1]))
+    try:
+        spark.read.format("binaryFile").load(path).schema
+        return True
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return False
+        raise
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
-    """Delete ``path`` recursively on its file system; False if it cannot be reached."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True))
-    except Exception:  # no JVM handle (e.g. Spark Connect): the folder is kept
-        return False
+    """Delete ``path`` recursively; False if there is no JVM handle or nothing to delete."""
+    handle = _file_system(spark, path)
+    return bool(handle[0].delete(handle[1], True)) if handle is not None else False
 
 
 def read_target(spark: SparkSession, spec: TableSpec, path: str) -> Optional[DataFrame]:
@@ -111,25 +146,47 @@ def read_target(spark: SparkSession, spec: TableSpec, path: str) -> Optional[Dat
     return spark.read.schema(target_schema(spec)).parquet(path)
 
 
+def partition_folder(spec: TableSpec, values) -> str:
+    """Folder below the target of one partition: a date, or a (date, bucket) tuple."""
+    values = values if isinstance(values, tuple) else (values,)
+    return "/".join(f"{c}={v}" for c, v in zip(partition_columns(spec), values))
+
+
 def read_partitions(spark: SparkSession, spec: TableSpec, path: str, values: list) -> Optional[DataFrame]:
     """Only the given partitions of the target (``None`` if none of them exists yet).
 
     Each folder is checked with one file-system call and read with ``basePath`` set, so
-    the partition column keeps its value and no other partition is listed.
+    the partition columns keep their values and no other partition is listed.
     """
-    part = partition_column(spec)
-    folders = [f"{path.rstrip('/')}/{part}={v}" for v in values]
+    folders = [f"{path.rstrip('/')}/{partition_folder(spec, v)}" for v in values]
     present = [f for f in folders if path_exists(spark, f)]
     if not present:
         return None
     return spark.read.schema(target_schema(spec)).option("basePath", path).parquet(*present)
 
 
-def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    """The loaded table in the spec's columns; an absent target reads as empty."""
+def read_table(
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    date_from: Optional[dt.date] = None,
+    date_to: Optional[dt.date] = None,
+) -> DataFrame:
+    """The loaded table in the spec's columns; an absent target reads as empty.
+
+    ``date_from`` and ``date_to`` (both included) keep rows of that range of the partition
+    date; the partition column is filtered along, so other partitions are not opened.
+    """
     df = read_target(spark, spec, path)
     if df is None:
         return spark.createDataFrame([], spec.schema)
+    for bound, op in ((date_from, "__ge__"), (date_to, "__le__")):
+        if bound is not None:
+            if not partition_column(spec):
+                raise ValueError(f"{spec.name} has no partition date to select by")
+            first = bound.replace(day=1) if spec.partition_grain == "month" else bound
+            df = df.filter(getattr(F.col(spec.partition_date), op)(F.lit(bound)))
+            df = df.filter(getattr(F.col(partition_column(spec)), op)(F.lit(first)))
     return df.select(*spec.columns)
 
 
@@ -142,65 +199,70 @@ def _spread(df: DataFrame, spec: TableSpec) -> DataFrame:
     range repartition on (partition, key) gives the same balance at the cost of one
     sampling pass.
     """
-    part = partition_column(spec)
+    parts = partition_columns(spec)
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
-        return df.hint("rebalance", part)
-    return df.repartitionByRange(F.col(part), *[F.col(c) for c in (spec.primary_key or spec.columns)])
+        return df.hint("rebalance", *parts)
+    return df.repartitionByRange(*parts, *(spec.primary_key or spec.columns))
 
 
-def _write_partitioned(
-    df: DataFrame, spec: TableSpec, path: str, *, dynamic: bool = True, spread: bool = True
-) -> None:
-    part = partition_column(spec)
-    if not part:
+def _write_partitioned(df: DataFrame, spec: TableSpec, path: str, *, spread: bool = True) -> None:
+    """Replace exactly the partitions ``df`` has rows of (the whole folder of an unpartitioned
+    target). The mode is a write option, so the session's setting has no say."""
+    parts = partition_columns(spec)
+    if not parts:
         df.write.mode("overwrite").parquet(path)
         return
     writer = (_spread(df, spec) if spread else df).write.mode("overwrite")
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(part).parquet(path)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def partition_folders(spark: SparkSession, path: str, part: str) -> list[str]:
-    """Partition values that have a folder under ``path`` (one listing call)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hpath):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
-    except Exception:  # no JVM handle: nothing is known to be stale
+def partition_folders(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
+    """Partition folders ``depth`` levels below ``path`` (one listing call a folder above)."""
+    handle = _file_system(spark, path)
+    if handle is None:
+        raise RuntimeError("replacing a partitioned table needs the session's file system (no Spark Connect)")
+    fs, root = handle
+    if not fs.exists(root):
         return []
-    prefix = f"{part}="
-    return [n[len(prefix):] for n in names if n.startswith(prefix)]
-
-
-def check_overwrite(spec: TableSpec, df: DataFrame) -> dict:
-    """One job: NOT NULL and length check of a full replacement, plus its partitions.
-
-    Raises ``ConstraintError`` (nothing replaced). Returns the partition values when
-    there are at most ``MAX_PARTITION_LIST`` of them (``None`` otherwise).
-    """
-    part = partition_column(spec)
-    out = df.select(*spec.columns)
-    nn, ln = violation_flags(spec)
-    flags = [
-        F.coalesce(F.sum(nn.cast("long")), F.lit(0)).alias("nn"),
-        F.coalesce(F.sum(ln.cast("long")), F.lit(0)).alias("ln"),
-    ]
-    if not part:
-        bad = out.agg(*flags).first()
-        _refuse_violations(spec, bad["nn"], bad["ln"])
-        return {"partitions": None}
-    per_part = out.groupBy(partition_value(spec).alias(part)).agg(*flags)
-    rows = per_part.limit(MAX_PARTITION_LIST + 1).collect()
-    if len(rows) <= MAX_PARTITION_LIST:
-        _refuse_violations(spec, sum(r["nn"] for r in rows), sum(r["ln"] for r in rows))
-        return {"partitions": sorted(r[part] for r in rows)}
-    bad = per_part.agg(F.sum("nn").alias("nn"), F.sum("ln").alias("ln")).first()
-    _refuse_violations(spec, bad["nn"], bad["ln"])
-    return {"partitions": None}
+    found = [""]
+    for _ in range(depth):
+        deeper = []
+        for folder in found:
+            at = root.suffix(f"/{folder}") if folder else root
+            names = [st.getPath().getName() for st in fs.listStatus(at) if st.isDirectory()]
+            deeper += [f"{folder}/{n}".lstrip("/") for n in names if "=" in n]
+        found = deeper
+    return found
+
+
+def stale_folders(spark: SparkSession, spec: TableSpec, path: str, fresh: DataFrame) -> list[str]:
+    """Folders of the target whose partition ``fresh`` has no row of. The values of ``fresh``
+    stay distributed; the driver holds folder names, as listing any table does."""
+    parts = partition_columns(spec)
+    folders = partition_folders(spark, path, len(parts))
+    if not folders:
+        return []
+    default = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of a NULL partition value
+    name = F.concat_ws("/", *[
+        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(default))) for c in parts
+    ])
+    kept = fresh.select(name.alias("folder")).distinct()
+    listed = spark.createDataFrame([(f,) for f in folders], "folder string")
+    return [r["folder"] for r in listed.join(kept, "folder", "left_anti").collect()]
+
+
+def check_overwrite(spec: TableSpec, df: DataFrame, violations: Optional[tuple[int, int]] = None) -> dict:
+    """NOT NULL and length check of a full replacement; raises ``ConstraintError`` (nothing is
+    replaced). ``violations`` are the counts where the staging write has observed them
+    already; otherwise one column-pruned aggregate counts them."""
+    if violations is None:
+        nn, ln = violation_flags(spec)
+        bad = df.select(*spec.columns).agg(
+            F.coalesce(F.sum(nn.cast("long")), F.lit(0)), F.coalesce(F.sum(ln.cast("long")), F.lit(0))
+        ).first()
+        violations = (bad[0], bad[1])
+    _refuse_violations(spec, *violations)
+    return {"not_null": 0, "too_long": 0}
 
 
 def write_overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str, check: dict) -> dict:
@@ -208,24 +270,20 @@ def write_overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: s
 
     The new partitions are written with dynamic partition overwrite — old files stay
     readable until the commit swaps them in — and partition folders the new data does
-    not have are removed afterwards. (Unpartitioned, or with more than
-    ``MAX_PARTITION_LIST`` partitions, a plain overwrite replaces the folder.) The frame
-    must not read the target it replaces.
+    not have are removed afterwards, however many there are. A driver lost between the
+    two leaves stale folders beside the new ones; loading again removes them, since stale
+    folders are found by comparing what is there with the new data. The frame must not
+    read the target it replaces.
     """
-    part = partition_column(spec)
     out = df.select(*spec.columns)
-    if not part:
+    if not partition_columns(spec):
         out.write.mode("overwrite").parquet(path)
     else:
-        out = out.withColumn(part, partition_value(spec))
-        if check["partitions"] is not None:
-            _write_partitioned(out, spec, path, dynamic=True)
-            fresh = {str(v) for v in check["partitions"]}
-            for value in partition_folders(spark, path, part):
-                if value not in fresh:
-                    remove_path(spark, f"{path.rstrip('/')}/{part}={value}")
-        else:
-            _write_partitioned(out, spec, path, dynamic=False)
+        out = out.withColumns(partition_values(spec))
+        stale = stale_folders(spark, spec, path, out)
+        _write_partitioned(out, spec, path)
+        for folder in stale:
+            remove_path(spark, f"{path.rstrip('/')}/{folder}")
     loaded = spark.read.schema(target_schema(spec)).parquet(path).count()  # answered from Parquet footers
     return {"table": spec.name, "status": "overwritten", "rows_loaded": int(loaded)}
 
@@ -236,134 +294,151 @@ def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) ->
     return write_overwrite(spark, spec, df, path, check_overwrite(spec, df))
 
 
-def batch_summary(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) -> dict:
-    """Keys, conflicting keys and touched partitions of a batch, in one job.
+def keyed_rows(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) -> DataFrame:
+    """One row per key, with its partition, ``_conflict`` and its violation counts.
 
-    Per key (partial aggregation, so a hot key collapses map-side): does it hold more
-    than one row (or, for ``distinct_rows``, more than one *different* row, counted
-    after a full-row distinct), and how many rows break NOT NULL or length? Then per
-    partition value of the key's date: keys, conflicts, violations. At most
-    ``MAX_PARTITION_LIST + 1`` partition rows reach the driver; beyond that, totals and
-    the range come from one more aggregate and the partition list stays on the
-    executors.
+    One shuffle by key, after partial aggregation: exact copies, even a hot one, leave each
+    map task as one row. A key conflicts if it holds more than one row or, for
+    ``distinct_rows``, two different rows, told apart by two 64-bit hashes of the row.
     """
-    pk = list(spec.primary_key)
-    part = partition_column(spec)
+    pk, columns = list(spec.primary_key), spec.columns
     nn, ln = violation_flags(spec)
-    # The flags are functions of the row, so adding them changes no distinctness.
-    flagged = batch.select(*batch.columns, nn.alias("_nn"), ln.alias("_ln"))
-    # Hash aggregation only: exact copies collapse map-side in the full-row distinct,
-    # then each map task sends one partial count per key.
-    rows = flagged.dropDuplicates() if distinct_rows else flagged
-    per_key = rows.groupBy(*pk).agg(
-        (F.count(F.lit(1)) > 1).alias("conflict"),
-        F.sum(F.col("_nn").cast("long")).alias("nn"),
-        F.sum(F.col("_ln").cast("long")).alias("ln"),
+    marks = [F.xxhash64(F.lit(k), *columns) for k in (1, 2)]
+    if distinct_rows:
+        conflict = reduce(lambda a, b: a | b, [F.min(m) != F.max(m) for m in marks])
+    else:
+        conflict = F.count(F.lit(1)) > 1
+    per_key = batch.groupBy(*pk).agg(
+        *[F.first(c).alias(c) for c in columns if c not in pk],
+        conflict.alias("_conflict"),
+        F.max(nn.cast("int")).alias("_nn"),
+        F.max(ln.cast("int")).alias("_ln"),
     )
-    per_part = per_key.groupBy(partition_value(spec).alias(part)).agg(
-        F.count(F.lit(1)).alias("keys"), F.sum(F.col("conflict").cast("long")).alias("conflicts"),
-        F.sum("nn").alias("not_null"), F.sum("ln").alias("too_long"),
+    return per_key.select(*columns, "_conflict", "_nn", "_ln").withColumns(partition_values(spec))
+
+
+def batch_summary(keyed: DataFrame, spec: TableSpec, max_partition_list: Optional[int] = None) -> dict:
+    """Keys, conflicting keys, violations and touched partitions of ``keyed_rows``, in one job.
+
+    Partial counts per partition, then one row: the list of partitions is in it when there
+    are at most ``max_partition_list`` of them, else only their number and range.
+    """
+    most = MAX_PARTITION_LIST if max_partition_list is None else max_partition_list
+    parts = partition_columns(spec)
+    per_part = keyed.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("keys"), F.sum(F.col("_conflict").cast("long")).alias("conflicts"),
+        F.sum("_nn").alias("not_null"), F.sum("_ln").alias("too_long"),
     )
-    rows = per_part.limit(MAX_PARTITION_LIST + 1).collect()
-    if len(rows) <= MAX_PARTITION_LIST:
-        return {
-            "keys": sum(r["keys"] for r in rows),
-            "conflicts": sum(r["conflicts"] for r in rows),
-            "not_null": sum(r["not_null"] for r in rows),
-            "too_long": sum(r["too_long"] for r in rows),
-            "partitions": sorted(r[part] for r in rows),
-            "lo": None,
-            "hi": None,
-            "n_partitions": len(rows),
-        }
     t = per_part.agg(
-        F.sum("keys").alias("keys"), F.sum("conflicts").alias("conflicts"),
-        F.sum("not_null").alias("not_null"), F.sum("too_long").alias("too_long"),
-        F.min(part).alias("lo"), F.max(part).alias("hi"), F.count(F.lit(1)).alias("n"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("keys", "conflicts", "not_null", "too_long")],
+        F.min(parts[0]).alias("lo"), F.max(parts[0]).alias("hi"), F.count(F.lit(1)).alias("n"),
+        F.when(F.count(F.lit(1)) <= most, F.sort_array(F.collect_list(F.struct(*parts)))).alias("partitions"),
     ).first()
-    return {"keys": int(t["keys"]), "conflicts": int(t["conflicts"]), "not_null": int(t["not_null"]),
-            "too_long": int(t["too_long"]), "partitions": None,
+    listed = t["partitions"]
+    if listed is not None:
+        listed = [tuple(r) if len(parts) > 1 else r[0] for r in listed]
+    return {**{c: int(t[c]) for c in ("keys", "conflicts", "not_null", "too_long")}, "partitions": listed,
             "lo": t["lo"], "hi": t["hi"], "n_partitions": int(t["n"])}
 
 
-def check_batch(spec: TableSpec, batch: DataFrame, *, batch_is_distinct: bool = True) -> dict:
-    """The summary job of an upsert; raises before anything is written.
-
-    Key check (N2): any key with two different rows (or two rows at all for a spec
-    without distinct) refuses the batch; NOT NULL and length checks (N1, N3) too.
-    Returns the summary (keys, touched partitions) that ``merge_batch`` needs.
+def check_batch(
+    spec: TableSpec,
+    batch: DataFrame,
+    *,
+    batch_is_distinct: bool = True,
+    work_dir: Optional[str] = None,
+    max_partition_list: Optional[int] = None,
+) -> dict:
+    """One pass over the batch; raises before any target is written.
+
+    The batch is scanned and shuffled once: its rows are brought together by key and
+    written, one a key, below ``work_dir`` (a fresh staging folder by default). Everything
+    after — the summary here, the merge — reads that. Key check (N2): any key with two
+    different rows (or two rows at all for a spec without distinct) refuses the batch; NOT
+    NULL and length checks (N1, N3) too. The summary (keys, touched partitions, the
+    ``keyed`` folder) is what ``merge_batch`` needs.
     """
     if spec.mode != "upsert":
         raise ValueError(f"{spec.name} is not an upsert table")
     if partition_column(spec) is None:
         raise ValueError(f"{spec.name}: an upsert target needs partition_date")
-    summary = batch_summary(batch.select(*spec.columns), spec, distinct_rows=not batch_is_distinct and spec.distinct)
-    if summary["conflicts"]:
-        raise KeyConflictError(
-            f"{spec.name}: {summary['conflicts']} key(s) of {tuple(spec.primary_key)} occur more than once in the batch"
-        )
-    _refuse_violations(spec, summary["not_null"], summary["too_long"])
+    spark = batch.sparkSession
+    folder = f"{work_dir or new_dir(spark, f'stage/{spec.name}')}/keyed"
+    keyed = keyed_rows(batch.select(*spec.columns), spec, distinct_rows=not batch_is_distinct and spec.distinct)
+    keyed.write.mode("overwrite").parquet(folder)
+    summary = batch_summary(spark.read.schema(keyed.schema).parquet(folder), spec, max_partition_list)
+    summary["keyed"] = folder
+    try:
+        if summary["conflicts"]:
+            raise KeyConflictError(
+                f"{spec.name}: {summary['conflicts']} key(s) of {tuple(spec.primary_key)} occur more than once in the batch",
+                summary["conflicts"],
+            )
+        _refuse_violations(spec, summary["not_null"], summary["too_long"])
+    except ValueError:
+        remove_path(spark, folder)
+        raise
     return summary
 
 
+def merged_rows(
+    spark: SparkSession, spec: TableSpec, path: str, summary: dict, read_folders_up_to: Optional[int] = None
+) -> DataFrame:
+    """``touched ▷ batch keys ∪ batch``: what the touched partitions hold after the merge.
+
+    The batch is read back one row a key, once for its rows and once for its keys alone;
+    neither is shuffled unless the join asks for it. The join strategy is Catalyst's and
+    AQE's choice.
+    """
+    most = READ_FOLDERS_UP_TO if read_folders_up_to is None else read_folders_up_to
+    parts, pk = partition_columns(spec), list(spec.primary_key)
+    batch = spark.read.schema(target_schema(spec)).parquet(summary["keyed"])
+    values = summary["partitions"]
+    if not path_exists(spark, path):
+        return batch
+    if values is not None and len(values) <= most:
+        touched = read_partitions(spark, spec, path, values)
+        if touched is None:  # only new partitions: nothing to keep
+            return batch
+    else:
+        touched = read_target(spark, spec, path)
+        if values is None:
+            touched = touched.filter(F.col(parts[0]).between(summary["lo"], summary["hi"]))
+            touched = touched.join(batch.select(*parts).distinct(), parts, "left_semi")
+        else:
+            dates = sorted({v[0] if isinstance(v, tuple) else v for v in values})
+            touched = touched.filter(F.col(parts[0]).isin(dates))  # PartitionFilters
+            if len(parts) > 1:  # buckets of those dates that the batch has no key of stay as they are
+                touched = touched.join(batch.select(*parts).distinct(), parts, "left_semi")
+    kept = touched.join(batch.select(*pk), pk, "left_anti")
+    return kept.select(*spec.columns, *parts).unionByName(batch)
+
+
 def merge_batch(
     spark: SparkSession,
     spec: TableSpec,
-    batch: DataFrame,
     path: str,
     summary: dict,
     *,
-    batch_is_distinct: bool = True,
+    read_folders_up_to: Optional[int] = None,
+    spread_above: Optional[int] = None,
 ) -> dict:
-    """Write ``touched ▷ batch keys ∪ batch`` for a batch ``check_batch`` accepted.
-
-    Dynamic partition overwrite: untouched partitions are neither read nor rewritten.
-    The join strategy is left to Catalyst/AQE (small batch keys are broadcast after
-    their size is measured).
-    """
-    part = partition_column(spec)
-    pk = list(spec.primary_key)
-    batch = batch.select(*spec.columns)
+    """Write what the touched partitions hold after the merge of a batch that ``check_batch``
+    accepted, by dynamic partition overwrite: untouched partitions are neither read nor
+    rewritten. The batch's keyed rows are dropped after the write."""
     result = {"table": spec.name, "status": "upserted", "rows_batch": summary["keys"],
               "partitions": summary["n_partitions"]}
     if summary["keys"] == 0:
-        return {**result, "status": "empty batch"}
-    if spec.distinct and not batch_is_distinct:
-        # No key conflicts: removing duplicate keys is removing duplicate rows.
-        batch = batch.dropDuplicates(pk)
-    new_rows = batch.withColumn(part, partition_value(spec))
-    spread = summary["n_partitions"] > SPREAD_ABOVE_PARTITIONS
-
-    if not path_exists(spark, path):
-        _write_partitioned(new_rows, spec, path)
-        return result
-    if summary["partitions"] is not None and len(summary["partitions"]) <= READ_FOLDERS_UP_TO:
-        touched = read_partitions(spark, spec, path, summary["partitions"])
-        if touched is None:  # only new partitions: nothing to keep
-            _write_partitioned(new_rows, spec, path, spread=spread)
-            return result
-    elif summary["partitions"] is not None:
-        touched = read_target(spark, spec, path).filter(F.col(part).isin(summary["partitions"]))  # PartitionFilters
+        result["status"] = "empty batch"
     else:
-        wanted = new_rows.select(part).distinct()
-        touched = read_target(spark, spec, path).filter(F.col(part).between(summary["lo"], summary["hi"])).join(
-            wanted, part, "left_semi")
-    kept = touched.join(batch.select(*pk), pk, "left_anti")
-    merged = kept.select(*spec.columns, part).unionByName(new_rows.select(*spec.columns, part))
-    _write_partitioned(merged, spec, path, spread=spread)
+        above = SPREAD_ABOVE_PARTITIONS if spread_above is None else spread_above
+        spread = summary["n_partitions"] > above or not path_exists(spark, path)
+        _write_partitioned(merged_rows(spark, spec, path, summary, read_folders_up_to), spec, path, spread=spread)
+    remove_path(spark, summary["keyed"])
     return result
 
 
-def upsert(
-    spark: SparkSession,
-    spec: TableSpec,
-    batch: DataFrame,
-    path: str,
-    *,
-    batch_is_distinct: bool = True,
-) -> dict:
-    """Merge ``batch`` (spec columns, ideally read from staging) into the target at ``path``:
-    ``check_batch`` (one summary job; a refused batch writes nothing), then
-    ``merge_batch``."""
-    summary = check_batch(spec, batch, batch_is_distinct=batch_is_distinct)
-    return merge_batch(spark, spec, batch, path, summary, batch_is_distinct=batch_is_distinct)
+def upsert(spark: SparkSession, spec: TableSpec, batch: DataFrame, path: str, *, batch_is_distinct: bool = True) -> dict:
+    """Merge ``batch`` (spec columns) into the target at ``path``: ``check_batch`` (a refused
+    batch writes nothing), then ``merge_batch``."""
+    return merge_batch(spark, spec, path, check_batch(spec, batch, batch_is_distinct=batch_is_distinct))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluice.operators import journal
-from sluice.operators.clean import accepted_observed, align
+from sluice.operators.clean import Counters, accepted_observed, align
 from sluice.operators.load import check_batch, check_overwrite, merge_batch, remove_path, write_overwrite
 from sluice.plans.tables import RUN_ORDER
 from sluice.sources.delimited import read_feed
@@ -27,13 +27,14 @@ from sluice.spec import TableSpec
 from sluice.workspace import new_dir
 
 
-def stage_accepted(spark: SparkSession, spec: TableSpec, source: str, stage_dir: str) -> tuple[DataFrame, dict]:
-    """The one pass over the text: accepted rows → ``stage_dir/accepted``; counters."""
+def stage_accepted(spark: SparkSession, spec: TableSpec, source: str, stage_dir: str) -> tuple[DataFrame, Counters]:
+    """The one pass over the text: accepted rows → ``stage_dir/accepted``; counters, among
+    them the rows that break NOT NULL or a length."""
     raw = read_feed(spark, spec, source)
     rows, counters = accepted_observed(raw, spec)
     rows.write.mode("overwrite").parquet(f"{stage_dir}/accepted")
     staged = spark.read.schema(rows.schema).parquet(f"{stage_dir}/accepted")
-    return align(staged, spec), counters.get()
+    return align(staged, spec), counters
 
 
 def prepare_table(spark: SparkSession, spec: TableSpec, source: str, stage_dir: str) -> dict:
@@ -44,12 +45,13 @@ def prepare_table(spark: SparkSession, spec: TableSpec, source: str, stage_dir:
     Reads no target and writes only ``stage_dir``, so tables can be prepared side by
     side without changing what a failed run leaves behind.
     """
-    batch, stats = stage_accepted(spark, spec, source, stage_dir)
+    batch, counters = stage_accepted(spark, spec, source, stage_dir)
+    stats = counters.get()
     if spec.mode == "overwrite":
         batch = batch.dropDuplicates() if spec.distinct else batch
-        check = check_overwrite(spec, batch)
+        check = check_overwrite(spec, batch, counters.violations())  # counted by the staging write
     else:
-        check = check_batch(spec, batch, batch_is_distinct=not spec.distinct)
+        check = check_batch(spec, batch, batch_is_distinct=not spec.distinct, work_dir=stage_dir)
         if spec.distinct:
             # No key conflicts: one distinct row per key.
             stats["rows_output"] = check["keys"]
@@ -64,7 +66,7 @@ def commit_table(spark: SparkSession, prepared: dict, target: str, *, keep_stage
         if spec.distinct:
             stats["rows_output"] = load["rows_loaded"]
     else:
-        load = merge_batch(spark, spec, batch, target, prepared["check"], batch_is_distinct=not spec.distinct)
+        load = merge_batch(spark, spec, target, prepared["check"])
     load["stage"] = prepared["stage"] if keep_stage else None
     if not keep_stage:
         remove_path(spark, prepared["stage"])
@@ -109,7 +111,8 @@ def run_all(
     ``parallelism`` tables are prepared at once from driver threads (Spark schedules
     their jobs side by side). Commits run one table after another in ``specs`` order;
     the first table whose preparation or commit fails ends the run, and no later table
-    is committed — the same targets as a strictly sequential run.
+    is committed — the same targets as a strictly sequential run. Spark jobs of
+    preparations that are still under way are cancelled then.
     """
     specs = list(specs)
     run_id = run_id or uuid.uuid4().hex
@@ -117,7 +120,11 @@ def run_all(
     journal.log_start(spark, journal_path, run_id)
     tables: dict[str, dict] = {}
 
+    tag = f"sluice-prepare-{uuid.uuid4().hex}"
+
     def prepare(spec: TableSpec) -> dict:
+        if parallelism > 1:  # a thread of the pool; its jobs carry the tag
+            spark.sparkContext.addJobTag(tag)
         return prepare_table(spark, spec, sources[spec.feed_name], f"{run_dir}/{spec.name}")
 
     step = "start"
@@ -134,6 +141,8 @@ def run_all(
                 for fut in pending:  # preparations not started yet are dropped
                     if fut is not None:
                         fut.cancel()
+                if parallelism > 1:  # and those under way end with their jobs
+                    spark.sparkContext.cancelJobsWithTag(tag)
                 raise
     except Exception as exc:
         journal.log_finish(

@@ -59,6 +59,7 @@ MD_ACCOUNT_D = TableSpec(
     distinct=True,
     mode="upsert",
     partition_date="data_actual_date",
+    key_buckets=16,  # one actual date holds the whole table
 )
 
 # D4 — currencies: digit-only key, normalised three-letter code; no distinct.
@@ -76,6 +77,7 @@ MD_CURRENCY_D = TableSpec(
     distinct=False,
     mode="upsert",
     partition_date="data_actual_date",
+    key_buckets=4,
 )
 
 # D5 — exchange rates.
@@ -130,6 +132,7 @@ MD_LEDGER_ACCOUNT_S = TableSpec(
     distinct=True,
     mode="upsert",
     partition_date="start_date",
+    key_buckets=4,
 )
 
 # Load order of a full run (dimensions first, then facts).

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Optional
 
 from pyspark.sql import types as T
@@ -47,6 +47,8 @@ class TableSpec:
     ``partition_date``: the key's date column; the target is partitioned by its
     ``partition_grain`` (``"month"`` or ``"day"``), a function of the key, so a keyed
     row never moves between partitions.
+    ``key_buckets``: above 1, each date partition is divided by a hash of the key, so a
+    small batch rewrites a few buckets of a date that holds most of the table.
     """
 
     name: str
@@ -59,7 +61,7 @@ class TableSpec:
     partition_date: Optional[str] = None
     partition_grain: str = "month"
     source_name: Optional[str] = None  # feed file base name; defaults to ``name``
-    options: dict = field(default_factory=dict, compare=False)
+    key_buckets: int = 1
 
     def __post_init__(self) -> None:
         names = [f.name for f in self.fields]
@@ -87,6 +89,8 @@ class TableSpec:
                 raise ValueError(f"{self.name}: default of {col!r} must have its type ({types[col]})")
         if self.partition_date and types.get(self.partition_date) != "date":
             raise ValueError(f"{self.name}: partition_date must be a date column")
+        if self.key_buckets < 1 or (self.key_buckets > 1 and not (self.partition_date and self.primary_key)):
+            raise ValueError(f"{self.name}: key_buckets is 1, or more for a table with partition_date and a key")
         if self.partition_grain not in ("month", "day"):
             raise ValueError(f"{self.name}: partition_grain must be 'month' or 'day'")
 
@@ -123,9 +127,3 @@ class TableSpec:
     @property
     def feed_name(self) -> str:
         return self.source_name or self.name
-
-    def field(self, name: str) -> Field:
-        for f in self.fields:
-            if f.name == name:
-                return f
-        raise KeyError(name)

@@ -25,10 +25,12 @@ def _accounts(spark):
 
 
 def test_transform_and_counters(spark):
-    df, counters = clean.transform_observed(_accounts(spark), TB.MD_ACCOUNT_D)
+    df = clean.transform(_accounts(spark), TB.MD_ACCOUNT_D)
     rows = sorted(df.collect(), key=lambda r: r.account_rk)
-    stats = counters.get()
-    assert stats == {"rows_input": 6, "rows_after_filter": 4, "rows_output": 3, "rows_rejected": 2}
+    accepted, counters = clean.accepted_observed(_accounts(spark), TB.MD_ACCOUNT_D)
+    assert accepted.count() == 4
+    assert counters.get() == {"rows_input": 6, "rows_after_filter": 4, "rows_output": 4, "rows_rejected": 2}
+    assert counters.violations() == (0, 0)
     assert [r.account_rk for r in rows] == [1, 2, 4]
     assert rows[1].data_actual_end_date == dt.date(2018, 1, 1)
     assert rows[2].account_number == "" and rows[2].currency_code == "978"

@@ -141,10 +141,10 @@ def test_hot_copy_collapses_before_the_shuffle(spark, workdir):
     rest = spark.range(60000).select(F.lit(F1).alias("on_date"), F.col("id").alias("account_rk"),
                                      F.lit(1).alias("currency_rk"), F.col("id").cast("double").alias("balance_out"))
     batch = hot.unionByName(rest)
-    plan = batch.dropDuplicates()._jdf.queryExecution().executedPlan().toString()
-    # A partial HashAggregate runs before the Exchange, so the 30,000 copies leave each
-    # map task as one row.
-    assert plan.rfind("HashAggregate") > plan.find("Exchange") > plan.find("HashAggregate")
+    plan = load.keyed_rows(batch, SPEC, distinct_rows=True)._jdf.queryExecution().executedPlan().toString()
+    # A partial aggregate runs before the Exchange, so the 30,000 copies leave each map
+    # task as one row.
+    assert "partial_first" in plan[plan.find("Exchange"):] and plan.count("Exchange") == 1
     res = load.upsert(spark, SPEC, batch, f"{workdir}/hot", batch_is_distinct=False)
     assert res["rows_batch"] == 60001
     assert load.read_table(spark, SPEC, f"{workdir}/hot").count() == 60001
@@ -159,7 +159,8 @@ def test_load_reads_the_text_once(spark, workdir):
     feed = f"{workdir}/feed"
     write_delimited(spark.createDataFrame([("1.1.2018", "1", "1", "10"), ("1.1.2018", "1", "1", "10"),
                                            ("x", "2", "1", "20")], raw), feed)
-    batch, stats = R.stage_accepted(spark, SPEC, feed, f"{workdir}/stage")
+    batch, counters = R.stage_accepted(spark, SPEC, feed, f"{workdir}/stage")
+    stats = counters.get()
     write_delimited(spark.createDataFrame([("2.2.2019", "9", "9", "99")], raw), feed)  # a new drop arrives
     res = load.upsert(spark, SPEC, batch, f"{workdir}/t", batch_is_distinct=False)
     assert stats == {"rows_input": 3, "rows_after_filter": 2, "rows_output": 2, "rows_rejected": 1}
@@ -221,6 +222,137 @@ def test_constraints_refuse_the_batch_before_writing(spark, workdir):
     assert load.read_table(spark, spec, t).count() == 1  # not replaced
 
 
+def test_staged_batch_is_scanned_and_shuffled_once(spark, workdir):
+    """The check brings the batch together by key in one scan and one shuffle; the merge reads
+    only what that wrote, and shuffles no row of it for a small merge."""
+    from sluice.plans import run as R
+    from sluice.sources import feeds
+
+    source = feeds.materialize_feed(spark, "/root/testdata/sf0.001", SPEC.name)
+    batch, _ = R.stage_accepted(spark, SPEC, source, f"{workdir}/stage")
+    plan = load.keyed_rows(batch, SPEC, distinct_rows=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange") == 1
+    load.upsert(spark, SPEC, batch, f"{workdir}/t", batch_is_distinct=False)
+    day = batch.filter(F.col("on_date") == batch.agg(F.max("on_date")).first()[0])
+    summary = load.check_batch(SPEC, day, batch_is_distinct=False)
+    merged = load.merged_rows(spark, SPEC, f"{workdir}/t", summary)._jdf.queryExecution().executedPlan().toString()
+    assert f"{workdir}/stage" not in merged
+    assert merged.count("FileScan parquet") == 3  # touched folders, batch rows, batch keys
+    assert "Exchange hashpartitioning" not in merged and "BroadcastHashJoin" in merged
+
+
+def test_delta_rewrites_one_key_bucket(spark, workdir):
+    spec, t = TB.MD_ACCOUNT_D, f"{workdir}/acc"
+    columns = "data_actual_date date, data_actual_end_date date, account_rk long, account_number string, char_type string, currency_rk int, currency_code string"
+    rows = [(J1, J1, k, f"n{k}", "A", 1, "810") for k in range(200)]
+    load.upsert(spark, spec, spark.createDataFrame(rows, columns), t)
+    before = _files(t)
+    assert len({f.split("key_bucket=")[1].split("/")[0] for f in before}) == spec.key_buckets
+    res = load.upsert(spark, spec, spark.createDataFrame([(J1, F1, 7, "new", "A", 1, "810")], columns), t)
+    after = _files(t)
+    assert res["partitions"] == 1
+    changed = {f.split("key_bucket=")[1].split("/")[0] for f in set(before.items()) ^ set(after.items()) for f in [f[0]]}
+    assert len(changed) == 1
+    table = {r.account_rk: r.account_number for r in load.read_table(spark, spec, t).collect()}
+    assert len(table) == 200 and table[7] == "new" and table[8] == "n8"
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "static"])
+def test_wide_overwrite_in_either_session_mode(spark, workdir, monkeypatch, mode):
+    """Above every list limit: the second, smaller and different table is all that stays."""
+    import dataclasses
+
+    spec = dataclasses.replace(TB.FT_POSTING_F, partition_grain="day")
+    monkeypatch.setattr(load, "MAX_PARTITION_LIST", 3)
+    schema = "oper_date date, credit_account_rk bigint, debet_account_rk bigint, credit_amount double, debet_amount double"
+    first = [(J1 + dt.timedelta(days=i), i, 2, 1.0, 0.1) for i in range(9)]
+    second = [(J1 + dt.timedelta(days=i), i, 3, 1.0, 0.1) for i in (2, 20, 21, 22, 23)]
+    t = f"{workdir}/wide"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        assert load.overwrite(spark, spec, spark.createDataFrame(first, schema), t)["rows_loaded"] == 9
+        assert load.overwrite(spark, spec, spark.createDataFrame(second, schema), t)["rows_loaded"] == 5
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert sorted(map(tuple, load.read_table(spark, spec, t).collect())) == second
+    # A driver lost before the stale folders went: the next load removes them.
+    spark.createDataFrame(first, schema).withColumns(load.partition_values(spec)).write.mode("append").partitionBy(
+        "oper_date_day").parquet(t)
+    assert load.overwrite(spark, spec, spark.createDataFrame(second, schema), t)["rows_loaded"] == 5
+    assert sorted(map(tuple, load.read_table(spark, spec, t).collect())) == second
+
+
+def test_empty_overwrite_empties_the_table(spark, workdir):
+    spec, t = TB.FT_POSTING_F, f"{workdir}/none"
+    schema = "oper_date date, credit_account_rk bigint, debet_account_rk bigint, credit_amount double, debet_amount double"
+    load.overwrite(spark, spec, spark.createDataFrame([(J1, 1, 2, 1.0, 0.1)], schema), t)
+    assert load.overwrite(spark, spec, spark.createDataFrame([], schema), t)["rows_loaded"] == 0
+    assert load.read_table(spark, spec, t).isEmpty()
+    assert load.overwrite(spark, spec, spark.createDataFrame([], schema), f"{workdir}/none2")["rows_loaded"] == 0
+
+
+def test_storage_errors_are_raised_not_read_as_absent(spark, workdir, monkeypatch):
+    t = f"{workdir}/store"
+    load.upsert(spark, SPEC, spark.createDataFrame([(J1, 1, 1, 1.0)], BAL), t)
+
+    class Broken:
+        def exists(self, path):
+            raise OSError("permission denied")
+
+        def listStatus(self, path):
+            raise OSError("permission denied")
+
+        def delete(self, path, recursive):
+            return True
+
+    monkeypatch.setattr(load, "_file_system", lambda spark, path: (Broken(), path))
+    with pytest.raises(OSError):
+        load.upsert(spark, SPEC, spark.createDataFrame([(J1, 2, 1, 2.0)], BAL), t)
+    with pytest.raises(OSError):
+        load.stale_folders(spark, TB.FT_POSTING_F, t, spark.createDataFrame([], BAL))
+    monkeypatch.undo()
+    assert _rows(spark, t) == [(J1, 1, 1, 1.0)]
+    # Without a JVM handle only "path not found" means absent.
+    monkeypatch.setattr(load, "_file_system", lambda spark, path: None)
+    assert load.path_exists(spark, t) and not load.path_exists(spark, f"{workdir}/nowhere")
+    with pytest.raises(RuntimeError):
+        load.partition_folders(spark, t)
+
+
+def test_read_table_prunes_by_date_range(spark, workdir):
+    t = f"{workdir}/range"
+    load.upsert(spark, SPEC, spark.createDataFrame([(J1, 1, 1, 1.0), (F1, 2, 1, 1.0), (M1, 3, 1, 1.0)], BAL), t)
+    some = load.read_table(spark, SPEC, t, date_from=F1, date_to=dt.date(2018, 2, 28))
+    assert [r.account_rk for r in some.collect()] == [2]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "on_date_month" in plan[plan.index("PartitionFilters"):]
+
+
+def test_failed_run_cancels_preparations_under_way(spark, workdir, monkeypatch):
+    import time
+
+    from sluice.plans import run as R
+
+    seen = {}
+
+    def prepare(session, spec, source, stage):
+        if spec is TB.MD_CURRENCY_D:
+            time.sleep(3)
+            raise load.ConstraintError("refused")
+        try:  # a long job of another table
+            session.range(0, 40, 1, 4).select(F.expr("java_method('java.lang.Thread', 'sleep', 5000L)")).collect()
+        except Exception as exc:
+            seen["cancelled"] = str(exc)
+        return {}
+
+    monkeypatch.setattr(R, "prepare_table", prepare)
+    specs = [TB.MD_CURRENCY_D, TB.FT_BALANCE_F]
+    began = time.time()
+    with pytest.raises(load.ConstraintError):
+        R.run_all(spark, {s.feed_name: "" for s in specs}, {s.name: "" for s in specs}, f"{workdir}/j", specs=specs)
+    assert "cancel" in seen["cancelled"].lower() and time.time() - began < 40
+
+
 def dataclass_replace(obj, **kw):
     import dataclasses
 
