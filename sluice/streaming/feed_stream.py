@@ -1,26 +1,37 @@
 """Continuous ingestion of a feed folder with Structured Streaming.
 
-New CSV files dropped into a folder are picked up by the file source; each
-micro-batch goes through the same cleaning and load as a batch run (keyed upsert or
-full replacement), with its counters journaled under ``<table>:<batch id>``. The
-cleaning is stateless, so no streaming state is kept; the checkpoint only records
-which files were consumed. A retried micro-batch stages into the same folder and its
-upsert is idempotent (merging a batch twice equals merging it once).
+New CSV files dropped into a folder are picked up by the file source and go through the
+same cleaning and keyed load as a batch run. What waits for one trigger may hold several
+drops; they are loaded one after the other, in the order of their paths, so a key that two
+drops update gets the later drop's values. A drop is the folder a file lies in
+(``drops="folders"``, for a folder of drops such as ``inbox/*``) or the file itself
+(``drops="files"``).
+
+The cleaning is stateless, so no streaming state is kept; the checkpoint only records which
+files were consumed. A retried micro-batch stages into the same folder and its upserts are
+idempotent (merging a batch twice equals merging it once). With ``max_files`` a drop of
+several files may span triggers; its files are then merged in that order.
+
+Full replacement is refused: a micro-batch need not hold a whole drop, and replacing the
+target by part of one would lose rows. Load such tables with ``plans.run.load_table``.
 """
 
 from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators import journal
 from sluice.operators.clean import accepted_observed, align
-from sluice.operators.load import overwrite, remove_path, upsert
+from sluice.operators.load import remove_path, upsert
 from sluice.sources.delimited import SEPARATOR
 from sluice.spec import TableSpec
 
+_DROP = "_drop"
+
 
 def read_feed_stream(spark: SparkSession, spec: TableSpec, folder: str, max_files: Optional[int] = None) -> DataFrame:
     """Streaming all-string scan of the spec's source columns; each file's header is checked."""
@@ -35,32 +46,40 @@ def read_feed_stream(spark: SparkSession, spec: TableSpec, folder: str, max_file
     return reader.csv(folder)
 
 
+def drop_of(drops: str) -> Column:
+    """The drop a row belongs to: its file's path, or its file's folder."""
+    if drops not in ("folders", "files"):
+        raise ValueError("drops is 'folders' or 'files'")
+    path = F.col("_metadata.file_path")
+    return (F.regexp_replace(path, "/[^/]*$", "") if drops == "folders" else path).alias(_DROP)
+
+
 def load_micro_batch(spark: SparkSession, spec: TableSpec, target: str, work: str, journal_path: Optional[str]):
-    """A ``foreachBatch`` function loading each micro-batch into ``target``."""
+    """A ``foreachBatch`` function loading each micro-batch's drops into ``target``, in order."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{spec.name}:{batch_id}"
+        run_id = journal.new_run_id(f"{spec.name}:{batch_id}")
         if journal_path:
             journal.log_start(spark, journal_path, run_id)
         try:
             stage = f"{work}/stage/{batch_id}"  # fixed per batch: a retry rewrites it
-            rows, counters = accepted_observed(batch, spec)
+            rows, counters = accepted_observed(batch, spec, keep=(_DROP,))
             rows.write.mode("overwrite").parquet(stage)
-            staged = align(spark.read.schema(rows.schema).parquet(stage), spec)
-            stats = counters.get()
-            if spec.mode == "overwrite":
-                load = overwrite(spark, spec, staged.dropDuplicates() if spec.distinct else staged, target)
-            else:
-                load = upsert(spark, spec, staged, target, batch_is_distinct=not spec.distinct)
-                if spec.distinct:
-                    stats["rows_output"] = load["rows_batch"]
+            staged = spark.read.schema(rows.schema).parquet(stage)
+            stats, loads = counters.get(), []
+            waiting = [r[0] for r in staged.select(_DROP).distinct().orderBy(_DROP).collect()]  # one row a drop
+            for drop in waiting:
+                mine = align(staged.filter(F.col(_DROP) == drop), spec)
+                loads.append(upsert(spark, spec, mine, target, batch_is_distinct=not spec.distinct))
+            if spec.distinct:
+                stats["rows_output"] = sum(load["rows_batch"] for load in loads)
         except Exception as exc:
             if journal_path:
                 journal.log_finish(spark, journal_path, run_id, False, str(exc), journal.failure_detail(exc, spec.name))
             raise
         remove_path(spark, stage)  # the batch is loaded; a failed one keeps its stage
         if journal_path:
-            journal.log_finish(spark, journal_path, run_id, True, extra={"transform": stats, "load": load})
+            journal.log_finish(spark, journal_path, run_id, True, extra={"transform": stats, "loads": loads})
 
     return run
 
@@ -76,14 +95,22 @@ def stream_feed(
     available_now: bool = True,
     processing_time: Optional[str] = None,
     max_files: Optional[int] = None,
+    drops: Optional[str] = None,
 ) -> StreamingQuery:
-    """Start a query that loads every new file of ``folder`` into ``target``.
+    """Start a query that merges every new file of ``folder`` into ``target``.
+
+    ``drops`` says what one drop is; by default a folder pattern (``inbox/*``) means folders,
+    a plain folder means files.
 
     ``available_now`` processes what is there and stops (scheduled runs); otherwise
     ``processing_time`` (e.g. ``"1 minute"``) keeps it running.
     """
+    if spec.mode != "upsert":
+        raise ValueError(f"{spec.name}: a stream of files cannot replace a table; load whole drops instead")
+    rows = read_feed_stream(spark, spec, folder, max_files)
+    drops = drops or ("folders" if "*" in folder else "files")
     writer = (
-        read_feed_stream(spark, spec, folder, max_files)
+        rows.select(*rows.columns, drop_of(drops))
         .writeStream.foreachBatch(load_micro_batch(spark, spec, target, checkpoint, journal_path))
         .option("checkpointLocation", f"{checkpoint}/offsets")
     )

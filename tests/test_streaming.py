@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from sluice.operators import journal
 from sluice.operators.load import read_table
 from sluice.plans import tables as TB
@@ -25,3 +27,32 @@ def test_two_drops_are_merged(spark, workdir):
     assert sorted(r.status for r in state) == ["Success", "Success"]
     assert all(r.run_id.startswith("ft_balance_f:") for r in state)
     assert dt.date(2018, 2, 2) in {r.on_date for r in read_table(spark, TB.FT_BALANCE_F, target).collect()}
+
+
+def _drop(spark, path, *rows):
+    write_delimited(spark.createDataFrame(list(rows), RAW).coalesce(1), path)
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_waiting_drops_are_loaded_in_order(spark, workdir, max_files):
+    folder, target = f"{workdir}/in", f"{workdir}/ds"
+    _drop(spark, f"{folder}/d1", ("1.1.2018", "1", "1", "10"), ("1.1.2018", "2", "1", "20"))
+    _drop(spark, f"{folder}/d2", ("1.1.2018", "2", "1", "25"), ("1.1.2018", "3", "1", "30"))
+    q = stream_feed(spark, TB.FT_BALANCE_F, f"{folder}/*", target, f"{workdir}/ckpt", max_files=max_files)
+    q.awaitTermination()
+    rows = sorted((r.account_rk, r.balance_out) for r in read_table(spark, TB.FT_BALANCE_F, target).collect())
+    assert rows == [(1, 10.0), (2, 25.0), (3, 30.0)]
+
+
+def test_files_of_a_plain_folder_are_drops(spark, workdir):
+    folder, target = f"{workdir}/in", f"{workdir}/ds"
+    for i, amount in enumerate(("10", "11")):
+        _drop(spark, f"{workdir}/w{i}", ("1.1.2018", "1", "1", amount))
+        spark.read.text(f"{workdir}/w{i}").coalesce(1).write.mode("append").text(folder)
+    stream_feed(spark, TB.FT_BALANCE_F, folder, target, f"{workdir}/ckpt").awaitTermination()
+    assert [r.account_rk for r in read_table(spark, TB.FT_BALANCE_F, target).collect()] == [1]
+
+
+def test_full_replacement_is_refused(spark, workdir):
+    with pytest.raises(ValueError, match="cannot replace"):
+        stream_feed(spark, TB.FT_POSTING_F, f"{workdir}/in", f"{workdir}/ds", f"{workdir}/ckpt", max_files=1)
