@@ -1,23 +1,28 @@
 """Load journal: an append-only event dataset folded into one state row per run.
 
-Events are (run_id, at, event, error_message, extra): ``Started`` when a run begins,
+Events are (run_id, at, event, error_message, extra): ``Started`` when an attempt begins,
 ``Success`` or ``Failed`` when it ends. The journal is only ever appended to, so
 concurrent writers and retried tasks never rewrite each other's files. The current
 state of each run is a single partially aggregated ``groupBy(run_id)``:
 
-* ``started_at``  — first ``Started`` event (a run without one is not a run: dropped);
-* the last finish (by time) wins: ``status``, ``finished_at``, ``error_message``,
-  ``extra`` come from it, but only if it happened at or after the start — a finish
-  recorded before the start is a no-op, like an update of a row not yet inserted.
+* ``started_at``  — the last ``Started`` event: a run that is started again is open again
+  (a run without one is not a run: dropped);
+* ``status``, ``finished_at``, ``error_message``, ``extra`` come from the last finish, but
+  only if it happened at or after that start — a finish recorded before is a no-op, like an
+  update of a row not yet inserted. Of finishes at one instant the greatest
+  (event, error_message, extra) counts, NULLs least, so the state is the same on every read.
+
+Writers give every attempt a fresh id (``new_run_id``), so attempts do not share a row.
 """
 
 from __future__ import annotations
 
 import json
 import traceback
+import uuid
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +54,11 @@ def _append(spark: SparkSession, path: str, run_id: str, event: str, error: Opti
     row.write.mode("append").parquet(path)
 
 
+def new_run_id(name: str = "run") -> str:
+    """An id no other attempt has: ``name:`` and a random part."""
+    return f"{name}:{uuid.uuid4().hex}"
+
+
 def log_start(spark: SparkSession, path: str, run_id: str) -> str:
     _append(spark, path, run_id, STARTED, None, None)
     return run_id
@@ -59,6 +69,11 @@ def detail_json(extra: Optional[dict]) -> Optional[str]:
     return json.dumps(extra, sort_keys=True, default=str) if extra else None
 
 
+def detail_column(**parts: Column) -> Column:
+    """Run detail as JSON text, encoded where the rows are."""
+    return F.to_json(F.struct(*[c.alias(name) for name, c in parts.items()]))
+
+
 def log_finish(
     spark: SparkSession,
     path: str,
@@ -87,10 +102,9 @@ def fold(events: DataFrame) -> DataFrame:
     """Current state per run: one ``groupBy(run_id)`` with partial aggregation."""
     is_start = F.col("event") == STARTED
     is_finish = F.col("event").isin(SUCCESS, FAILED)
-    last = F.max_by(F.struct("at", "event", "error_message", "extra"), F.when(is_finish, F.col("at")))
     agg = events.groupBy("run_id").agg(
-        F.min(F.when(is_start, F.col("at"))).alias("started_at"),
-        last.alias("_last"),
+        F.max(F.when(is_start, F.col("at"))).alias("started_at"),
+        F.max(F.when(is_finish, F.struct("at", "event", "error_message", "extra"))).alias("_last"),
     )
     done = F.col("_last.at") >= F.col("started_at")
     return agg.filter(F.col("started_at").isNotNull()).select(

@@ -17,7 +17,7 @@ def test_fold_semantics(spark):
     assert (state["a"].status, state["a"].finished_at, state["a"].extra, state["a"].error_message) == (
         "Success", T(3), '{"x":1}', None)
     assert (state["b"].status, state["b"].finished_at) == ("Started", None)
-    assert state["d"].started_at == T(1)
+    assert state["d"].started_at == T(2)
     opened = {r.run_id for r in journal.open_runs(journal.fold(spark.createDataFrame(events, journal.EVENT_SCHEMA))).collect()}
     assert opened == {"b", "d"}
 
@@ -31,3 +31,17 @@ def test_writer_round_trip(spark, workdir):
     row = journal.fold(journal.read_events(spark, path)).collect()[0]
     assert row.status == "Failed" and '"failed_step": "md_account_d"' in row.extra
     assert journal.detail_json({}) is None
+
+
+def test_restart_is_open_again_and_ties_have_one_answer(spark):
+    events = [
+        ("r", T(1), "Started", None, None), ("r", T(2), "Failed", "boom", None), ("r", T(3), "Started", None, None),
+        ("t", T(1), "Started", None, None), ("t", T(4), "Failed", "x", None), ("t", T(4), "Success", None, "{}"),
+        ("s", T(2), "Started", None, None), ("s", T(2), "Success", None, None),  # finished at once
+    ]
+    for order in (events, events[::-1]):
+        state = {r.run_id: r for r in journal.fold(spark.createDataFrame(order, journal.EVENT_SCHEMA)).collect()}
+        assert (state["r"].status, state["r"].started_at, state["r"].finished_at) == ("Started", T(3), None)
+        assert (state["t"].status, state["t"].extra, state["t"].error_message) == ("Success", "{}", None)
+        assert (state["s"].status, state["s"].finished_at) == ("Success", T(2))
+    assert journal.new_run_id("a") != journal.new_run_id("a")
