@@ -5,7 +5,6 @@ from sluice.functions.parse import (
     clamp,
     code3,
     code_field,
-    default_to,
     digits_key,
     empty_to_null,
     parse_date,
@@ -21,7 +20,6 @@ __all__ = [
     "clamp",
     "code3",
     "code_field",
-    "default_to",
     "digits_key",
     "empty_to_null",
     "parse_date",

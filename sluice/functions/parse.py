@@ -117,8 +117,3 @@ def digits_key(text: Column, type_name: str = "int") -> Column:
 def code3(text: Column) -> Column:
     """Three-letter code: upper-cased, the first run of three Latin capitals, else NULL."""
     return F.nullif(F.regexp_extract(F.upper(trimmed(text.cast("string"))), "([A-Z]{3})", 1), F.lit(""))
-
-
-def default_to(value: Column, fallback: Column) -> Column:
-    """``value`` or, when NULL, ``fallback``."""
-    return F.coalesce(value, fallback)

@@ -12,14 +12,15 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions import parse
+from sluice.functions import parse, rules
 from sluice.operators import checks, clean, journal
-from sluice.operators.load import read_table
+from sluice.operators.load import ConstraintError, KeyConflictError, read_table, read_target, remove_path, upsert
 from sluice.plans import expected as X
 from sluice.plans import run as R
 from sluice.plans import tables as TB
 from sluice.sources import feeds
-from sluice.sources.delimited import read_feed, read_raw
+from sluice.sources.delimited import read_feed, read_raw, write_delimited
+from sluice.spec import Field, TableSpec
 from sluice.workspace import new_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,7 +301,7 @@ FROM {src}""",
         src=_t(spark, sf_dir, "part"),
     )
     return text.select(
-        "p_partkey", parse.code_field(F.col("raw"), 3).alias("type3"), F.lit(None).cast("int").alias("missing")
+        "p_partkey", parse.code_field(F.col("raw"), 3).alias("type3"), rules.null_of("int")(F.col("raw")).alias("missing")
     )
 
 
@@ -323,12 +324,13 @@ SELECT o_orderkey, date_format(o_orderdate, 'yyyy-M-d') AS s,
 FROM {src}""",
         src=_t(spark, sf_dir, "orders"),
     )
-    start = parse.parse_date(F.col("s"), "yyyy-M-d")
-    return text.select(
-        "o_orderkey",
-        start.alias("start_date"),
-        parse.default_to(parse.parse_date(F.col("e"), "yyyy-M-d"), start).alias("end_date"),
+    spec = TableSpec(
+        "periods",
+        (Field("o_orderkey", "o_orderkey", rules.bigint()), Field("start_date", "s", rules.date("yyyy-M-d")),
+         Field("end_date", "e", rules.date("yyyy-M-d"))),
+        required=("start_date",), defaults=(("end_date", "start_date"),), distinct=False, mode="overwrite",
     )
+    return clean.align(clean.accepted(text.withColumn("o_orderkey", F.col("o_orderkey").cast("string")), spec), spec)
 
 
 # -- P1–P4: alignment ----------------------------------------------------------------------
@@ -491,6 +493,8 @@ def _upsert_batches(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
     )
     for _ in range(times):
         R.load_table(spark, spec, second, target)
+    for feed in (first, second):  # loaded: only the target is read from here on
+        remove_path(spark, feed)
     return read_table(spark, spec, target)
 
 
@@ -506,9 +510,9 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_batches(spark, sf_dir, 2)
 
 
-@register("stream_merge", _UPSERT_ORACLE)
-def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming ingestion: the two batches of ``upsert_merge`` arrive as two file drops."""
+def _stream_drops(spark: SparkSession, sf_dir: str, one_by_one: bool) -> DataFrame:
+    """The two batches of ``upsert_merge`` as two file drops, streamed as each arrives or both
+    waiting for one start."""
     from sluice.streaming import stream_feed
 
     spec = TB.FT_BALANCE_F
@@ -520,49 +524,116 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     for i, shape in enumerate(drops):
         feeds.materialize_feed(spark, sf_dir, spec.name, dest=f"{inbox}/drop{i}", **shape)
-        stream_feed(spark, spec, f"{inbox}/*", target, ckpt, journal_path=f"{root}/journal").awaitTermination()
+        if one_by_one or i == len(drops) - 1:
+            stream_feed(spark, spec, f"{inbox}/*", target, ckpt, journal_path=f"{root}/journal").awaitTermination()
+    remove_path(spark, inbox)
     return read_table(spark, spec, target)
 
 
-@register("overwrite_readback", X.cleaned("ft_posting_f"))
+@register("stream_merge", _UPSERT_ORACLE)
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming ingestion: two drops, each streamed when it arrives."""
+    return _stream_drops(spark, sf_dir, one_by_one=True)
+
+
+@register("stream_waiting_drops", _UPSERT_ORACLE)
+def stream_waiting_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming ingestion: both drops wait for one trigger and share keys; the later one's
+    values stay."""
+    return _stream_drops(spark, sf_dir, one_by_one=False)
+
+
+@register("overwrite_readback", f"SELECT *, count(*) OVER () AS rows_loaded FROM ({X.cleaned('ft_posting_f')}) r")
 def overwrite_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6/S3/K8: postings fully replaced twice, then read back (absent target → empty)."""
+    """K6/S3/K8: a larger feed with more months first, then postings fully replace it; their
+    rows and the returned read-back count (absent target → empty)."""
     spec = TB.FT_POSTING_F
     target = f"{new_dir(spark, 'targets')}/{spec.name}"
     assert read_table(spark, spec, target).isEmpty()
+    frame = feeds.feed_frame(spark, sf_dir, spec.name)
+    later = frame.withColumn("OPER_DATE", F.regexp_replace("OPER_DATE", r"\d{4}$", "2031"))
+    larger = f"{new_dir(spark, 'feeds')}/{spec.name}"
+    write_delimited(frame.unionByName(later), larger)
     source = feeds.materialize_feed(spark, sf_dir, spec.name)
-    R.load_table(spark, spec, source, target)
-    R.load_table(spark, spec, source, target)
-    return read_table(spark, spec, target)
+    R.load_table(spark, spec, larger, target)
+    done = R.load_table(spark, spec, source, target)
+    for feed in (larger, source):
+        remove_path(spark, feed)
+    return read_table(spark, spec, target).withColumn("rows_loaded", F.lit(done["load"]["rows_loaded"]).cast("long"))
+
+
+# -- N1–N3, K1: batches the load refuses ---------------------------------------------------
+_CODES = TableSpec(
+    "codes",
+    (Field("d", "D", rules.date("yyyy-M-d"), nullable=False), Field("k", "K", rules.bigint(), nullable=False),
+     Field("code", "CODE", rules.Rule(lambda c: c, "string", 3)), Field("note", "NOTE", rules.text(99), nullable=False)),
+    required=("d", "k"), primary_key=("d", "k"), partition_date="d",
+)
+
+
+@register(
+    "refused_batch",
+    """
+SELECT 'balances' AS feed, 'conflicting keys' AS reason, count(*) AS n FROM (
+  SELECT 1 FROM (SELECT DISTINCT date_trunc('month', o_orderdate) AS d, o_custkey, o_totalprice FROM orders) o
+  GROUP BY d, o_custkey HAVING count(*) > 1) c
+UNION ALL SELECT 'codes', 'NULL in a NOT NULL column', count(*) FILTER (o_orderkey % 3 = 0) FROM orders
+UNION ALL SELECT 'codes', 'text longer than its column', count(*) FILTER (length(o_orderpriority) > 3) FROM orders""",
+)
+def refused_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches the load refuses before it writes, with the counts its own check gives."""
+    orders = _t(spark, sf_dir, "orders")
+    balances = orders.select(
+        F.trunc("o_orderdate", "month").alias("on_date"), F.col("o_custkey").alias("account_rk"),
+        F.lit(1).alias("currency_rk"), F.col("o_totalprice").alias("balance_out"),
+    )
+    codes = orders.select(
+        F.col("o_orderdate").cast("date").alias("d"), F.col("o_orderkey").alias("k"),
+        F.col("o_orderpriority").alias("code"), F.when(F.col("o_orderkey") % 3 != 0, "x").alias("note"),
+    )
+    found = []
+    for name, spec, batch in (("balances", TB.FT_BALANCE_F, balances), ("codes", _CODES, codes)):
+        target = f"{new_dir(spark, 'targets')}/{spec.name}"
+        try:
+            upsert(spark, spec, batch, target, batch_is_distinct=False)
+        except KeyConflictError as exc:
+            found.append((name, "conflicting keys", exc.keys))
+        except ConstraintError as exc:
+            found += [(name, "NULL in a NOT NULL column", exc.not_null), (name, "text longer than its column", exc.too_long)]
+        assert read_target(spark, spec, target) is None
+    return spark.createDataFrame(found, "feed string, reason string, n long")
 
 
 # -- L1–L6, F8, C22: journal ---------------------------------------------------------------
-# Journal events from the event stream: a user's day is a run; signup starts it, a
-# purchase finishes it with success, an error finishes it with failure.
-_JOURNAL_EVENTS_SPARK = """
+# Journal events from the event stream, every row of it: a user's day is a run; signups and
+# views start an attempt, purchases and clicks finish it with success, errors with failure.
+_EVENT_OF = """CASE event_type WHEN 'signup' THEN 'Started' WHEN 'view' THEN 'Started'
+    WHEN 'purchase' THEN 'Success' WHEN 'click' THEN 'Success' ELSE 'Failed' END"""
+
+_JOURNAL_EVENTS_SPARK = f"""
 SELECT concat(user_id, '/', cast(cast(ts AS date) AS string)) AS run_id, ts AS at,
-  CASE event_type WHEN 'signup' THEN 'Started' WHEN 'purchase' THEN 'Success' ELSE 'Failed' END AS event,
+  {_EVENT_OF} AS event,
   CASE WHEN event_type = 'error' THEN concat('error in ', props) END AS error_message,
   props AS extra
-FROM {src} WHERE event_type IN ('signup', 'purchase', 'error')"""
+FROM {{src}}"""
 
-_JOURNAL_FOLD_ORACLE = """
+_JOURNAL_FOLD_ORACLE = f"""
 WITH e AS (
   SELECT CAST(user_id AS VARCHAR) || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, ts AS evt_at,
-    CASE event_type WHEN 'signup' THEN 'Started' WHEN 'purchase' THEN 'Success' ELSE 'Failed' END AS event,
+    {_EVENT_OF} AS event,
     CASE WHEN event_type = 'error' THEN 'error in ' || props END AS error_message, props AS extra
-  FROM events WHERE event_type IN ('signup', 'purchase', 'error')),
-g AS (
-  SELECT run_id, min(evt_at) FILTER (WHERE event = 'Started') AS started_at,
-    arg_max({'ts': evt_at, 'event': event, 'error_message': error_message, 'extra': extra}, evt_at)
-      FILTER (WHERE event IN ('Success', 'Failed')) AS l
-  FROM e GROUP BY run_id)
-SELECT run_id, started_at,
-  CASE WHEN l.ts >= started_at THEN l.ts END AS finished_at,
-  CASE WHEN l.ts >= started_at THEN l.event ELSE 'Started' END AS status,
-  CASE WHEN l.ts >= started_at THEN l.error_message END AS error_message,
-  CASE WHEN l.ts >= started_at THEN l.extra END AS extra
-FROM g WHERE started_at IS NOT NULL"""
+  FROM events),
+s AS (SELECT run_id, max(evt_at) AS started_at FROM e WHERE event = 'Started' GROUP BY run_id),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY evt_at DESC, event DESC,
+    error_message DESC NULLS LAST, extra DESC NULLS LAST) AS n
+  FROM e WHERE event <> 'Started')
+SELECT s.run_id, started_at,
+  CASE WHEN evt_at >= started_at THEN evt_at END AS finished_at,
+  CASE WHEN evt_at >= started_at THEN event ELSE 'Started' END AS status,
+  CASE WHEN evt_at >= started_at THEN error_message END AS error_message,
+  CASE WHEN evt_at >= started_at THEN extra END AS extra
+FROM s LEFT JOIN f ON s.run_id = f.run_id AND n = 1"""
 
 
 def _journal_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -592,13 +663,12 @@ SELECT CAST(user_id AS VARCHAR) || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS r
 FROM events GROUP BY 1""",
 )
 def journal_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-run detail encoded as JSON text by ``to_json(struct(...))``."""
+    """Per-run detail encoded as JSON text."""
     ev = _t(spark, sf_dir, "events")
     run_id = F.concat_ws("/", F.col("user_id").cast("string"), F.col("ts").cast("date").cast("string"))
     n = lambda kind: F.count(F.when(F.col("event_type") == kind, 1))
     return ev.groupBy(run_id.alias("run_id")).agg(
-        F.to_json(F.struct(n("signup").alias("started"), n("purchase").alias("succeeded"), n("error").alias("failed")))
-        .alias("extra")
+        journal.detail_column(started=n("signup"), succeeded=n("purchase"), failed=n("error")).alias("extra")
     )
 
 
@@ -609,12 +679,33 @@ def journal_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All six feeds loaded in order, journaled; per-table counters."""
+    return R.counters_frame(spark, _run_all(spark, sf_dir)[0]["tables"])
+
+
+def _run_all(spark: SparkSession, sf_dir: str) -> tuple[dict, str]:
     root = new_dir(spark, "runs-all")
     sources = {s.feed_name: feeds.materialize_feed(spark, sf_dir, s.feed_name, dest=f"{root}/feeds/{s.feed_name}")
                for s in TB.RUN_ORDER}
     targets = {s.name: f"{root}/ds/{s.name}" for s in TB.RUN_ORDER}
     result = R.run_all(spark, sources, targets, f"{root}/journal")
-    return R.counters_frame(spark, result["tables"])
+    for folder in ("feeds", "ds"):  # the counters and the journal are what is read
+        remove_path(spark, f"{root}/{folder}")
+    return result, f"{root}/journal"
+
+
+@register(
+    "run_journal",
+    " UNION ALL ".join(
+        f"SELECT 'Success' AS status, c{i}.* FROM ({X.counters(s.name)}) c{i}" for i, s in enumerate(TB.RUN_ORDER)
+    ),
+)
+def run_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal a run has written, read back: its state and the counters of
+    every table from its JSON detail."""
+    state = journal.fold(journal.read_events(spark, _run_all(spark, sf_dir)[1]))
+    kind = "tables map<string, struct<transform: struct<rows_input: long, rows_after_filter: long, rows_output: long, rows_rejected: long>>>"
+    detail = state.select("status", F.explode(F.from_json("extra", kind)["tables"]).alias("table", "detail"))
+    return detail.select("status", "table", "detail.transform.*")
 
 
 def queries() -> dict[str, Query]:

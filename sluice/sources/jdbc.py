@@ -18,9 +18,14 @@ def jdbc_url(host: str, port: int, database: str, vendor: str = "postgresql") ->
     return f"jdbc:{vendor}://{host}:{port}/{database}"
 
 
+def quoted(name: str) -> str:
+    """A quoted identifier: letter case and reserved words are kept, inner quotes doubled."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 def qualified_table(schema: str, table: str) -> str:
-    """``"SCHEMA".table`` — the schema quoted to keep its letter case."""
-    return f'"{schema}".{table}'
+    """``"SCHEMA"."table"``, both quoted."""
+    return f"{quoted(schema)}.{quoted(table)}"
 
 
 def jdbc_options(url: str, user: str, password: str, driver: str = POSTGRES_DRIVER, **extra: str) -> dict:

@@ -1,20 +1,27 @@
 """Shared work area for staging, feeds and journals.
 
 Staging data must live where every executor and a restarted driver can see it, so the
-root is the folder the cluster names in ``spark.checkpoint.dir``. Only when the session
-leaves it unset (local tests) do we create one and register it on the session.
+root is the folder the cluster names in ``spark.checkpoint.dir``. Only when a local session
+leaves it unset (tests) is a temporary folder made, one a process; the session's settings
+are never changed.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 _KEY = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="sluice-work-")
+
+
 def _is_local(spark: SparkSession) -> bool:
     try:
         return spark.sparkContext.master.startswith("local")
@@ -33,13 +40,7 @@ def work_root(spark: SparkSession) -> str:
         if not _is_local(spark):
             # Executors and a restarted driver could not see a driver-local folder.
             raise ValueError(f"set {_KEY} to a folder shared by the cluster (HDFS, object store)")
-        # Unset on a local session (tests): register a folder so later calls agree.
-        root = tempfile.mkdtemp(prefix="sluice-work-")
-        spark.conf.set(_KEY, root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        root = _local_root()
     return root.rstrip("/")
 
 

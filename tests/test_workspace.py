@@ -39,7 +39,8 @@ def test_cluster_without_shared_folder_is_refused():
         workspace.work_root(_Session("yarn"))
 
 
-def test_local_session_gets_a_registered_folder():
+def test_local_session_gets_a_folder_and_keeps_its_settings():
     s = _Session("local[2]")
     root = workspace.work_root(s)
-    assert s.conf.get("spark.checkpoint.dir") == root and workspace.work_root(s) == root
+    assert workspace.work_root(s) == root
+    assert s.conf == {} and s.sparkContext.dir is None  # the session is the caller's

@@ -1,4 +1,5 @@
-"""Print the physical plans of the load path: staging pass, batch summary, daily merge.
+"""Print the physical plans of the load path, from the library's own frames: staging pass,
+rows by key, batch summary, one-month merge.
 
 Usage: python tools/show_plans.py [sf_dir]
 """
@@ -24,11 +25,9 @@ def main() -> None:
     from sluice.workspace import new_dir
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    spark = SparkSession.builder.master("local[8]").config(map={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     spec = TB.FT_BALANCE_F
-    pk = list(spec.primary_key)
-    part = L.partition_column(spec)
 
     source = feeds.materialize_feed(spark, sf, spec.name)
     rows, _ = clean.accepted_observed(read_feed(spark, spec, source), spec)
@@ -36,21 +35,18 @@ def main() -> None:
     rows.explain("formatted")
 
     batch, _ = R.stage_accepted(spark, spec, source, new_dir(spark, "plans"))
-    per_key = batch.dropDuplicates().groupBy(*pk).agg((F.count(F.lit(1)) > 1).alias("conflict"))
-    summary = per_key.groupBy(L.partition_value(spec).alias(part)).agg(
-        F.count(F.lit(1)).alias("keys"), F.sum(F.col("conflict").cast("long")).alias("conflicts"))
-    print("=" * 30, "2. batch summary (hash aggregates only)")
-    summary.explain("formatted")
+    keyed = L.keyed_rows(batch, spec, distinct_rows=True)
+    print("=" * 30, "2. rows by key (the one shuffle of the batch)")
+    keyed.explain("formatted")
 
     target = new_dir(spark, "plans") + "/" + spec.name
     L.upsert(spark, spec, batch, target, batch_is_distinct=False)
+    part = L.partition_column(spec)
     month = batch.select(L.partition_value(spec).alias(part)).agg(F.max(part)).first()[0]
-    day = batch.filter(L.partition_value(spec) == F.lit(month)).dropDuplicates(pk)
-    touched = L.read_target(spark, spec, target).filter(F.col(part).isin([month]))
-    merged = touched.join(day.select(*pk), pk, "left_anti").select(*spec.columns, part).unionByName(
-        day.withColumn(part, L.partition_value(spec)).select(*spec.columns, part))
-    print("=" * 30, "3. one-month merge (pruned scan, anti join, union)")
-    merged.explain("formatted")
+    day = batch.filter(L.partition_value(spec) == F.lit(month))
+    summary = L.check_batch(spec, day, batch_is_distinct=False)
+    print("=" * 30, "3. one-month merge (touched folders, anti join, union)")
+    L.merged_rows(spark, spec, target, summary).explain("formatted")
 
 
 if __name__ == "__main__":
