@@ -377,14 +377,13 @@ def removal_spans(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int =
     each = texts.filter(F.size("starts") > 0).select("text_hash", "stands", F.explode(zipped).alias("r"))
     each = each.select("text_hash", "stands", "r.*")
     repeated = store(each.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "repeated-anchors")
-    side = F.broadcast(repeated) if repeated.count() <= 2 * broadcast_rows else repeated
+    side = F.broadcast(repeated) if repeated.count() <= broadcast_rows else repeated
     run = F.struct("anchor", "start", "last", (F.col("n") > hot_runs).alias("hot"))
     wanted = store(
         each.join(side, "anchor").groupBy("text_hash").agg(F.first("stands").alias("stands"), F.collect_list(run).alias("runs")),
         "wanted-runs",
     )
-    side = F.broadcast(wanted) if wanted.count() <= broadcast_rows // 4 else wanted
-    runs = store(read_runs(docs, side), "runs")
+    runs = store(read_runs(docs, wanted), "runs")
     hot = runs.filter("hot")
     spans = find_repeats(runs.filter("not hot"))
     if hot.limit(1).count():
@@ -401,7 +400,6 @@ def remove(
     ``characters``, characters of which a byte goes go as a whole."""
     spans = store(removal_spans(docs, hot_runs, broadcast_rows), "removal-spans")
     spans = spans.withColumnRenamed("text_hash", "removal_of")
-    side = F.broadcast(spans) if spans.count() <= broadcast_rows else spans
     added = [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())]
     mine = docs.drop(*(f.name for f in added))
     schema = StructType([*mine.schema.fields, *added])
@@ -424,7 +422,7 @@ def remove(
 
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     keyed = mine.withColumn("text_bytes", raw).withColumn("removal_key", F.unhex(F.md5(raw)))
-    joined = keyed.join(side, F.col("removal_key") == F.col("removal_of"), "left")
+    joined = keyed.join(spans, F.col("removal_key") == F.col("removal_of"), "left")
     return joined.drop("removal_key", "removal_of").mapInArrow(work, schema)
 
 
