@@ -296,8 +296,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest doc_id; of rows
     that share a doc_id one stays, rows without doc_id all do."""
     found = classes(docs)
-    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_doc_id")).distinct()
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.col("text"))
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    first = named.withColumn("_turn", F.row_number().over(one)).filter("_turn = 1").drop("_turn")
+    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept_doc_id"), "left_semi")
+    first = named.withColumn("_kept_turn", F.row_number().over(one)).filter("_kept_turn = 1").drop("_kept_turn")
     return first.unionByName(docs.filter("doc_id is null"))

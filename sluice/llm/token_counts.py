@@ -1,7 +1,7 @@
 """Token counts of the sections of documents, from one encoding of each whole text.
 
-Every token of a text has a span of characters. Sections are spans too: those of a
-``sections`` column (array of struct name, start, end; in order, not overlapping), or else
+Every token of a text has a span of characters. Sections are spans too: those of the
+``sections`` column if asked for (array of struct name, start, end; in order, not overlapping), or else
 the lines of the text, cut every ``section_chars`` characters where longer. Tokens join the
 section they overlap; one that crosses a boundary is allocated by ``rule``:
 
@@ -88,11 +88,15 @@ def allocate(spans: np.ndarray, sections: np.ndarray, rule: str = "most") -> tup
     return counts, crossing
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, section_chars: int = 1000, rule: str = "most") -> DataFrame:
-    """doc_id, section (its number), name, start, end, n_tokens, n_crossing; a row a section."""
+def count_tokens(
+    docs: DataFrame, tokenizer: str, section_chars: int = 1000, rule: str = "most", own_sections: bool = False
+) -> DataFrame:
+    """doc_id, section (its number), name, start, end, n_tokens, n_crossing; a row a section.
+
+    With ``own_sections``, those of the ``sections`` column."""
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
-    own = "sections" in docs.columns
+    own = own_sections
     names = [("doc_id", pa.int64()), ("section", pa.int32()), ("name", pa.string()), ("start", pa.int64())]
     schema = pa.schema([*names, ("end", pa.int64()), ("n_tokens", pa.int64()), ("n_crossing", pa.int64())])
 

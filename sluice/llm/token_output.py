@@ -10,7 +10,7 @@ control byte, and control bytes stand apart from the data bytes. A shard file is
 
 Files are written by Spark (one binary row a file, so the committer handles lost tasks and
 any file system does) and read with Spark's ``binaryFile``. Documents are in ascending
-order of doc_id (null first; of equal ids, in order of their tokens). The table of ranks,
+order of doc_id (null first; of equal ids, by number of tokens and checksum). The table of ranks,
 bounded by the tokenizer's vocabulary, lies beside the shards as Parquet.
 
 Null or empty texts have only the end id; an empty table gives no shard and no rows; other
@@ -151,7 +151,7 @@ def write_shards(
             yield rows(schema, shard=[encode_shard(partition, sequence, ids, values)])
 
     ordered = (
-        tokens.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), "crc")
+        tokens.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), "n_tokens", "crc")
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "crc")
         .select("doc_id", "ids")
     )
@@ -191,6 +191,7 @@ def read_shards(spark: SparkSession, path: str, broadcast_rows: int = 200_000) -
                     )
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/shards")
+    files = files.filter("length > 0")  # the writer leaves an empty file for an empty table
     documents = files.select("content").mapInArrow(
         work, "partition long, sequence long, doc_id long, local long, n_tokens long, ids binary"
     )
