@@ -35,9 +35,10 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from sluice.llm.common import mix, pieces, rows, shuffle_partitions, store, texts_of
 from sluice.llm.suffix import suffix_array
+from sluice.workspace import new_dir
 
 LENGTH, GRAM = 400, 100
-_BUFFER = 1 << 20  # bytes hashed at once; longer texts are taken in overlapping parts
+_BUFFER = 1 << 19  # bytes hashed at once; longer texts are taken in overlapping parts
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LETTERS = np.random.default_rng(400).integers(1, 1 << 63, 1 << 9, dtype=np.uint64)
@@ -195,7 +196,7 @@ def maximal_repeats(strings: list[bytes], least: int) -> Iterator[tuple[np.ndarr
         while stack and stack[-1][1] > here:
             first, length = stack.pop()
             mine = slice(first, slot)
-            if len(np.unique(left[mine])) > 1:
+            if (left[mine] != left[first]).any():
                 at = order[mine]
                 yield owner[at], at - begins[owner[at]], length
         if here >= least and (not stack or stack[-1][1] < here):
@@ -227,23 +228,20 @@ def repeats(texts: list[bytes], starts: list[int], strings: list[bytes]) -> tupl
         i, low = owner[s], int(at[s] - begins[owner[s]])
         text = strings[i][low : low + e - s + LENGTH]
         places.setdefault(text, []).append((texts[i], starts[i] + low))
-    found: tuple[list, list, list] = ([], [], [])
-
-    def add(where: tuple[bytes, int], offset: int, length: int) -> None:
-        found[0].append(where[0])
-        found[1].append(where[1] + offset)
-        found[2].append(where[1] + offset + length)
-
     distinct = list(places)
-    for text in distinct:  # a string found twice repeats as a whole
-        if len(places[text]) > 1:
-            for where in places[text]:
-                add(where, 0, len(text))
+    # Spans within each distinct string; one that is found twice repeats as a whole.
+    inside: list[list[tuple[int, int]]] = [[(0, len(d))] if len(places[d]) > 1 else [] for d in distinct]
     if distinct:
         for which, offsets, length in maximal_repeats(distinct, LENGTH):
             for k, offset in zip(which.tolist(), offsets.tolist()):
-                for where in places[distinct[k]]:
-                    add(where, offset, length)
+                inside[k].append((offset, offset + length))
+    found: tuple[list, list, list] = ([], [], [])
+    for text, spans in zip(distinct, inside):
+        for s, e in merge(spans):
+            for name, start in places[text]:
+                found[0].append(name)
+                found[1].append(start + s)
+                found[2].append(start + e)
     return found
 
 
@@ -358,7 +356,7 @@ def read_runs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def removal_spans(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int = 100_000) -> DataFrame:
+def removal_spans(docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int = 100_000) -> DataFrame:
     """text_hash, whole (every byte goes) and spans (start, end; they may overlap) of the texts
     of which something is removed."""
     described = store(describe(docs), "anchors")
@@ -383,7 +381,10 @@ def removal_spans(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int =
         each.join(side, "anchor").groupBy("text_hash").agg(F.first("stands").alias("stands"), F.collect_list(run).alias("runs")),
         "wanted-runs",
     )
-    runs = store(read_runs(docs, wanted), "runs")
+    path = new_dir(docs.sparkSession, "runs")
+    runs = read_runs(docs, wanted)
+    runs.write.partitionBy("hot").parquet(path)
+    runs = docs.sparkSession.read.schema(runs.schema).parquet(path)
     hot = runs.filter("hot")
     spans = find_repeats(runs.filter("not hot"))
     if hot.limit(1).count():
@@ -394,36 +395,40 @@ def removal_spans(docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int =
 
 
 def remove(
-    docs: DataFrame, hot_runs: int = 2_000, broadcast_rows: int = 100_000, characters: bool = False
+    docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int = 100_000, characters: bool = False
 ) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans and ``kept`` (the remaining bytes). With
-    ``characters``, characters of which a byte goes go as a whole."""
+    """``docs`` with n_bytes, n_removed, n_spans and, instead of the text, ``kept`` (its remaining
+    bytes; null for a null text). With ``characters``, characters of which a byte goes go as
+    a whole."""
     spans = store(removal_spans(docs, hot_runs, broadcast_rows), "removal-spans")
-    spans = spans.withColumnRenamed("text_hash", "removal_of")
+    names = {"text_hash": "_removal_of", "whole": "_removal_whole", "spans": "_removal_spans"}
+    spans = spans.withColumnsRenamed(names)
+    taken = ("_removal_text", "_removal_whole", "_removal_spans")
     added = [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())]
-    mine = docs.drop(*(f.name for f in added))
-    schema = StructType([*mine.schema.fields, *added])
+    mine = docs.withColumnRenamed("text", taken[0]).withColumn(taken[0], F.col(taken[0]).cast("binary"))
+    mine = mine.drop(*(f.name for f in added))
+    schema = StructType([*(f for f in mine.schema.fields if f.name != taken[0]), *added])
     arrow = to_arrow_schema(schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text_bytes"):
+            for part in pieces(batch, taken[0]):
                 got: dict[str, list] = {f.name: [] for f in added}
-                for text, whole, spans in zip(*(part.column(c).to_pylist() for c in ("text_bytes", "whole", "spans"))):
-                    gone = merge([(0, len(text))] if whole else [(s["start"], s["end"]) for s in spans or []])
+                for text, whole, spans in zip(*(part.column(c).to_pylist() for c in taken)):
+                    size = len(text or b"")
+                    gone = merge([(0, size)] if whole else [(s["start"], s["end"]) for s in spans or []])
                     if characters:
                         gone = merge([_whole_characters(text, s, e) for s, e in gone])
-                    got["kept"].append(cut(text, gone))
-                    got["n_bytes"].append(len(text))
+                    got["kept"].append(cut(text, gone) if gone else text)
+                    got["n_bytes"].append(size)
                     got["n_removed"].append(sum(e - s for s, e in gone))
                     got["n_spans"].append(len(gone))
                 columns = [pa.array(got[f.name], f.type) if f.name in got else part.column(f.name) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    keyed = mine.withColumn("text_bytes", raw).withColumn("removal_key", F.unhex(F.md5(raw)))
-    joined = keyed.join(spans, F.col("removal_key") == F.col("removal_of"), "left")
-    return joined.drop("removal_key", "removal_of").mapInArrow(work, schema)
+    key = F.unhex(F.md5(F.coalesce(F.col(taken[0]), F.lit("").cast("binary"))))
+    joined = mine.withColumn("_removal_key", key).join(spans, F.col("_removal_key") == F.col("_removal_of"), "left")
+    return joined.drop("_removal_key", "_removal_of").mapInArrow(work, schema)
 
 
 def strip(docs: DataFrame) -> DataFrame:
@@ -431,8 +436,7 @@ def strip(docs: DataFrame) -> DataFrame:
     is left go. All columns stay; n_chars, where there is one, follows."""
     beside = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
     left = remove(docs.select("doc_id", "text", beside), characters=True).filter("n_removed = 0 or length(kept) > 0")
-    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text")).alias("text")
-    rows = left.select(text, "row").select("text", "row.*").drop("_")
+    rows = left.select(F.col("kept").cast("string").alias("text"), "row").select("text", "row.*").drop("_")
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(docs.columns)
