@@ -93,9 +93,28 @@ def rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
-def session(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key of batches that are sorted by ``keys``."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [np.asarray(batch.column(k)) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for s, e in zip(cuts, cuts[1:]):
+            here = tuple(int(c[s]) for c in columns)
+            if held and here != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = here
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import binary_text, hash_words, pieces, rows, shingles, shuffle_partitions, store, texts_of
+from sluice.llm.common import binary_text, groups, hash_words, pieces, rows, shingles, shuffle_partitions, store, texts_of
 from sluice.llm.components import components
 
 WIDTH, PERCENT = 5, 75
@@ -183,29 +183,6 @@ def link(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     return label
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows of each key of batches that are sorted by ``keys``."""
-    held: list[pa.RecordBatch] = []
-    key = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [np.asarray(batch.column(k)) for k in keys]
-        new = np.zeros(batch.num_rows, dtype=bool)
-        for c in columns:
-            new[1:] |= c[1:] != c[:-1]
-        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
-        for s, e in zip(cuts, cuts[1:]):
-            here = tuple(int(c[s]) for c in columns)
-            if held and here != key:
-                yield pa.Table.from_batches(held)
-                held = []
-            key = here
-            held.append(batch.slice(s, e - s))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def read_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     """``members`` (doc, part, parts, block) with the shingle set of each, read from ``docs``."""
     fields = [("block", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("doc", pa.int64())]

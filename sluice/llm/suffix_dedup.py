@@ -15,7 +15,8 @@ covers it also starts anywhere else, in the same text or another one.
    ``LENGTH`` whose occurrences are preceded by different bytes is a maximal repeat, and all its
    occurrences are removed.
 4. Anchors of more than ``hot_runs`` runs are not gathered: window hashes are counted, summed
-   in the tasks first, and the runs are marked where they lie by the repeated hashes.
+   in the tasks first and in buckets then, and the runs are marked where they lie by the
+   repeated hashes.
 
 Work and rows follow the input, not the squares of groups. An empty table gives no rows;
 repeated rows are texts that occur twice; other columns are ignored, or kept by ``remove``.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from sluice.llm.common import mix, pieces, rows, shuffle_partitions, store, texts_of
+from sluice.llm.common import groups, mix, pieces, rows, shuffle_partitions, store, texts_of
 from sluice.llm.suffix import suffix_array
 from sluice.workspace import new_dir
 
@@ -273,24 +274,52 @@ def find_repeats(runs: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("anchor", "text_hash", "start").mapInArrow(work, _SPANS)
 
 
-def count_windows(runs: DataFrame) -> DataFrame:
-    """window (hash) of the windows that occur more than once in ``runs``."""
-    schema = pa.schema([("window", pa.int64()), ("n", pa.int64())])
+def count_windows(runs: DataFrame, bucket_bytes: int = 32 << 20) -> DataFrame:
+    """bucket, windows: hashes (64-bit integers in one binary value) of the windows that occur
+    more than once in ``runs``.
+
+    A task sums what it reads and sends one row a bucket with all hashes and counts of it;
+    buckets follow the hashes' first bits and are as many as keep each small.
+    """
+    bits = max(4, int(runs.count() * 16 * (LENGTH - GRAM) // bucket_bytes).bit_length())
+    schema = pa.schema([("bucket", pa.int64()), ("windows", pa.binary()), ("n", pa.binary())])
+    repeated = pa.schema([("bucket", pa.int64()), ("windows", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "string"):
-                hashes = [window_hashes(np.frombuffer(s, dtype=np.uint8), LENGTH) for s in part.column("string").to_pylist()]
+                strings = part.column("string").to_pylist()
+                hashes = [window_hashes(np.frombuffer(s, dtype=np.uint8), LENGTH) for s in strings]
                 value, n = np.unique(np.concatenate(hashes), return_counts=True)
-                yield rows(schema, window=value.view(np.int64), n=n)
+                bucket = (value >> np.uint64(64 - bits)).astype(np.int64)
+                cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]]).tolist()
+                spans = list(zip(cuts, cuts[1:]))
+                yield rows(
+                    schema,
+                    bucket=[bucket[s] for s, _ in spans],
+                    windows=[value[s:e].tobytes() for s, e in spans],
+                    n=[n[s:e].astype(np.int64).tobytes() for s, e in spans],
+                )
 
-    counted = runs.select("string").mapInArrow(work, "window long, n long")
-    return counted.groupBy("window").agg(F.sum("n").alias("n")).filter("n > 1").select("window")
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ["bucket"]):
+            value = np.frombuffer(b"".join(group.column("windows").to_pylist()), dtype=np.uint64)
+            n = np.frombuffer(b"".join(group.column("n").to_pylist()), dtype=np.int64)
+            order = np.argsort(value, kind="stable")
+            first = np.flatnonzero(np.diff(value[order], prepend=~value[order[:1]]))
+            often = np.add.reduceat(n[order], first) > 1
+            yield rows(
+                repeated, bucket=[group.column("bucket")[0].as_py()], windows=[value[order][first[often]].tobytes()]
+            )
 
+    sent = runs.select("string").mapInArrow(work, "bucket long, windows binary, n binary")
+    dealt = sent.repartition(shuffle_partitions(runs.sparkSession), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(add, "bucket long, windows binary")
 
-def mark_windows(runs: DataFrame, repeated: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
+
+def mark_windows(runs: DataFrame, repeated: DataFrame, broadcast_windows: int = 2_000_000) -> DataFrame:
     """Spans of the windows of ``runs`` whose hashes are in ``repeated``."""
-    if repeated.count() > broadcast_rows:
+    if (repeated.agg(F.sum(F.length("windows"))).first()[0] or 0) > 8 * broadcast_windows:
         schema = pa.schema([("text_hash", pa.binary()), ("start", pa.int64()), ("window", pa.int64())])
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,13 +329,18 @@ def mark_windows(runs: DataFrame, repeated: DataFrame, broadcast_rows: int = 2_0
                     at = start + np.arange(len(hashes))
                     yield rows(schema, text_hash=[text] * len(at), start=at, window=hashes)
 
+        def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for windows in batch.column(0).to_pylist():
+                    yield rows(pa.schema([("window", pa.int64())]), window=np.frombuffer(windows, dtype=np.int64))
+
         each = runs.select("text_hash", "start", "string").mapInArrow(
             spread, "text_hash binary, start long, window long"
         )
-        hit = each.join(repeated, "window", "left_semi")
+        hit = each.join(repeated.select("windows").mapInArrow(unpack, "window long"), "window", "left_semi")
         return hit.select("text_hash", "start", (F.col("start") + LENGTH).alias("end"))
-    known = np.sort(np.array([r["window"] for r in repeated.toLocalIterator()], dtype=np.int64))
-    shared = runs.sparkSession.sparkContext.broadcast(known)
+    found = [np.frombuffer(r["windows"], dtype=np.int64) for r in repeated.toLocalIterator()]
+    shared = runs.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.int64), *found])))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

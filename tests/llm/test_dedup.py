@@ -118,7 +118,7 @@ def test_windows_spread_where_hashes_are_too_many_to_broadcast(spark):
     table = spark.createDataFrame(rows, "text_hash binary, start long, string binary")
     repeated = suffix_dedup.count_windows(table)
     few = sorted(map(tuple, suffix_dedup.mark_windows(table, repeated).collect()))
-    many = suffix_dedup.mark_windows(table, repeated, broadcast_rows=0).collect()
+    many = suffix_dedup.mark_windows(table, repeated, broadcast_windows=0).collect()
     for name, s, e in few:
         starts = sorted(r.start for r in many if bytes(r.text_hash) == bytes(name))
         assert starts == list(range(s, e - suffix_dedup.LENGTH + 1))
