@@ -67,6 +67,11 @@ class Encoder:
         return b"".join([t.id.to_bytes(4, "little") for t in tokens])
 
     def _piece(self, piece: str) -> bytes:
+        if piece.isascii():  # the two commonest shapes: a word, a word and a mark
+            if piece.isalpha():
+                return self._parts[piece.lower()]
+            if piece[:-1].isalpha() and piece[-1] in ".,;:!?":
+                return self._parts[piece[:-1].lower()] + self._parts[piece[-1]]
         if "<|" in piece or not _PLAIN.match(piece):
             return self._whole(piece)
         return b"".join(map(self._parts.__getitem__, _PARTS.findall(piece.lower())))
