@@ -148,23 +148,27 @@ class LogBilinear:
     def gradient(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, noise: np.ndarray, ln_share: np.ndarray, k: float) -> np.ndarray:
         """Of the noise-contrastive loss: each target against ``k`` noise events, for which the
         batch's drawn ones stand with equal weight."""
-        n, c1, c2 = len(target), self.context[one], self.context[two]
-        predicted = c1 @ self.first + c2 @ self.second
-        own = np.einsum("ij,ij->i", predicted, self.vectors[target]) + self.bias[target]
-        d_own = -1 / (1 + np.exp(np.clip(own - ln_share[target] - np.log(k), -30, 30)))
-        other = predicted @ self.vectors[noise].T + self.bias[noise]
-        d_other = 1 / (1 + np.exp(-np.clip(other - ln_share[noise] - np.log(k), -30, 30))) * (k / len(noise))
-        d_own, d_other = (d_own / n).astype(np.float32), (d_other / n).astype(np.float32)
+        n = len(target)
+        predicted = (self.context @ self.first)[one] + (self.context @ self.second)[two]
+        raised = self.bias - ln_share - float(np.log(k))
+        own = np.einsum("ij,ij->i", predicted, self.vectors[target]) + raised[target]
+        d_own = -1 / (n + n * np.exp(np.minimum(own, 30)))
+        other = predicted @ self.vectors[noise].T
+        other += raised[noise]
+        # (k / draws / n) / (1 + exp(-x)), in place: the largest array of a step
+        np.exp(np.minimum(np.negative(other, out=other), 30, out=other), out=other)
+        other += 1
+        d_other = np.divide(k / len(noise) / n, other, out=other)
         d_predicted = d_own[:, None] * self.vectors[target] + d_other @ self.vectors[noise]
         out = LogBilinear(np.zeros_like(self.weights))
         out.vectors += _scatter(target, d_own[:, None] * predicted, EVENTS)
         out.vectors += _scatter(noise, d_other.T @ predicted, EVENTS)
         out.bias += np.bincount(target, d_own, EVENTS).astype(np.float32)
         out.bias += np.bincount(noise, d_other.sum(axis=0), EVENTS).astype(np.float32)
-        out.first += c1.T @ d_predicted
-        out.second += c2.T @ d_predicted
-        out.context += _scatter(one, d_predicted @ self.first.T, EVENTS + 1)
-        out.context += _scatter(two, d_predicted @ self.second.T, EVENTS + 1)
+        by_one, by_two = (_scatter(i, d_predicted, EVENTS + 1) for i in (one, two))
+        out.first += self.context.T @ by_one
+        out.second += self.context.T @ by_two
+        out.context += by_one @ self.first.T + by_two @ self.second.T
         return out.weights
 
     def normalisers(self) -> np.ndarray:
@@ -180,12 +184,9 @@ class LogBilinear:
 
 def _scatter(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Rows of ``values`` summed by ``index``."""
-    order = np.argsort(index, kind="stable")
-    sorted_index = index[order]
-    begins = np.flatnonzero(np.concatenate([[True], sorted_index[1:] != sorted_index[:-1]]))
-    out = np.zeros((size, values.shape[1]), dtype=np.float32)
-    out[sorted_index[begins]] = np.add.reduceat(values[order], begins, axis=0)
-    return out
+    width = values.shape[1]
+    cells = index[:, None] * width + np.arange(width)
+    return np.bincount(cells.ravel(), values.ravel(), size * width).reshape(size, width)
 
 
 def contexts(events: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
