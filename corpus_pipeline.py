@@ -14,6 +14,8 @@ from sluice.llm import decontaminate, near_dedup, packing, quality_rules, suffix
 from sluice.llm.common import store
 from sluice.llm.queries import SEQUENCE_TOKENS, table, word_tokenizer
 
+PASSAGE_WORDS = 51
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a quality rule go."""
@@ -26,8 +28,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that occur more than once are cut out of the texts."""
-    return suffix_dedup.strip(docs)
+    """Passages of more than 50 words, and strings of 400 bytes, that occur more than once are
+    cut out of the texts."""
+    return suffix_dedup.strip(docs, words=PASSAGE_WORDS)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

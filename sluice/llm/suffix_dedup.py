@@ -1,7 +1,10 @@
 """Exact repeated byte strings, found with enhanced suffix arrays of candidate regions.
 
 Texts are UTF-8 bytes (null: empty). A byte is removed if a string of ``LENGTH`` bytes that
-covers it also starts anywhere else, in the same text or another one.
+covers it also starts anywhere else, in the same text or another one. With ``words``, the bytes
+of so many words in a row (runs of bytes other than ASCII white space) that also occur
+anywhere else go too, whatever white space is between them; the steps below are then taken a
+second time, with words for bytes (``Unit``).
 
 1. Equal texts collapse by their MD5; if there are two or more of at least ``LENGTH`` bytes,
    all their bytes go, and one of them stands for them below.
@@ -25,10 +28,14 @@ repeated rows are texts that occur twice; other columns are ignored, or kept by
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import itertools
+import re
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -44,6 +51,39 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LETTERS = np.random.default_rng(400).integers(1, 1 << 63, 1 << 9, dtype=np.uint64)
 _powers: dict[int, np.ndarray] = {}
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+class Unit(NamedTuple):
+    """What strings are made of, bytes or words: ``length`` of them are a window, ``gram`` an
+    anchor. Starts and ends of runs and spans count units."""
+
+    length: int = LENGTH
+    gram: int = GRAM
+    words: bool = False
+
+    def of(self, text: bytes) -> Sequence:
+        return text.split() if self.words else text
+
+    def join(self, units: Sequence) -> bytes:
+        return b" ".join(units) if self.words else units
+
+    def letters(self, parts: list) -> np.ndarray:
+        """A 64-bit number for each unit of all parts, one after the other."""
+        if self.words:
+            flat = itertools.chain.from_iterable(parts)
+            return np.fromiter(map(xxhash.xxh3_64_intdigest, flat), dtype=np.uint64, count=sum(map(len, parts)))
+        return _LETTERS[np.frombuffer(b"".join(parts), dtype=np.uint8)]
+
+    def symbols(self, parts: list) -> np.ndarray:
+        """As ``letters``, but small numbers that only equal units share."""
+        if self.words:
+            known: dict[bytes, int] = {}
+            return np.array([known.setdefault(w, len(known)) for w in itertools.chain.from_iterable(parts)], dtype=np.int64)
+        return np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.int64)
+
+
+BYTES = Unit()
 
 
 def _power(base: int, n: int) -> np.ndarray:
@@ -68,10 +108,10 @@ def substring_hash(sums: np.ndarray, start: np.ndarray, length) -> np.ndarray:
     return mix((sums[start + length] - sums[start]) * _power(_INVERSE, len(sums))[start])
 
 
-def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every substring of ``length`` bytes."""
-    sums = prefix_hash(_LETTERS[data])
-    n = len(data) - length + 1
+def window_hashes(letters: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every substring of ``length`` letters."""
+    sums = prefix_hash(letters)
+    n = len(letters) - length + 1
     return mix((sums[length:] - sums[:n]) * _power(_INVERSE, n))
 
 
@@ -86,24 +126,24 @@ def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+def anchors(texts: list[bytes], unit: Unit = BYTES) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text, where runs of windows with one anchor begin and the anchors' hashes."""
     out: list[tuple[list, list]] = [([], []) for _ in texts]
-    held: list[tuple[int, int, bytes]] = []
+    held: list[tuple[int, int, Sequence]] = []
     size = 0
 
     def flush() -> None:
         nonlocal held, size
         if held:
-            data = np.frombuffer(b"".join(part for *_, part in held), dtype=np.uint8)
-            grams = window_hashes(data, GRAM)
+            data = unit.letters([part for *_, part in held])
+            grams = window_hashes(data, unit.gram)
             bits = np.uint64((1 << len(data).bit_length()) - 1)
-            least = _sliding_minimum((grams & ~bits) | np.arange(len(grams), dtype=np.uint64), LENGTH - GRAM + 1)
+            least = _sliding_minimum((grams & ~bits) | np.arange(len(grams), dtype=np.uint64), unit.length - unit.gram + 1)
             anchor = (least & bits).astype(np.int64)
             changed = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
             begin = 0
             for text, offset, part in held:
-                last = begin + len(part) - LENGTH
+                last = begin + len(part) - unit.length
                 s, e = np.searchsorted(changed, [begin + 1, last + 1])
                 starts = np.concatenate([[begin], changed[s:e]])
                 out[text][0].append(starts - begin + offset)
@@ -112,8 +152,9 @@ def anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         held, size = [], 0
 
     for i, text in enumerate(texts):
-        for offset in range(0, max(0, len(text) - LENGTH + 1), _BUFFER):
-            part = text[offset : offset + _BUFFER + LENGTH - 1]
+        whole = unit.of(text)
+        for offset in range(0, max(0, len(whole) - unit.length + 1), _BUFFER):
+            part = whole[offset : offset + _BUFFER + unit.length - 1]
             held.append((i, offset, part))
             size += len(part)
             if size >= _BUFFER:
@@ -123,28 +164,28 @@ def anchors(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(np.concatenate(s), np.concatenate(h)) if s else none for s, h in out]
 
 
-def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_bytes, and each run's first window and anchor hash."""
-    fields = [("doc_id", pa.int64()), ("text_hash", pa.binary()), ("n_bytes", pa.int64())]
+def describe(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """doc_id, text_hash, size in units, and each run's first window and anchor hash."""
+    fields = [("doc_id", pa.int64()), ("text_hash", pa.binary()), ("size", pa.int64())]
     schema = pa.schema([*fields, ("starts", pa.list_(pa.int64())), ("anchors", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 texts = texts_of(part)
-                found = anchors(texts)
+                found = anchors(texts, unit)
                 yield rows(
                     schema,
                     doc_id=part.column("doc_id"),
                     text_hash=[hashlib.md5(t).digest() for t in texts],
-                    n_bytes=[len(t) for t in texts],
+                    size=[len(unit.of(t)) for t in texts],
                     starts=[s for s, _ in found],
                     anchors=[h.view(np.int64) for _, h in found],
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return texts.mapInArrow(
-        work, "doc_id long, text_hash binary, n_bytes long, starts array<long>, anchors array<long>"
+        work, "doc_id long, text_hash binary, size long, starts array<long>, anchors array<long>"
     )
 
 
@@ -169,24 +210,25 @@ def common_prefixes(sums: np.ndarray, order: np.ndarray, lengths: np.ndarray) ->
     return np.concatenate([[0], low])
 
 
-def maximal_repeats(strings: list[bytes], least: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(string numbers, offsets, length) of each maximal repeat of ``least`` bytes or more: all
+def maximal_repeats(
+    strings: list[Sequence], least: int, unit: Unit = BYTES
+) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(string numbers, offsets, length) of each maximal repeat of ``least`` units or more: all
     its occurrences, found by a stack scan over the common-prefix intervals of the enhanced
     suffix array. A string's beginning counts as a left neighbour of its own."""
     sizes = np.array([len(s) for s in strings])
     begins = np.cumsum(sizes + 1) - sizes - 1
     symbols = np.zeros(int(sizes.sum()) + len(strings), dtype=np.int64)
     owner = np.repeat(np.arange(len(strings)), sizes + 1)
-    symbols[begins + sizes] = 256 + np.arange(len(strings))  # each string ends in a symbol of its own
     inside = np.ones(len(symbols), dtype=bool)
     inside[begins + sizes] = False
-    symbols[inside] = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    symbols[inside] = unit.symbols(strings)
+    symbols[~inside] = symbols.max() + 1 + np.arange(len(strings))  # each string ends in a symbol of its own
     order, _ = suffix_array(symbols)
     rest = begins[owner] + sizes[owner] - np.arange(len(symbols))
     long_enough = rest[order] >= least
     order = order[long_enough]
-    letters = _LETTERS[np.minimum(symbols, 511)] + np.where(inside, 0, symbols).astype(np.uint64)
-    prefix = common_prefixes(prefix_hash(letters), order, rest)
+    prefix = common_prefixes(prefix_hash(mix(symbols.astype(np.uint64) + np.uint64(1))), order, rest)
     left = symbols[order - 1]
     left = np.where(order == begins[owner[order]], -1 - np.arange(len(order)), left)
     stack: list[tuple[int, int]] = []  # open intervals: first slot and common prefix
@@ -204,15 +246,17 @@ def maximal_repeats(strings: list[bytes], least: int) -> Iterator[tuple[np.ndarr
             stack.append((first, here))
 
 
-def repeats(texts: list[bytes], starts: list[int], strings: list[bytes]) -> tuple[list, list, list]:
-    """Spans (text, start, end) of the repeated windows of some runs: ``strings[i]`` stands at
+def repeats(
+    texts: list[bytes], starts: list[int], joined: list[bytes], unit: Unit = BYTES
+) -> tuple[list, list, list]:
+    """Spans (text, start, end) of the repeated windows of some runs: ``joined[i]`` stands at
     ``starts[i]`` of the text named ``texts[i]``."""
-    data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    strings, length = [unit.of(s) for s in joined], unit.length
     sizes = np.array([len(s) for s in strings])
     begins = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(strings)), sizes - LENGTH + 1)
-    at = np.arange(len(owner)) + owner * (LENGTH - 1)  # every window of every string
-    hashes = window_hashes(data, LENGTH)[at]
+    owner = np.repeat(np.arange(len(strings)), sizes - length + 1)
+    at = np.arange(len(owner)) + owner * (length - 1)  # every window of every string
+    hashes = window_hashes(unit.letters(strings), length)[at]
     order = np.argsort(hashes, kind="stable")
     same = hashes[order][1:] == hashes[order][:-1]
     twice = np.zeros(len(at), dtype=bool)
@@ -227,15 +271,16 @@ def repeats(texts: list[bytes], starts: list[int], strings: list[bytes]) -> tupl
     places: dict[bytes, list[tuple[bytes, int]]] = {}
     for s, e in zip(first.tolist(), last.tolist()):
         i, low = owner[s], int(at[s] - begins[owner[s]])
-        text = strings[i][low : low + e - s + LENGTH]
+        text = unit.join(strings[i][low : low + e - s + length])
         places.setdefault(text, []).append((texts[i], starts[i] + low))
     distinct = list(places)
     # Spans within each distinct string; one that is found twice repeats as a whole.
-    inside: list[list[tuple[int, int]]] = [[(0, len(d))] if len(places[d]) > 1 else [] for d in distinct]
+    apart = [unit.of(d) for d in distinct]
+    inside: list[list[tuple[int, int]]] = [[(0, len(a))] if len(places[d]) > 1 else [] for d, a in zip(distinct, apart)]
     if distinct:
-        for which, offsets, length in maximal_repeats(distinct, LENGTH):
+        for which, offsets, common in maximal_repeats(apart, length, unit):
             for k, offset in zip(which.tolist(), offsets.tolist()):
-                inside[k].append((offset, offset + length))
+                inside[k].append((offset, offset + common))
     found: tuple[list, list, list] = ([], [], [])
     for text, spans in zip(distinct, inside):
         for s, e in merge(spans):
@@ -246,7 +291,7 @@ def repeats(texts: list[bytes], starts: list[int], strings: list[bytes]) -> tupl
     return found
 
 
-def find_repeats(runs: DataFrame) -> DataFrame:
+def find_repeats(runs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """Spans of the repeated windows of ``runs`` (anchor, text_hash, start, string)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +310,7 @@ def find_repeats(runs: DataFrame) -> DataFrame:
             yield flush(held)
 
     def flush(held: dict[tuple[bytes, int], bytes]) -> pa.RecordBatch:
-        found = repeats([t for t, _ in held], [s for _, s in held], list(held.values()))
+        found = repeats([t for t, _ in held], [s for _, s in held], list(held.values()), unit)
         return rows(_spans_schema(), text_hash=found[0], start=found[1], end=found[2])
 
     dealt = runs.select("anchor", "text_hash", "start", "string").repartition(
@@ -274,14 +319,14 @@ def find_repeats(runs: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("anchor", "text_hash", "start").mapInArrow(work, _SPANS)
 
 
-def count_windows(runs: DataFrame, bucket_bytes: int = 32 << 20) -> DataFrame:
+def count_windows(runs: DataFrame, bucket_bytes: int = 32 << 20, unit: Unit = BYTES) -> DataFrame:
     """bucket, windows: hashes (64-bit integers in one binary value) of the windows that occur
     more than once in ``runs``.
 
     A task sums what it reads and sends one row a bucket with all hashes and counts of it;
     buckets follow the hashes' first bits and are as many as keep each small.
     """
-    bits = max(4, int(runs.count() * 16 * (LENGTH - GRAM) // bucket_bytes).bit_length())
+    bits = max(4, int(runs.count() * 16 * (unit.length - unit.gram) // bucket_bytes).bit_length())
     schema = pa.schema([("bucket", pa.int64()), ("windows", pa.binary()), ("n", pa.binary())])
     repeated = pa.schema([("bucket", pa.int64()), ("windows", pa.binary())])
 
@@ -289,7 +334,7 @@ def count_windows(runs: DataFrame, bucket_bytes: int = 32 << 20) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, "string"):
                 strings = part.column("string").to_pylist()
-                hashes = [window_hashes(np.frombuffer(s, dtype=np.uint8), LENGTH) for s in strings]
+                hashes = [window_hashes(unit.letters([unit.of(s)]), unit.length) for s in strings]
                 value, n = np.unique(np.concatenate(hashes), return_counts=True)
                 bucket = (value >> np.uint64(64 - bits)).astype(np.int64)
                 cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]]).tolist()
@@ -317,7 +362,9 @@ def count_windows(runs: DataFrame, bucket_bytes: int = 32 << 20) -> DataFrame:
     return dealt.mapInArrow(add, "bucket long, windows binary")
 
 
-def mark_windows(runs: DataFrame, repeated: DataFrame, broadcast_windows: int = 2_000_000) -> DataFrame:
+def mark_windows(
+    runs: DataFrame, repeated: DataFrame, broadcast_windows: int = 2_000_000, unit: Unit = BYTES
+) -> DataFrame:
     """Spans of the windows of ``runs`` whose hashes are in ``repeated``."""
     if (repeated.agg(F.sum(F.length("windows"))).first()[0] or 0) > 8 * broadcast_windows:
         schema = pa.schema([("text_hash", pa.binary()), ("start", pa.int64()), ("window", pa.int64())])
@@ -325,7 +372,7 @@ def mark_windows(runs: DataFrame, repeated: DataFrame, broadcast_windows: int =
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for text, start, string in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                    hashes = window_hashes(np.frombuffer(string, dtype=np.uint8), LENGTH).view(np.int64)
+                    hashes = window_hashes(unit.letters([unit.of(string)]), unit.length).view(np.int64)
                     at = start + np.arange(len(hashes))
                     yield rows(schema, text_hash=[text] * len(at), start=at, window=hashes)
 
@@ -338,7 +385,7 @@ def mark_windows(runs: DataFrame, repeated: DataFrame, broadcast_windows: int =
             spread, "text_hash binary, start long, window long"
         )
         hit = each.join(repeated.select("windows").mapInArrow(unpack, "window long"), "window", "left_semi")
-        return hit.select("text_hash", "start", (F.col("start") + LENGTH).alias("end"))
+        return hit.select("text_hash", "start", (F.col("start") + unit.length).alias("end"))
     found = [np.frombuffer(r["windows"], dtype=np.int64) for r in repeated.toLocalIterator()]
     shared = runs.sparkSession.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.int64), *found])))
 
@@ -346,21 +393,21 @@ def mark_windows(runs: DataFrame, repeated: DataFrame, broadcast_windows: int =
         for batch in batches:
             found: tuple[list, list, list] = ([], [], [])
             for text, start, string in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                hashes = window_hashes(np.frombuffer(string, dtype=np.uint8), LENGTH).view(np.int64)
+                hashes = window_hashes(unit.letters([unit.of(string)]), unit.length).view(np.int64)
                 slot = np.minimum(np.searchsorted(shared.value, hashes), max(0, len(shared.value) - 1))
                 hit = shared.value[slot] == hashes if len(shared.value) else np.zeros(len(hashes), bool)
                 edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
                 for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
                     found[0].append(text)
                     found[1].append(start + s)
-                    found[2].append(start + e - 1 + LENGTH)
+                    found[2].append(start + e - 1 + unit.length)
             yield rows(_spans_schema(), text_hash=found[0], start=found[1], end=found[2])
 
     return runs.select("text_hash", "start", "string").mapInArrow(work, _SPANS)
 
 
-def read_runs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of the wanted runs (doc_id, text_hash, runs of anchor, start, last window,
+def read_runs(docs: DataFrame, wanted: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """The strings of the wanted runs (doc_id, text_hash, runs of anchor, start, last window,
     hot): one row a run, read from the document that stands for its text."""
     fields = [("anchor", pa.int64()), ("text_hash", pa.binary()), ("start", pa.int64()), ("hot", pa.bool_())]
     schema = pa.schema([*fields, ("string", pa.binary())])
@@ -373,8 +420,9 @@ def read_runs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 for text, name, runs in zip(*(part.column(c).to_pylist() for c in ("text", "text_hash", "runs"))):
                     if hashlib.md5(text).digest() != name:  # another text with this doc_id
                         continue
+                    whole = unit.of(text)
                     for run in runs:
-                        string = text[run["start"] : run["last"] + LENGTH]
+                        string = unit.join(whole[run["start"] : run["last"] + unit.length])
                         for f, v in zip(out, (run["anchor"], name, run["start"], run["hot"], string)):
                             out[f].append(v)
                         size += len(string)
@@ -390,21 +438,23 @@ def read_runs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def removal_spans(docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int = 100_000) -> DataFrame:
+def removal_spans(
+    docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int = 100_000, unit: Unit = BYTES
+) -> DataFrame:
     """text_hash, whole (every byte goes) and spans (start, end; they may overlap) of the texts
     of which something is removed."""
-    described = store(describe(docs), "anchors")
+    described = store(describe(docs, unit), "anchors")
     texts = store(
         described.groupBy("text_hash").agg(
             F.count("*").alias("copies"),
             F.min("doc_id").alias("stands"),
-            F.first("n_bytes").alias("n_bytes"),
+            F.first("size").alias("size"),
             F.first("starts").alias("starts"),
             F.first("anchors").alias("anchors"),
         ),
         "texts",
     )
-    last = F.concat(F.transform(F.slice("starts", 2, F.size("starts")), lambda s: s - 1), F.array(F.col("n_bytes") - LENGTH))
+    last = F.concat(F.transform(F.slice("starts", 2, F.size("starts")), lambda s: s - 1), F.array(F.col("size") - unit.length))
     zipped = F.arrays_zip(F.col("anchors").alias("anchor"), F.col("starts").alias("start"), last.alias("last"))
     each = texts.filter(F.size("starts") > 0).select("text_hash", "stands", F.explode(zipped).alias("r"))
     each = each.select("text_hash", "stands", "r.*")
@@ -416,28 +466,40 @@ def removal_spans(docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int =
         "wanted-runs",
     )
     path = new_dir(docs.sparkSession, "runs")
-    runs = read_runs(docs, wanted)
+    runs = read_runs(docs, wanted, unit)
     runs.write.partitionBy("hot").parquet(path)
     runs = docs.sparkSession.read.schema(runs.schema).parquet(path)
     hot = runs.filter("hot")
-    spans = find_repeats(runs.filter("not hot"))
+    spans = find_repeats(runs.filter("not hot"), unit)
     if hot.limit(1).count():
-        spans = spans.unionByName(mark_windows(hot, store(count_windows(hot), "repeated-windows")))
+        often = store(count_windows(hot, unit=unit), "repeated-windows")
+        spans = spans.unionByName(mark_windows(hot, often, unit=unit))
     mine = spans.groupBy("text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    whole = texts.filter((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).select("text_hash", F.lit(True).alias("whole"))
+    whole = texts.filter((F.col("copies") > 1) & (F.col("size") >= unit.length)).select("text_hash", F.lit(True).alias("whole"))
     return mine.join(whole, "text_hash", "full")
 
 
 def remove(
-    docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int = 100_000, characters: bool = False
+    docs: DataFrame,
+    hot_runs: int = 1_000,
+    broadcast_rows: int = 100_000,
+    characters: bool = False,
+    words: int | None = None,
 ) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and, instead of the text, ``kept`` (its remaining
     bytes; null for a null text). With ``characters``, characters of which a byte goes go as
-    a whole."""
+    a whole. With ``words``, runs of so many words that repeat go besides."""
     spans = store(removal_spans(docs, hot_runs, broadcast_rows), "removal-spans")
+    if words:
+        unit = Unit(words, max(1, words // 4), True)
+        more = store(removal_spans(docs, hot_runs, broadcast_rows, unit), "removal-words")
+        more = more.withColumnsRenamed({"whole": "whole_words", "spans": "words"})
+        spans = spans.join(more, "text_hash", "full")
+    else:
+        spans = spans.withColumns({"whole_words": F.lit(None).cast("boolean"), "words": F.lit(None).cast(spans.schema["spans"].dataType)})
     names = {"text_hash": "_removal_of", "whole": "_removal_whole", "spans": "_removal_spans"}
-    spans = spans.withColumnsRenamed(names)
-    taken = ("_removal_text", "_removal_whole", "_removal_spans")
+    spans = spans.withColumnsRenamed(names | {"whole_words": "_removal_whole_words", "words": "_removal_words"})
+    taken = ("_removal_text", "_removal_whole", "_removal_spans", "_removal_whole_words", "_removal_words")
     added = [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())]
     mine = docs.withColumnRenamed("text", taken[0]).withColumn(taken[0], F.col(taken[0]).cast("binary"))
     mine = mine.drop(*(f.name for f in added))
@@ -448,9 +510,13 @@ def remove(
         for batch in batches:
             for part in pieces(batch, taken[0]):
                 got: dict[str, list] = {f.name: [] for f in added}
-                for text, whole, spans in zip(*(part.column(c).to_pylist() for c in taken)):
+                for text, whole, spans, whole_words, apart in zip(*(part.column(c).to_pylist() for c in taken)):
                     size = len(text or b"")
-                    gone = merge([(0, size)] if whole else [(s["start"], s["end"]) for s in spans or []])
+                    gone = [(0, size)] if whole or whole_words else [(s["start"], s["end"]) for s in spans or []]
+                    if apart:
+                        at = [w.span() for w in _WORD.finditer(text)]
+                        gone += [(at[s["start"]][0], at[s["end"] - 1][1]) for s in apart]
+                    gone = merge(gone)
                     if characters:
                         gone = merge([_whole_characters(text, s, e) for s, e in gone])
                     got["kept"].append(cut(text, gone) if gone else text)
@@ -465,11 +531,11 @@ def remove(
     return joined.drop("_removal_key", "_removal_of").mapInArrow(work, schema)
 
 
-def strip(docs: DataFrame) -> DataFrame:
-    """``docs`` without repeated strings, whole characters at a time; documents of which nothing
-    is left go. All columns stay; n_chars, where there is one, follows."""
+def strip(docs: DataFrame, words: int | None = None) -> DataFrame:
+    """``docs`` without repeated strings (and, with ``words``, without runs of so many words that
+    repeat), whole characters at a time; documents of which nothing is left go. All columns stay; n_chars, where there is one, follows."""
     beside = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
-    left = remove(docs.select("doc_id", "text", beside), characters=True).filter("n_removed = 0 or length(kept) > 0")
+    left = remove(docs.select("doc_id", "text", beside), characters=True, words=words).filter("n_removed = 0 or length(kept) > 0")
     rows = left.select(F.col("kept").cast("string").alias("text"), "row").select("text", "row.*").drop("_")
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

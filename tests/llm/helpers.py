@@ -111,6 +111,23 @@ def repeated_bytes(texts: list[bytes], length: int) -> list[bytearray]:
     return out
 
 
+def without_repeats(texts: list[bytes], words: int) -> list[bytes]:
+    """Each text without its repeated strings of 400 bytes and runs of ``words`` words."""
+    spans = [[w.span() for w in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for t in texts]
+    windows = [[tuple(t[a:b] for a, b in s[i : i + words]) for i in range(len(s) - words + 1)] for t, s in zip(texts, spans)]
+    count = collections.Counter(w for ws in windows for w in ws)
+    out = []
+    for t, s, ws, flags in zip(texts, spans, windows, repeated_bytes(texts, 400)):
+        for i, w in enumerate(ws):
+            if count[w] > 1:
+                a, b = s[i][0], s[i + words - 1][1]
+                flags[a:b] = b"\1" * (b - a)
+        if ws and texts.count(t) > 1:
+            flags = b"\1" * len(t)
+        out.append(bytes(b for b, f in zip(t, flags) if not f))
+    return out
+
+
 def contamination(texts: list[str | None], items: list[tuple[str, str | None]], window: int = 10):
     """(n_words, hit flags, item names) of each text."""
     phrases = collections.defaultdict(set)

@@ -11,7 +11,7 @@ from sluice.llm import near_dedup, queries, suffix_dedup
 from sluice.llm.components import components
 from sluice.llm.suffix import suffix_array
 
-from .helpers import documents, empty, near_classes, odd_texts, repeated_bytes, sentence, shingle_set
+from .helpers import documents, empty, near_classes, odd_texts, repeated_bytes, sentence, shingle_set, without_repeats
 
 SF = "/root/testdata/sf0.01"
 
@@ -156,6 +156,24 @@ def test_strip_keeps_characters_and_columns(spark):
     assert rows[0].n_chars == 4 and suffix_dedup.strip(docs).schema == docs.schema
 
 
+@pytest.mark.parametrize("hot_runs", [2_000, 0])
+def test_repeated_words_of_odd_documents(spark, hot_runs):
+    """Passages of 51 words and more, most of them under 400 bytes; 50 words stay."""
+    short = [f"{c}{k % 7}" for c, k in zip("abcdefghijklmnopqrstuvwxyz" * 3, range(78))]
+    passages = [short[:51], short[20:71], short[5:55], ["kalo"] * 51, sentence(31, 60).split()[:52]]
+    texts = odd_texts()
+    for k, p in enumerate(passages):
+        texts.append(f"{sentence(60 + k, 20)} {' '.join(p)} {sentence(70 + k, 20)}")
+        texts.append(f"{sentence(80 + k, 9)}\n{'  '.join(p)}\n")
+    texts += [" ".join(short[:60])] * 2
+    docs = documents(spark, texts)
+    raw = [(r.text or "").encode() for r in docs.collect()]
+    found = suffix_dedup.remove(docs, hot_runs=hot_runs, words=51).collect()
+    want = without_repeats(raw, 51)
+    assert sorted(bytes(r.kept or b"") for r in found) == sorted(want)
+    assert sum(map(len, want)) < sum(bytes(r.kept or b"") != b"" and len(r.kept) for r in suffix_dedup.remove(docs).collect())
+
+
 def test_empty_tables(spark):
     none = empty(spark)
     assert near_dedup.classes(none).count() == 0 and near_dedup.deduplicate(none).count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sluice.llm import lm_score, queries, quality_rules
 
-from .helpers import contamination, documents, empty, near_classes, repeated_bytes, shingle_set
+from .helpers import contamination, documents, empty, near_classes, repeated_bytes, sentence, shingle_set, without_repeats
 
 SF = "/root/testdata/sf0.001"
 
@@ -152,3 +152,34 @@ def test_stages_on_odd_and_empty_documents(spark, tmp_path):
             docs = stage(spark, docs, sf)
             assert docs.schema == schema, name
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= docs.count()
+
+
+def test_pipeline_cuts_passages_of_51_words(spark):
+    """Planted in documents that are otherwise different; the passage has 305 bytes."""
+    passage = " ".join(f"{c}{k:04d}" for k, c in zip(range(51), "abcdefghijklmnopqrstuvwxyz" * 2))
+    texts = [f"{sentence(1, 60)} {passage} {sentence(2, 60)}", f"{sentence(3, 60)} {passage}\n{sentence(4, 60)}"]
+    texts.append(f"{sentence(5, 60)} {passage.rsplit(' ', 1)[0]} {sentence(6, 60)}")  # 50 words stay
+    found = dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, documents(spark, texts, repeat=False), SF)
+    got = {r.doc_id: r.text for r in found.collect()}
+    assert got == {0: f"{sentence(1, 60)}  {sentence(2, 60)}", 1: f"{sentence(3, 60)} \n{sentence(4, 60)}", 2: texts[2]}
+
+
+def test_last_stages_against_brute_force(spark):
+    """From near-dedup's result on: all repeats are cut, and the run gives what the stages give."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    single = stages["near_dedup"](spark, stages["quality_rules"](spark, docs, SF), SF)
+    rows = single.collect()
+    want = dict(zip([r.doc_id for r in rows], without_repeats([r.text.encode() for r in rows], 51)))
+    stripped = stages["suffix_dedup"](spark, single, SF)
+    left = {r.doc_id: r.text.encode() for r in stripped.collect()}
+    assert stripped.schema == docs.schema and set(left) >= {d for d, t in want.items() if t}
+    assert all(left[d] in want[d] and len(want[d]) - len(left[d]) <= 12 for d in left)  # but for parts of characters
+    clean = stages["decontaminate"](spark, stripped, SF)
+    items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    cleaned = clean.collect()
+    assert clean.schema == docs.schema and {r.doc_id for r in cleaned} == set(left)
+    assert not any(any(f) for _, f, _ in contamination([r.text for r in cleaned], items))
+    key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
+    packed = stages["pack"](spark, clean, SF).collect()
+    assert sorted(map(key, corpus_pipeline.run(spark, SF).collect())) == sorted(map(key, packed))
