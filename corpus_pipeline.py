@@ -39,9 +39,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text is tokenised and placed in sequences."""
+    """Every text is tokenised and placed in sequences; ``ids`` are the pieces' tokens."""
     pieces = packing.pack(docs, word_tokenizer(), end_id=0, capacity=SEQUENCE_TOKENS)
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluice.llm import lm_score, queries, quality_rules
+from sluice.llm.tokens import encoder
 
 from .helpers import contamination, documents, empty, near_classes, repeated_bytes, sentence, shingle_set, without_repeats
 
@@ -183,3 +184,20 @@ def test_last_stages_against_brute_force(spark):
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     packed = stages["pack"](spark, clean, SF).collect()
     assert sorted(map(key, corpus_pipeline.run(spark, SF).collect())) == sorted(map(key, packed))
+
+
+def test_pipeline_gives_the_token_ids(spark):
+    docs = documents(spark)
+    enc = encoder(queries.word_tokenizer())
+    texts = sorted([*enc.encode_all([(r.text or "").encode()])[0].tolist(), 0] for r in docs.collect())
+    whole = collections.defaultdict(list)
+    seen = collections.Counter()
+    for r in sorted(corpus_pipeline.packed(spark, docs, SF).collect(), key=lambda r: (r.doc_id or -1, r.piece)):
+        ids = np.frombuffer(r.ids, dtype="<u4").tolist()
+        assert len(ids) == r.length and r.ids_crc32 == zlib.crc32(r.ids)
+        seen[r.doc_id, r.piece] += 1
+        whole[r.doc_id, seen[r.doc_id, r.piece]].append((r.start, ids))
+    for key, parts in list(whole.items()):
+        assert [s for s, _ in parts] == np.cumsum([0, *(len(i) for _, i in parts[:-1])]).tolist(), key
+    assert sorted([i for _, ids in parts for i in ids] for parts in whole.values()) == texts
+    assert "ids" in corpus_pipeline.run(spark, SF).columns
