@@ -12,9 +12,13 @@ Two documents are linked if the Jaccard similarity of their sets is at least 0.7
 * What candidates connect is a block; no linked pair spans two blocks (but for that
   probability). Each document of a block is read again once, and its block is searched
   breadth first with full sets, without writing out pairs.
-* Depth adapts per region: a block of more than ``block_bytes`` is cut into parts of documents that
-  lie next to each other at greater depth, and each pair of parts is searched by one task,
-  so the cut loses no link and no task holds more than two parts.
+* Depth adapts per region: a block of more than ``block_bytes`` is dealt along ``DEEP`` of its trees,
+  in the order of all ``LEVELS`` values, into stretches that fit a task. Sets of a stretch share
+  the longest prefixes there are, and are searched in full. What that connects is a cluster.
+* Only pairs of two clusters are open then. Clusters that exceed a part are cut into parts of
+  their own, the others share parts; each pair of parts is searched by one task unless both are of
+  one cluster. So the cut loses no link, no task holds more than two parts, and a block that is
+  one cluster, as a group of near copies is, costs ``DEEP`` copies of its sets.
 
 Null and empty texts have no set and link to nothing. Rows that share a doc_id are one
 document (they share a component). Rows without doc_id link to nothing (component null,
@@ -28,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +41,7 @@ from sluice.llm.components import components
 
 WIDTH, PERCENT = 5, 75
 TREES, BASE, LEVELS = 32, 4, 6
+DEEP = 4
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 1 << 32, TREES * LEVELS, dtype=np.uint32) | np.uint32(1)
@@ -184,8 +190,8 @@ def link(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (doc, part, parts, block) with the shingle set of each, read from ``docs``."""
-    fields = [("block", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("doc", pa.int64())]
+    """``members`` (doc, block, large) with the shingle set of each, read from ``docs``."""
+    fields = [("block", pa.int64()), ("large", pa.bool_()), ("doc", pa.int64())]
     schema = pa.schema([*fields, ("shingles", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,31 +201,77 @@ def read_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                 yield rows(schema, **{n: part.column(n) for n, _ in fields}, shingles=sets)
 
     texts = binary_text(docs, F.col("doc_id").cast("long").alias("doc"))
-    return texts.join(members, "doc").mapInArrow(
-        work, "block long, part int, parts int, doc long, shingles binary"
-    ).filter(F.length("shingles") > 0)
+    return texts.join(members, "doc").mapInArrow(work, "block long, large boolean, doc long, shingles binary").filter(
+        F.length("shingles") > 0
+    )
 
 
-def confirm(sets: DataFrame) -> DataFrame:
+def confirm(sets: DataFrame, keys: list[str]) -> DataFrame:
     """Edges a, b (long): documents with the least one that confirmed links connect them with,
-    within each pair of parts of a block."""
+    within each group of ``sets`` with equal ``keys`` (long)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, ["block", "one", "two"]):
+        for group in groups(batches, keys):
             ids = group.column("doc").to_numpy()
             label = link([np.frombuffer(s, dtype=np.uint64) for s in group.column("shingles").to_pylist()])
             least = np.full(len(ids), np.iinfo(np.int64).max)
             np.minimum.at(least, label, ids)
             yield rows(schema, a=least[label], b=ids)
 
-    # A part meets every part once, itself included; most blocks have one part.
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1).cast("array<int>")).alias("other")
-    pairs = sets.select("block", "part", "doc", "shingles", other).select(
-        "block", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "doc", "shingles"
+    dealt = sets.select(*keys, "doc", "shingles").repartition(shuffle_partitions(sets.sparkSession), *keys)
+    return dealt.sortWithinPartitions(*keys, "doc").mapInArrow(work, "a long, b long")
+
+
+def stretches(forest: DataFrame, block_bytes: int) -> DataFrame:
+    """doc and stretch (long): ``forest`` (block, tree, base, rest, doc, size) in the order of
+    whole paths, cut where ``block_bytes`` of sets are full or a block or tree begins."""
+    schema = pa.schema([("doc", pa.int64()), ("stretch", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch, here, held = TaskContext.get().partitionId() << 40, None, 0
+        for batch in batches:
+            found = []
+            for block, tree, size in zip(*(batch.column(n).to_pylist() for n in ("block", "tree", "size"))):
+                if (block, tree) != here or held + 8 * size > block_bytes:
+                    stretch, here, held = stretch + 1, (block, tree), 0
+                held += 8 * size
+                found.append(stretch)
+            yield rows(schema, doc=batch.column("doc"), stretch=found)
+
+    order = ["block", "tree", "base", "rest", "doc"]
+    dealt = forest.repartitionByRange(shuffle_partitions(forest.sparkSession), *order)
+    return dealt.sortWithinPartitions(*order).mapInArrow(work, "doc long, stretch long")
+
+
+def open_pairs(members: DataFrame, block_bytes: int) -> DataFrame:
+    """doc, block, one, two (long) of the pairs of parts that are not of one cluster;
+    ``members``: doc, block, size, cluster."""
+    by_cluster = members.groupBy("block", "cluster").agg((8 * F.sum("size")).alias("bytes"))
+    # Clusters of more than a quarter of a part have parts of their own.
+    own = F.ceil(F.col("bytes") / block_bytes).cast("long")
+    by_cluster = by_cluster.withColumn("own", F.when(4 * F.col("bytes") > block_bytes, own).otherwise(0))
+    shared = F.ceil(F.sum(F.when(F.col("own") == 0, F.col("bytes")).otherwise(0)) / block_bytes).cast("long")
+    shared = by_cluster.groupBy("block").agg(shared.alias("shared"), F.count("*").alias("clusters"))
+    dealt = members.join(by_cluster.drop("bytes"), ["block", "cluster"]).join(shared.filter("clusters > 1"), "block")
+    alone = F.col("own") > 0
+    dealt = store(
+        dealt.select(
+            "doc",
+            "block",
+            alone.alias("alone"),
+            F.when(alone, F.col("cluster")).otherwise(0).alias("cluster"),
+            F.when(alone, F.pmod(F.xxhash64("doc"), "own")).otherwise(F.pmod(F.xxhash64("cluster"), "shared")).alias("slot"),
+        ),
+        "parts",
+    )
+    key = ["block", "alone", "cluster", "slot"]
+    parts = dealt.groupBy(*key).agg(F.min("doc").alias("part"))
+    other = parts.select("block", F.col("alone").alias("_alone"), F.col("cluster").alias("_cluster"), F.col("part").alias("other"))
+    pairs = parts.join(other, "block").filter("not (alone and _alone and cluster = _cluster)")
+    return dealt.join(pairs, key).select(
+        "doc", "block", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two")
     )
-    dealt = pairs.repartition(shuffle_partitions(sets.sparkSession), "block", "one", "two")
-    return dealt.sortWithinPartitions("block", "one", "two", "doc").mapInArrow(work, "a long, b long")
 
 
 def classes(docs: DataFrame, block_bytes: int = 16 << 20, broadcast_rows: int = 100_000) -> DataFrame:
@@ -240,23 +292,38 @@ def classes(docs: DataFrame, block_bytes: int = 16 << 20, broadcast_rows: int =
     )
     forest = distinct.select("doc", F.explode(path).alias("p")).select("p.tree", "p.base", "p.rest", "doc")
     blocks = components(neighbours(forest))
-    sized = distinct.select("doc", "size", F.col("paths")[1].alias("rest")).join(
+    sized = distinct.select("doc", "size").join(
         blocks.withColumnsRenamed({"node": "doc", "label": "block"}), "doc"
     )
-    parts = sized.groupBy("block").agg(F.ceil(8 * F.sum("size") / block_bytes).cast("int").alias("parts"))
-    large = store(parts.filter("parts > 1"), "large-blocks")
-    members = sized.join(large, "block", "left").select(
-        "doc",
-        "block",
-        F.coalesce("parts", F.lit(1)).alias("parts"),
-        F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc"), "parts")).cast("int").alias("part"),
+    large = store(
+        sized.groupBy("block").agg((8 * F.sum("size")).alias("bytes")).filter(F.col("bytes") > block_bytes).select("block"),
+        "large-blocks",
+    )
+    some = large.limit(1).count() > 0
+    members = store(
+        sized.join(large.withColumn("large", F.lit(True)), "block", "left").select(
+            "doc", "block", "size", F.coalesce("large", F.lit(False)).alias("large")
+        ),
+        "members",
     )
-    members = store(members, "members")
-    side = F.broadcast(members) if members.count() <= broadcast_rows else members
-    links = store(confirm(read_sets(docs, side)), "links")
-    labels = components(links) if large.limit(1).count() else links.select(
-        F.col("b").alias("node"), F.col("a").alias("label")
-    ).distinct()
+    named = members.select("doc", "block", "large")
+    side = F.broadcast(named) if members.count() <= broadcast_rows else named
+    sets = read_sets(docs, side)
+    if not some:
+        links = store(confirm(sets, ["block"]), "links")
+        labels = links.select(F.col("b").alias("node"), F.col("a").alias("label")).distinct()
+    else:
+        sets = store(sets, "sets")
+        links = store(confirm(sets.filter("not large"), ["block"]), "links")
+        much, those = sets.filter("large"), members.filter("large")
+        along = forest.filter(F.col("tree") < DEEP).join(those.select("doc", "block", "size"), "doc")
+        near = store(stretches(along, block_bytes), "stretches")
+        deep = store(confirm(much.join(near, "doc"), ["stretch"]), "deep-links")
+        clusters = components(deep).withColumnsRenamed({"node": "doc", "label": "cluster"})
+        clustered = those.join(clusters, "doc", "left").withColumn("cluster", F.coalesce("cluster", "doc"))
+        pairs = store(open_pairs(store(clustered, "clusters"), block_bytes), "open-pairs")
+        rest = store(confirm(much.join(pairs, ["block", "doc"]), ["block", "one", "two"]), "rest-links")
+        labels = components(links.unionByName(deep).unionByName(rest))
     named = distinct.select("set_hash", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     named = store(named.select("set_hash", F.coalesce("label", "doc").alias("label")), "classes")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))

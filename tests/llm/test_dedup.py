@@ -74,6 +74,34 @@ def test_classes_of_odd_documents(spark, block_bytes):
     assert all(r.kept == (r.component_id == d) and r.n_shingles == len(shingle_set(texts[d])) for d, r in found.items())
 
 
+def test_large_block_of_near_copies_is_not_searched_in_pairs(spark, monkeypatch):
+    """A group that one cluster connects leaves no pair of parts; stragglers meet every part."""
+    words = sentence(90, 200).split(" ")
+    texts = []
+    for k in range(120):
+        copy = list(words)
+        copy[k] = f"w{k}"
+        texts.append(" ".join(copy))
+    sent = []
+    whole = near_dedup.open_pairs
+
+    def open_pairs(*given):
+        found = whole(*given)
+        sent.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "open_pairs", open_pairs)
+    # Only half of each straggler is the copies' text: they share a block at times, never a link.
+    for strange in (0, 30):
+        more = [" ".join(words[: 170 - k] + [f"s{k}x{i}" for i in range(45)]) for k in range(strange)]
+        docs = documents(spark, texts + more, repeat=False)
+        rows = docs.collect()
+        want = near_classes([r.doc_id for r in rows], [shingle_set(r.text) for r in rows])
+        found = near_dedup.classes(docs, block_bytes=40_000).collect()  # a part holds some 25 sets
+        assert {r.doc_id: r.component_id for r in found} == want
+    assert len(sent) == 2 and sent[0] == 0
+
+
 def test_null_and_repeated_ids(spark):
     docs = documents(spark)
     rows = near_dedup.classes(docs).collect()
