@@ -27,6 +27,7 @@ kept). An empty table gives no rows. Other columns are ignored, or kept by ``ded
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,26 +85,29 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_hash (128 bits; null without a set) and paths of every document."""
-    fields = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary())]
+    """doc_id, text_hash (MD5), n_shingles, set_hash (128 bits; null without a set) and paths of
+    every document."""
+    fields = [("doc_id", pa.int64()), ("text_hash", pa.binary()), ("n_shingles", pa.int64()), ("set_hash", pa.binary())]
     schema = pa.schema([*fields, ("paths", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
-                sets = shingle_sets(texts_of(part))
+                texts = texts_of(part)
+                sets = shingle_sets(texts)
                 full = [s for s in sets if len(s)]
                 paths = iter(signatures(full) if full else [])
                 yield rows(
                     schema,
                     doc_id=part.column("doc_id"),
+                    text_hash=[hashlib.md5(t).digest() for t in texts],
                     n_shingles=[len(s) for s in sets],
                     set_hash=[xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                     paths=[next(paths) if len(s) else None for s in sets],
                 )
 
     return binary_text(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(
-        work, "doc_id long, n_shingles long, set_hash binary, paths array<long>"
+        work, "doc_id long, text_hash binary, n_shingles long, set_hash binary, paths array<long>"
     )
 
 
@@ -190,8 +194,9 @@ def link(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (doc, block, large) with the shingle set of each, read from ``docs``."""
-    fields = [("block", pa.int64()), ("large", pa.bool_()), ("doc", pa.int64())]
+    """``members`` (doc, text_hash, block, large) with the shingle set of each, read from ``docs``:
+    a text meets its own row only, also where rows share a doc_id."""
+    fields = [("block", pa.int64()), ("large", pa.bool_()), ("doc", pa.int64()), ("text_hash", pa.binary())]
     schema = pa.schema([*fields, ("shingles", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +206,9 @@ def read_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                 yield rows(schema, **{n: part.column(n) for n, _ in fields}, shingles=sets)
 
     texts = binary_text(docs, F.col("doc_id").cast("long").alias("doc"))
-    return texts.join(members, "doc").mapInArrow(work, "block long, large boolean, doc long, shingles binary").filter(
-        F.length("shingles") > 0
+    texts = texts.filter("doc is not null").withColumn("text_hash", F.unhex(F.md5(F.coalesce("text", F.lit("").cast("binary")))))
+    return texts.join(members, ["doc", "text_hash"]).mapInArrow(
+        work, "block long, large boolean, doc long, text_hash binary, shingles binary"
     )
 
 
@@ -224,9 +230,9 @@ def confirm(sets: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def stretches(forest: DataFrame, block_bytes: int) -> DataFrame:
-    """doc and stretch (long): ``forest`` (block, tree, base, rest, doc, size) in the order of
+    """text_hash and stretch (long): ``forest`` (block, tree, base, rest, text_hash, size) in the order of
     whole paths, cut where ``block_bytes`` of sets are full or a block or tree begins."""
-    schema = pa.schema([("doc", pa.int64()), ("stretch", pa.int64())])
+    schema = pa.schema([("text_hash", pa.binary()), ("stretch", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stretch, here, held = TaskContext.get().partitionId() << 40, None, 0
@@ -237,16 +243,16 @@ def stretches(forest: DataFrame, block_bytes: int) -> DataFrame:
                     stretch, here, held = stretch + 1, (block, tree), 0
                 held += 8 * size
                 found.append(stretch)
-            yield rows(schema, doc=batch.column("doc"), stretch=found)
+            yield rows(schema, text_hash=batch.column("text_hash"), stretch=found)
 
-    order = ["block", "tree", "base", "rest", "doc"]
+    order = ["block", "tree", "base", "rest", "text_hash"]
     dealt = forest.repartitionByRange(shuffle_partitions(forest.sparkSession), *order)
-    return dealt.sortWithinPartitions(*order).mapInArrow(work, "doc long, stretch long")
+    return dealt.sortWithinPartitions(*order).mapInArrow(work, "text_hash binary, stretch long")
 
 
 def open_pairs(members: DataFrame, block_bytes: int) -> DataFrame:
-    """doc, block, one, two (long) of the pairs of parts that are not of one cluster;
-    ``members``: doc, block, size, cluster."""
+    """text_hash, one, two (long) of the pairs of parts that are not of one cluster;
+    ``members``: text_hash, block, size, cluster."""
     by_cluster = members.groupBy("block", "cluster").agg((8 * F.sum("size")).alias("bytes"))
     # Clusters of more than a quarter of a part have parts of their own.
     own = F.ceil(F.col("bytes") / block_bytes).cast("long")
@@ -257,20 +263,20 @@ def open_pairs(members: DataFrame, block_bytes: int) -> DataFrame:
     alone = F.col("own") > 0
     dealt = store(
         dealt.select(
-            "doc",
+            "text_hash",
             "block",
             alone.alias("alone"),
             F.when(alone, F.col("cluster")).otherwise(0).alias("cluster"),
-            F.when(alone, F.pmod(F.xxhash64("doc"), "own")).otherwise(F.pmod(F.xxhash64("cluster"), "shared")).alias("slot"),
+            F.when(alone, F.pmod(F.xxhash64("text_hash"), "own")).otherwise(F.pmod(F.xxhash64("cluster"), "shared")).alias("slot"),
         ),
         "parts",
     )
     key = ["block", "alone", "cluster", "slot"]
-    parts = dealt.groupBy(*key).agg(F.min("doc").alias("part"))
+    parts = dealt.select(*key).distinct().withColumn("part", F.xxhash64(*key))
     other = parts.select("block", F.col("alone").alias("_alone"), F.col("cluster").alias("_cluster"), F.col("part").alias("other"))
     pairs = parts.join(other, "block").filter("not (alone and _alone and cluster = _cluster)")
     return dealt.join(pairs, key).select(
-        "doc", "block", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two")
+        "text_hash", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two")
     )
 
 
@@ -280,7 +286,10 @@ def classes(docs: DataFrame, block_bytes: int = 16 << 20, broadcast_rows: int =
     full = described.filter("set_hash is not null and doc_id is not null")
     distinct = store(
         full.groupBy("set_hash").agg(
-            F.min("doc_id").alias("doc"), F.min_by("paths", "doc_id").alias("paths"), F.min("n_shingles").alias("size")
+            F.min("doc_id").alias("doc"),
+            F.min_by("text_hash", F.struct("doc_id", "text_hash")).alias("text_hash"),
+            F.min_by("paths", "doc_id").alias("paths"),
+            F.min("n_shingles").alias("size"),
         ),
         "distinct",
     )
@@ -292,7 +301,7 @@ def classes(docs: DataFrame, block_bytes: int = 16 << 20, broadcast_rows: int =
     )
     forest = distinct.select("doc", F.explode(path).alias("p")).select("p.tree", "p.base", "p.rest", "doc")
     blocks = components(neighbours(forest))
-    sized = distinct.select("doc", "size").join(
+    sized = distinct.select("doc", "text_hash", "size").join(
         blocks.withColumnsRenamed({"node": "doc", "label": "block"}), "doc"
     )
     large = store(
@@ -302,27 +311,32 @@ def classes(docs: DataFrame, block_bytes: int = 16 << 20, broadcast_rows: int =
     some = large.limit(1).count() > 0
     members = store(
         sized.join(large.withColumn("large", F.lit(True)), "block", "left").select(
-            "doc", "block", "size", F.coalesce("large", F.lit(False)).alias("large")
+            "doc", "text_hash", "block", "size", F.coalesce("large", F.lit(False)).alias("large")
         ),
         "members",
     )
-    named = members.select("doc", "block", "large")
-    side = F.broadcast(named) if members.count() <= broadcast_rows else named
+    named = members.select("doc", "text_hash", "block", "large")
+    n = members.count()
+    side = F.broadcast(named) if n <= broadcast_rows else named
     sets = read_sets(docs, side)
     if not some:
         links = store(confirm(sets, ["block"]), "links")
-        labels = links.select(F.col("b").alias("node"), F.col("a").alias("label")).distinct()
+        one_each = members.select("doc").distinct().count() == n  # else a document has several sets
+        labels = components(links) if not one_each else links.select(
+            F.col("b").alias("node"), F.col("a").alias("label")
+        ).distinct()
     else:
         sets = store(sets, "sets")
         links = store(confirm(sets.filter("not large"), ["block"]), "links")
         much, those = sets.filter("large"), members.filter("large")
-        along = forest.filter(F.col("tree") < DEEP).join(those.select("doc", "block", "size"), "doc")
+        along = distinct.select("text_hash", F.explode(F.slice(path, 1, DEEP)).alias("p")).select("text_hash", "p.*")
+        along = along.join(those.select("text_hash", "block", "size"), "text_hash")
         near = store(stretches(along, block_bytes), "stretches")
-        deep = store(confirm(much.join(near, "doc"), ["stretch"]), "deep-links")
+        deep = store(confirm(much.join(near, "text_hash"), ["stretch"]), "deep-links")
         clusters = components(deep).withColumnsRenamed({"node": "doc", "label": "cluster"})
         clustered = those.join(clusters, "doc", "left").withColumn("cluster", F.coalesce("cluster", "doc"))
         pairs = store(open_pairs(store(clustered, "clusters"), block_bytes), "open-pairs")
-        rest = store(confirm(much.join(pairs, ["block", "doc"]), ["block", "one", "two"]), "rest-links")
+        rest = store(confirm(much.join(pairs, "text_hash"), ["block", "one", "two"]), "rest-links")
         labels = components(links.unionByName(deep).unionByName(rest))
     named = distinct.select("set_hash", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     named = store(named.select("set_hash", F.coalesce("label", "doc").alias("label")), "classes")

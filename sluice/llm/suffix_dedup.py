@@ -418,8 +418,6 @@ def read_runs(docs: DataFrame, wanted: DataFrame, unit: Unit = BYTES) -> DataFra
                 out: dict[str, list] = {f.name: [] for f in schema}
                 size = 0
                 for text, name, runs in zip(*(part.column(c).to_pylist() for c in ("text", "text_hash", "runs"))):
-                    if hashlib.md5(text).digest() != name:  # another text with this doc_id
-                        continue
                     whole = unit.of(text)
                     for run in runs:
                         string = unit.join(whole[run["start"] : run["last"] + unit.length])
@@ -432,7 +430,9 @@ def read_runs(docs: DataFrame, wanted: DataFrame, unit: Unit = BYTES) -> DataFra
                 yield rows(schema, **out)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    same = texts["doc_id"].eqNullSafe(wanted["stands"])
+    # A text meets its own row only, however many share a doc_id or have none.
+    texts = texts.withColumn("_name", F.unhex(F.md5("text")))
+    same = texts["doc_id"].eqNullSafe(wanted["stands"]) & (texts["_name"] == wanted["text_hash"])
     return texts.join(wanted, same).select("text", "text_hash", "runs").mapInArrow(
         work, "anchor long, text_hash binary, start long, hot boolean, string binary"
     )

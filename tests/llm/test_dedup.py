@@ -115,6 +115,31 @@ def test_null_and_repeated_ids(spark):
     assert {i for i in ids if i is not None} == {d for d, c in want.items() if d == c}
 
 
+@pytest.mark.parametrize("block_bytes", [16 << 20, 4000])
+def test_texts_that_share_an_id_meet_their_own_row(spark, block_bytes, monkeypatch):
+    words = sentence(91, 80).split(" ")
+    rows = [(7, " ".join([*words[:k], f"x{k}", *words[k + 1 :]])) for k in range(20)] + [(7, sentence(92, 60))]
+    rows += [(9, sentence(92, 60) + " end"), (11, sentence(93, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    read, found = [], near_dedup.read_sets
+    monkeypatch.setattr(near_dedup, "read_sets", lambda *given: read.append(found(*given)) or read[-1])
+    got = near_dedup.classes(docs, block_bytes=block_bytes).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(7, 7), (9, 7), (11, 11)}
+    assert read[0].count() == 22  # one a set
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_runs_of_texts_that_share_an_id_are_read_once(spark, doc_id):
+    docs = spark.createDataFrame([(doc_id, sentence(k, 30)) for k in range(20)], "doc_id long, text string")
+    names = [hashlib.md5(sentence(k, 30).encode()).digest() for k in range(20)]
+    run = [(1, 0, 0, False)]
+    kind = "text_hash binary, stands long, runs array<struct<anchor:long,start:long,last:long,hot:boolean>>"
+    runs = suffix_dedup.read_runs(docs, spark.createDataFrame([(n, doc_id, run) for n in names], kind))
+    assert sorted(bytes(r.text_hash) for r in runs.collect()) == sorted(names)
+    join = next(x for x in runs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x)
+    assert "text_hash" in join and "_name" in join
+
+
 def test_registered_near_dedup(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     want = near_classes([r.doc_id for r in docs], [shingle_set(r.text) for r in docs])
