@@ -131,6 +131,7 @@ def anchors(texts: list[bytes], unit: Unit = BYTES) -> list[tuple[np.ndarray, np
     out: list[tuple[list, list]] = [([], []) for _ in texts]
     held: list[tuple[int, int, Sequence]] = []
     size = 0
+    most = max(_BUFFER // 8, 1) if unit.words else _BUFFER  # a word takes more memory than a byte
 
     def flush() -> None:
         nonlocal held, size
@@ -153,11 +154,11 @@ def anchors(texts: list[bytes], unit: Unit = BYTES) -> list[tuple[np.ndarray, np
 
     for i, text in enumerate(texts):
         whole = unit.of(text)
-        for offset in range(0, max(0, len(whole) - unit.length + 1), _BUFFER):
-            part = whole[offset : offset + _BUFFER + unit.length - 1]
+        for offset in range(0, max(0, len(whole) - unit.length + 1), most):
+            part = whole[offset : offset + most + unit.length - 1]
             held.append((i, offset, part))
             size += len(part)
-            if size >= _BUFFER:
+            if size >= most:
                 flush()
     flush()
     none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
