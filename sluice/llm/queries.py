@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluice.llm import (
     decontaminate,
     license_scan,
+    line_dedup,
     lm_score,
     near_dedup,
     packing,
@@ -120,6 +121,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.lines_kept(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_token_output,
@@ -132,10 +138,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_classifier,
         op9_lm_score,
         op10_suffix_dedup,
+        op12_line_dedup,
     ]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements of the queries that SQL can express."""
-    return {"op7_license_scan": license_scan.oracle()}
+    return {"op7_license_scan": license_scan.oracle(), "op12_line_dedup": line_dedup.oracle()}
