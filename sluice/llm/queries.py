@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import (
+    conversation_trie,
     decontaminate,
     license_scan,
     line_dedup,
@@ -121,6 +122,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.ranked(table(spark, sf_dir, "conversations"))
+    c = F.col("conv_id")
+    head = F.crc32(c.cast("string").cast("binary")) % 9
+    return conversation_trie.summary(*conversation_trie.rebuilt(turns, c - c % 5, head, 8))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.lines_kept(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -138,6 +146,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_classifier,
         op9_lm_score,
         op10_suffix_dedup,
+        op11_conversation_trie,
         op12_line_dedup,
     ]
     return {q.__name__: q for q in found}
