@@ -4,9 +4,9 @@ Upsert (the keyed merge the feed contract asks for): matched keys get every non-
 column from the batch (NULLs included), new keys are inserted, keys absent from the
 batch are untouched. Targets are partitioned by the month (or day) of the key's date
 column and, if the spec asks, by a bucket of the key: functions of the key, so a row
-never changes partition and only partitions the batch touches are read and rewritten
-(dynamic partition overwrite, a write option, not a session setting). A batch holding
-one key twice is refused before anything is written.
+never changes partition and only partitions the batch touches are read and rewritten.
+Rewritten partitions are swapped in at once (``operators.swap``). A batch holding one key
+twice is refused before anything is written.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators import swap
 from sluice.operators.checks import violation_flags
 from sluice.spec import TableSpec
 from sluice.workspace import new_dir
@@ -139,10 +140,34 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(handle[0].delete(handle[1], True)) if handle is not None else False
 
 
+def swap_under_way(spark: SparkSession, path: str) -> Optional[dict]:
+    """The note of a swap that a load has decided but not completed (``operators.swap``)."""
+    return swap.note_of(spark, path) if _file_system(spark, path) is not None else None
+
+
+def _parquet(spark: SparkSession, spec: TableSpec, base: str, paths: list[str]) -> DataFrame:
+    return spark.read.schema(target_schema(spec)).option("basePath", base).parquet(*paths)
+
+
+def _settled(spark: SparkSession, spec: TableSpec, path: str, note: dict, folders: Optional[list[str]] = None) -> DataFrame:
+    """The target (or some partition folders of it) as it will be after the swap ``note``."""
+    fs = swap.FileSystem(spark, path)
+    there = swap.leaf_folders(fs, path, len(partition_columns(spec)))
+    same = [f for f in there if f not in note["folders"] and (folders is None or f in folders)]
+    found = [(path, [f"{path.rstrip('/')}/{f}" for f in same])]
+    found += swap.visible_files(spark, path, note, folders).items()
+    frames = [_parquet(spark, spec, base, paths) for base, paths in found if paths]
+    return reduce(DataFrame.unionByName, frames, spark.createDataFrame([], target_schema(spec)))
+
+
 def read_target(spark: SparkSession, spec: TableSpec, path: str) -> Optional[DataFrame]:
-    """The target with its declared schema, or ``None`` if it was never written."""
+    """The target with its declared schema, or ``None`` if it was never written. Where a load was
+    broken off in the middle of its swap, the rows are those after it."""
     if not path_exists(spark, path):
         return None
+    note = swap_under_way(spark, path)
+    if note is not None:
+        return _settled(spark, spec, path, note)
     return spark.read.schema(target_schema(spec)).parquet(path)
 
 
@@ -158,11 +183,14 @@ def read_partitions(spark: SparkSession, spec: TableSpec, path: str, values: lis
     Each folder is checked with one file-system call and read with ``basePath`` set, so
     the partition columns keep their values and no other partition is listed.
     """
+    note = swap_under_way(spark, path)
+    if note is not None:
+        return _settled(spark, spec, path, note, [partition_folder(spec, v) for v in values])
     folders = [f"{path.rstrip('/')}/{partition_folder(spec, v)}" for v in values]
     present = [f for f in folders if path_exists(spark, f)]
     if not present:
         return None
-    return spark.read.schema(target_schema(spec)).option("basePath", path).parquet(*present)
+    return _parquet(spark, spec, path, present)
 
 
 def read_table(
@@ -205,50 +233,32 @@ def _spread(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.repartitionByRange(*parts, *(spec.primary_key or spec.columns))
 
 
-def _write_partitioned(df: DataFrame, spec: TableSpec, path: str, *, spread: bool = True) -> None:
-    """Replace exactly the partitions ``df`` has rows of (the whole folder of an unpartitioned
-    target). The mode is a write option, so the session's setting has no say."""
+def _replace(df: DataFrame, spec: TableSpec, path: str, *, spread: bool = True, replace_all: bool = False) -> None:
+    """Replace exactly the partitions ``df`` has rows of, or the whole target (``replace_all``).
+
+    The new files are written beside the old ones and take their place at once
+    (``operators.swap``): a load that is lost on the way leaves the old rows or the new, never
+    some of both. Without the session's file system (Spark Connect) the write is a dynamic
+    partition overwrite, which cannot promise that; its mode is a write option, so the
+    session's setting has no say.
+    """
     parts = partition_columns(spec)
-    if not parts:
-        df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    out = _spread(df, spec) if parts and spread else df
+    if _file_system(spark, path) is None:
+        if replace_all and parts:
+            raise RuntimeError("replacing a partitioned table needs the session's file system (no Spark Connect)")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
         return
-    writer = (_spread(df, spec) if spread else df).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    pending = swap.new_pending(spark, path)
+    out.write.partitionBy(*parts).parquet(pending)
+    swap.decide(spark, path, pending, len(parts), replace_all=replace_all or not parts)
+    swap.finish(spark, path)
 
 
-def partition_folders(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
-    """Partition folders ``depth`` levels below ``path`` (one listing call a folder above)."""
-    handle = _file_system(spark, path)
-    if handle is None:
-        raise RuntimeError("replacing a partitioned table needs the session's file system (no Spark Connect)")
-    fs, root = handle
-    if not fs.exists(root):
-        return []
-    found = [""]
-    for _ in range(depth):
-        deeper = []
-        for folder in found:
-            at = root.suffix(f"/{folder}") if folder else root
-            names = [st.getPath().getName() for st in fs.listStatus(at) if st.isDirectory()]
-            deeper += [f"{folder}/{n}".lstrip("/") for n in names if "=" in n]
-        found = deeper
-    return found
-
-
-def stale_folders(spark: SparkSession, spec: TableSpec, path: str, fresh: DataFrame) -> list[str]:
-    """Folders of the target whose partition ``fresh`` has no row of. The values of ``fresh``
-    stay distributed; the driver holds folder names, as listing any table does."""
-    parts = partition_columns(spec)
-    folders = partition_folders(spark, path, len(parts))
-    if not folders:
-        return []
-    default = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of a NULL partition value
-    name = F.concat_ws("/", *[
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(default))) for c in parts
-    ])
-    kept = fresh.select(name.alias("folder")).distinct()
-    listed = spark.createDataFrame([(f,) for f in folders], "folder string")
-    return [r["folder"] for r in listed.join(kept, "folder", "left_anti").collect()]
+def complete_swap(spark: SparkSession, path: str) -> bool:
+    """Completes the swap of a load that was lost in the middle of it; False if there is none."""
+    return _file_system(spark, path) is not None and swap.finish(spark, path)
 
 
 def check_overwrite(spec: TableSpec, df: DataFrame, violations: Optional[tuple[int, int]] = None) -> dict:
@@ -268,22 +278,12 @@ def check_overwrite(spec: TableSpec, df: DataFrame, violations: Optional[tuple[i
 def write_overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str, check: dict) -> dict:
     """Replace the target by ``df`` (already checked); the read-back count is returned.
 
-    The new partitions are written with dynamic partition overwrite — old files stay
-    readable until the commit swaps them in — and partition folders the new data does
-    not have are removed afterwards, however many there are. A driver lost between the
-    two leaves stale folders beside the new ones; loading again removes them, since stale
-    folders are found by comparing what is there with the new data. The frame must not
+    The new files take the place of all old ones at once (``operators.swap``); partition
+    folders the new data does not have go too, however many there are. The frame must not
     read the target it replaces.
     """
-    out = df.select(*spec.columns)
-    if not partition_columns(spec):
-        out.write.mode("overwrite").parquet(path)
-    else:
-        out = out.withColumns(partition_values(spec))
-        stale = stale_folders(spark, spec, path, out)
-        _write_partitioned(out, spec, path)
-        for folder in stale:
-            remove_path(spark, f"{path.rstrip('/')}/{folder}")
+    out = df.select(*spec.columns).withColumns(partition_values(spec))
+    _replace(out, spec, path, replace_all=True)
     loaded = spark.read.schema(target_schema(spec)).parquet(path).count()  # answered from Parquet footers
     return {"table": spec.name, "status": "overwritten", "rows_loaded": int(loaded)}
 
@@ -424,16 +424,17 @@ def merge_batch(
     spread_above: Optional[int] = None,
 ) -> dict:
     """Write what the touched partitions hold after the merge of a batch that ``check_batch``
-    accepted, by dynamic partition overwrite: untouched partitions are neither read nor
+    accepted and swap them in (``operators.swap``): untouched partitions are neither read nor
     rewritten. The batch's keyed rows are dropped after the write."""
     result = {"table": spec.name, "status": "upserted", "rows_batch": summary["keys"],
               "partitions": summary["n_partitions"]}
     if summary["keys"] == 0:
         result["status"] = "empty batch"
     else:
+        complete_swap(spark, path)  # of a load that was lost; the merge reads the target itself
         above = SPREAD_ABOVE_PARTITIONS if spread_above is None else spread_above
         spread = summary["n_partitions"] > above or not path_exists(spark, path)
-        _write_partitioned(merged_rows(spark, spec, path, summary, read_folders_up_to), spec, path, spread=spread)
+        _replace(merged_rows(spark, spec, path, summary, read_folders_up_to), spec, path, spread=spread)
     remove_path(spark, summary["keyed"])
     return result
 

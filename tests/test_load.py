@@ -275,7 +275,7 @@ def test_wide_overwrite_in_either_session_mode(spark, workdir, monkeypatch, mode
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert sorted(map(tuple, load.read_table(spark, spec, t).collect())) == second
-    # A driver lost before the stale folders went: the next load removes them.
+    # Folders that something else left there go with the next load.
     spark.createDataFrame(first, schema).withColumns(load.partition_values(spec)).write.mode("append").partitionBy(
         "oper_date_day").parquet(t)
     assert load.overwrite(spark, spec, spark.createDataFrame(second, schema), t)["rows_loaded"] == 5
@@ -308,15 +308,13 @@ def test_storage_errors_are_raised_not_read_as_absent(spark, workdir, monkeypatc
     monkeypatch.setattr(load, "_file_system", lambda spark, path: (Broken(), path))
     with pytest.raises(OSError):
         load.upsert(spark, SPEC, spark.createDataFrame([(J1, 2, 1, 2.0)], BAL), t)
-    with pytest.raises(OSError):
-        load.stale_folders(spark, TB.FT_POSTING_F, t, spark.createDataFrame([], BAL))
     monkeypatch.undo()
     assert _rows(spark, t) == [(J1, 1, 1, 1.0)]
     # Without a JVM handle only "path not found" means absent.
     monkeypatch.setattr(load, "_file_system", lambda spark, path: None)
     assert load.path_exists(spark, t) and not load.path_exists(spark, f"{workdir}/nowhere")
     with pytest.raises(RuntimeError):
-        load.partition_folders(spark, t)
+        load.overwrite(spark, TB.FT_POSTING_F, spark.createDataFrame([], TB.FT_POSTING_F.schema), t)
 
 
 def test_read_table_prunes_by_date_range(spark, workdir):
