@@ -13,6 +13,16 @@ state of each run is a single partially aggregated ``groupBy(run_id)``:
   (event, error_message, extra) counts, NULLs least, so the state is the same on every read.
 
 Writers give every attempt a fresh id (``new_run_id``), so attempts do not share a row.
+
+Compaction keeps the number of files small. The state of a run depends on two of its events
+alone, the last start and the last finish, and taking maxima again changes nothing. So a
+compacted file holds those two events, as events: reading it together with newer ones, or even
+with the events that it stands for, gives the same state. ``compact`` first writes the compacted
+file and then deletes the files that it covers, so a reader finds every event at least once at
+any moment, and a compaction that is lost half-way only leaves more files. Files are kept in
+levels: when a level holds ``FAN_IN`` files they become one file of the next, so an event is
+rewritten a logarithmic number of times and a journal of n events has about
+``FAN_IN`` x log(n) files.
 """
 
 from __future__ import annotations
@@ -38,6 +48,10 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+#: Files of a level that are compacted into one of the next.
+FAN_IN = 32
+_LEVEL = "level"  # folder of compacted files: level-1, level-2, ...
+
 STATE_COLUMNS = ["run_id", "started_at", "finished_at", "status", "error_message", "extra"]
 
 
@@ -83,6 +97,11 @@ def log_finish(
     extra: Optional[dict] = None,
 ) -> None:
     _append(spark, path, run_id, SUCCESS if success else FAILED, error_message, detail_json(extra))
+    try:
+        spark.sparkContext  # no file system to list without it (Spark Connect): files stay as they are
+    except Exception:
+        return
+    compact(spark, path)
 
 
 def failure_detail(exc: BaseException, failed_step: str) -> dict:
@@ -95,7 +114,45 @@ def failure_detail(exc: BaseException, failed_step: str) -> dict:
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA).parquet(path)
+    """The events of all levels; of compacted runs the two that count."""
+    return spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+
+
+def last_events(events: DataFrame) -> DataFrame:
+    """The last start and the last finish of each run, as events (see ``fold`` for ties)."""
+    rest = F.struct("at", "event", "error_message", "extra")
+    is_start = F.col("event") == STARTED
+    agg = events.groupBy("run_id").agg(
+        F.max(F.when(is_start, rest)).alias("start"), F.max(F.when(~is_start, rest)).alias("finish")
+    )
+    both = agg.select("run_id", F.explode(F.array("start", "finish")).alias("e")).filter("e is not null")
+    return both.select("run_id", "e.*")
+
+
+def _data_files(fs, folder: str) -> list[str]:
+    return [f"{folder}/{n}" for n in fs.names(folder, folders=False) if n.endswith(".parquet")]
+
+
+def compact(spark: SparkSession, path: str, fan_in: int = FAN_IN) -> int:
+    """Compacts every level of the journal that has ``fan_in`` files or more; returns the number
+    of files that are gone. Events appended meanwhile are left alone."""
+    from sluice.operators.swap import FileSystem
+
+    fs, path, gone = FileSystem(spark, path), path.rstrip("/"), 0
+    level = 0
+    while True:
+        folder = path if level == 0 else f"{path}/{_LEVEL}-{level}"
+        files = _data_files(fs, folder)
+        if level and not files and not fs.exists(folder):
+            return gone
+        if len(files) >= fan_in:
+            kept = last_events(spark.read.schema(EVENT_SCHEMA).parquet(*files))
+            # One file below some hundred thousand runs; a level's files are read in parallel.
+            kept.coalesce(max(1, sum(map(fs.size, files)) >> 27)).write.mode("append").parquet(f"{path}/{_LEVEL}-{level + 1}")
+            for name in files:
+                fs.delete(name)
+            gone += len(files) - 1
+        level += 1
 
 
 def fold(events: DataFrame) -> DataFrame:

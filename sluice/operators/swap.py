@@ -43,6 +43,9 @@ class FileSystem:
     def exists(self, path: str) -> bool:
         return bool(self._fs.exists(self.at(path)))
 
+    def size(self, path: str) -> int:
+        return int(self._fs.getFileStatus(self.at(path)).getLen())
+
     def delete(self, path: str) -> None:
         self._fs.delete(self.at(path), True)
 

@@ -543,6 +543,26 @@ def stream_waiting_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_drops(spark, sf_dir, one_by_one=False)
 
 
+@register("stream_drop_order", f"SELECT *, taken FROM ({_UPSERT_ORACLE}) u CROSS JOIN (SELECT unnest(['all', 'one']) AS taken) t")
+def stream_drop_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 via streaming: ``drop9`` came before ``drop10``, which shares keys with it; the later
+    one's values stay whether a trigger takes all files or one."""
+    from sluice.streaming import stream_feed
+
+    spec, root = TB.FT_BALANCE_F, new_dir(spark, "stream")
+    feeds.materialize_feed(spark, sf_dir, spec.name, dest=f"{root}/in/drop9", where="o_orderkey % 2 = 0")
+    feeds.materialize_feed(
+        spark, sf_dir, spec.name, dest=f"{root}/in/drop10", where="o_orderkey % 2 = 1 OR o_orderkey % 4 = 0", price=_UPDATED_PRICE
+    )
+    found = []
+    for taken, most in (("all", None), ("one", 1)):
+        target = f"{root}/{taken}/{spec.name}"
+        stream_feed(spark, spec, f"{root}/in/*", target, f"{root}/ckpt-{taken}", max_files=most).awaitTermination()
+        found.append(read_table(spark, spec, target).withColumn("taken", F.lit(taken)))
+    remove_path(spark, f"{root}/in")
+    return found[0].unionByName(found[1])
+
+
 @register("overwrite_readback", f"SELECT *, count(*) OVER () AS rows_loaded FROM ({X.cleaned('ft_posting_f')}) r")
 def overwrite_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6/S3/K8: a larger feed with more months first, then postings fully replace it; their
@@ -647,6 +667,20 @@ def journal_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _journal_state(spark, sf_dir)
 
 
+@register("journal_compacted", f"SELECT *, true AS few_files FROM ({_JOURNAL_FOLD_ORACLE}) s")
+def journal_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2/L3 at length: events appended as many files, compacted as they come; the state folded
+    from what is left, and whether that is a few files."""
+    events = spark.sql(_JOURNAL_EVENTS_SPARK, src=_t(spark, sf_dir, "events"))
+    path = new_dir(spark, "journal")
+    for third in range(3):
+        part = events.filter(F.pmod(F.xxhash64("run_id", "at"), F.lit(3)) == third)
+        part.repartition(40).write.mode("append").parquet(path)
+        journal.compact(spark, path, fan_in=8)
+    left = journal.read_events(spark, path)
+    return journal.fold(left).withColumn("few_files", F.lit(len(left.inputFiles()) <= 8))
+
+
 @register("journal_open_runs", f"SELECT * FROM ({_JOURNAL_FOLD_ORACLE}) s WHERE status = 'Started' AND finished_at IS NULL")
 def journal_open_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L4/F8: runs started and not (validly) finished."""

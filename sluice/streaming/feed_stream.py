@@ -2,15 +2,16 @@
 
 New CSV files dropped into a folder are picked up by the file source and go through the
 same cleaning and keyed load as a batch run. What waits for one trigger may hold several
-drops; they are loaded one after the other, in the order of their paths, so a key that two
-drops update gets the later drop's values. A drop is the folder a file lies in
-(``drops="folders"``, for a folder of drops such as ``inbox/*``) or the file itself
-(``drops="files"``).
+drops; they are loaded one after the other, in the order of their numbers in the stream's
+ledger (``streaming.ledger``: file time, then path, at first sight), so a key that two drops
+update gets the later drop's values, however the files are spread over triggers. A drop is the
+folder a file lies in (``drops="folders"``, for a folder of drops such as ``inbox/*``) or the
+file itself (``drops="files"``).
 
 The cleaning is stateless, so no streaming state is kept; the checkpoint only records which
 files were consumed. A retried micro-batch stages into the same folder and its upserts are
-idempotent (merging a batch twice equals merging it once). With ``max_files`` a drop of
-several files may span triggers; its files are then merged in that order.
+idempotent (merging a batch twice equals merging it once). A drop of several files may span
+triggers; its rows keep the drop's place in the order.
 
 Full replacement is refused: a micro-batch need not hold a whole drop, and replacing the
 target by part of one would lose rows. Load such tables with ``plans.run.load_table``.
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,8 +30,7 @@ from sluice.operators.clean import accepted_observed, align
 from sluice.operators.load import remove_path, upsert
 from sluice.sources.delimited import SEPARATOR
 from sluice.spec import TableSpec
-
-_DROP = "_drop"
+from sluice.streaming.ledger import DROP, KEEP, Ledger, drop_of
 
 
 def read_feed_stream(spark: SparkSession, spec: TableSpec, folder: str, max_files: Optional[int] = None) -> DataFrame:
@@ -46,16 +46,12 @@ def read_feed_stream(spark: SparkSession, spec: TableSpec, folder: str, max_file
     return reader.csv(folder)
 
 
-def drop_of(drops: str) -> Column:
-    """The drop a row belongs to: its file's path, or its file's folder."""
-    if drops not in ("folders", "files"):
-        raise ValueError("drops is 'folders' or 'files'")
-    path = F.col("_metadata.file_path")
-    return (F.regexp_replace(path, "/[^/]*$", "") if drops == "folders" else path).alias(_DROP)
-
+def load_micro_batch(
+    spark: SparkSession, spec: TableSpec, target: str, work: str, journal_path: Optional[str], ledger: Ledger
+):
+    """A ``foreachBatch`` function loading each micro-batch's drops into ``target``, in order.
 
-def load_micro_batch(spark: SparkSession, spec: TableSpec, target: str, work: str, journal_path: Optional[str]):
-    """A ``foreachBatch`` function loading each micro-batch's drops into ``target``, in order."""
+    The batch is staged once, a folder a drop; each drop's load reads its own folder alone."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         run_id = journal.new_run_id(f"{spec.name}:{batch_id}")
@@ -63,14 +59,17 @@ def load_micro_batch(spark: SparkSession, spec: TableSpec, target: str, work: st
             journal.log_start(spark, journal_path, run_id)
         try:
             stage = f"{work}/stage/{batch_id}"  # fixed per batch: a retry rewrites it
-            rows, counters = accepted_observed(batch, spec, keep=(_DROP,))
-            rows.write.mode("overwrite").parquet(stage)
+            rows, counters = accepted_observed(batch, spec, keep=(DROP,))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DROP).parquet(stage)
             staged = spark.read.schema(rows.schema).parquet(stage)
             stats, loads = counters.get(), []
-            waiting = [r[0] for r in staged.select(_DROP).distinct().orderBy(_DROP).collect()]  # one row a drop
-            for drop in waiting:
-                mine = align(staged.filter(F.col(_DROP) == drop), spec)
+            waiting = [r[0] for r in staged.select(DROP).distinct().collect()]  # one row a drop
+            numbers = ledger.order(batch_id, waiting)
+            for drop in sorted(waiting, key=numbers.__getitem__):
+                mine = align(staged.filter(F.col(DROP) == drop), spec)  # PartitionFilters
+                mine = ledger.admit(spec, mine, numbers[drop], batch_id)
                 loads.append(upsert(spark, spec, mine, target, batch_is_distinct=not spec.distinct))
+            ledger.forget(spec)
             if spec.distinct:
                 stats["rows_output"] = sum(load["rows_batch"] for load in loads)
         except Exception as exc:
@@ -96,11 +95,13 @@ def stream_feed(
     processing_time: Optional[str] = None,
     max_files: Optional[int] = None,
     drops: Optional[str] = None,
+    keep_keys: int = KEEP,
 ) -> StreamingQuery:
     """Start a query that merges every new file of ``folder`` into ``target``.
 
     ``drops`` says what one drop is; by default a folder pattern (``inbox/*``) means folders,
-    a plain folder means files.
+    a plain folder means files. The ledger of drops lies below ``checkpoint`` and holds the keys
+    of the last ``keep_keys`` drops.
 
     ``available_now`` processes what is there and stops (scheduled runs); otherwise
     ``processing_time`` (e.g. ``"1 minute"``) keeps it running.
@@ -109,9 +110,10 @@ def stream_feed(
         raise ValueError(f"{spec.name}: a stream of files cannot replace a table; load whole drops instead")
     rows = read_feed_stream(spark, spec, folder, max_files)
     drops = drops or ("folders" if "*" in folder else "files")
+    ledger = Ledger(spark, f"{checkpoint}/ledger", folder, drops, keep_keys)
     writer = (
         rows.select(*rows.columns, drop_of(drops))
-        .writeStream.foreachBatch(load_micro_batch(spark, spec, target, checkpoint, journal_path))
+        .writeStream.foreachBatch(load_micro_batch(spark, spec, target, checkpoint, journal_path, ledger))
         .option("checkpointLocation", f"{checkpoint}/offsets")
     )
     if available_now:

@@ -56,3 +56,75 @@ def test_files_of_a_plain_folder_are_drops(spark, workdir):
 def test_full_replacement_is_refused(spark, workdir):
     with pytest.raises(ValueError, match="cannot replace"):
         stream_feed(spark, TB.FT_POSTING_F, f"{workdir}/in", f"{workdir}/ds", f"{workdir}/ckpt", max_files=1)
+
+
+def _place(workdir, folder, name, text, at):
+    """One CSV file with a file time of its own."""
+    import os
+
+    os.makedirs(f"{workdir}/{folder}", exist_ok=True)
+    path = f"{workdir}/{folder}/{name}"
+    with open(path, "w") as f:
+        f.write("ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT\n" + text)
+    os.utime(path, (at, at))
+
+
+def _balances(spark, target):
+    return sorted((r.account_rk, r.balance_out) for r in read_table(spark, TB.FT_BALANCE_F, target).collect())
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+@pytest.mark.parametrize("drops", ["folders", "files"])
+def test_order_is_by_file_time_whatever_a_trigger_takes(spark, workdir, max_files, drops):
+    inbox = "in/drop9", "in/drop10", "in/drop11"
+    if drops == "files":
+        inbox = "in", "in", "in"
+    _place(workdir, inbox[0], "a9.csv", "1.1.2018;1;1;111\n1.1.2018;2;1;111\n", 1_600_000_000)
+    _place(workdir, inbox[1], "a10.csv", "1.1.2018;1;1;222\n1.1.2018;3;1;222\n", 1_600_000_100)
+    _place(workdir, inbox[2], "a11.csv", "1.1.2018;4;1;333\n", 1_600_000_100)
+    folder = f"{workdir}/in/*" if drops == "folders" else f"{workdir}/in"
+    stream_feed(spark, TB.FT_BALANCE_F, folder, f"{workdir}/ds", f"{workdir}/ckpt", max_files=max_files).awaitTermination()
+    assert _balances(spark, f"{workdir}/ds") == [(1, 222.0), (2, 111.0), (3, 222.0), (4, 333.0)]
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_late_file_of_an_early_drop_overwrites_nothing(spark, workdir, max_files):
+    _place(workdir, "in/a", "1.csv", "1.1.2018;1;1;10\n1.1.2018;2;1;10\n", 1_600_000_000)
+    _place(workdir, "in/b", "1.csv", "1.1.2018;2;1;20\n1.1.2018;3;1;20\n", 1_600_000_100)
+    _place(workdir, "in/a", "2.csv", "1.1.2018;3;1;10\n1.1.2018;4;1;10\n", 1_600_000_200)
+    args = spark, TB.FT_BALANCE_F, f"{workdir}/in/*", f"{workdir}/ds", f"{workdir}/ckpt"
+    stream_feed(*args, max_files=max_files).awaitTermination()
+    assert _balances(spark, f"{workdir}/ds") == [(1, 10.0), (2, 20.0), (3, 20.0), (4, 10.0)]
+    _place(workdir, "in/a", "3.csv", "1.1.2018;3;1;10\n1.1.2018;5;1;30\n", 1_600_000_300)  # in a later start
+    _place(workdir, "in/c", "1.csv", "1.1.2018;1;1;40\n", 1_600_000_250)
+    stream_feed(*args, max_files=max_files).awaitTermination()
+    assert _balances(spark, f"{workdir}/ds") == [(1, 40.0), (2, 20.0), (3, 20.0), (4, 10.0), (5, 30.0)]
+
+
+def test_conflicts_within_a_drop_across_triggers(spark, workdir):
+    from pyspark.errors import StreamingQueryException
+
+    _place(workdir, "in/a", "1.csv", "1.1.2018;1;1;10\n", 1_600_000_000)
+    _place(workdir, "in/a", "2.csv", "1.1.2018;1;1;10\n1.1.2018;2;1;11\n", 1_600_000_100)
+    args = spark, TB.FT_BALANCE_F, f"{workdir}/in/*", f"{workdir}/ds", f"{workdir}/ckpt"
+    stream_feed(*args, max_files=1).awaitTermination()
+    assert _balances(spark, f"{workdir}/ds") == [(1, 10.0), (2, 11.0)]  # equal rows are none
+    _place(workdir, "in/a", "3.csv", "1.1.2018;2;1;12\n", 1_600_000_200)
+    with pytest.raises(StreamingQueryException, match="more than once"):
+        stream_feed(*args, max_files=1).awaitTermination()
+    assert _balances(spark, f"{workdir}/ds") == [(1, 10.0), (2, 11.0)]
+
+
+def test_rows_of_forgotten_drops_are_refused(spark, workdir):
+    from pyspark.errors import StreamingQueryException
+
+    for i, name in enumerate("abcd"):
+        _place(workdir, f"in/{name}", "1.csv", f"1.1.2018;{i};1;{i}\n", 1_600_000_000 + i)
+    args = spark, TB.FT_BALANCE_F, f"{workdir}/in/*", f"{workdir}/ds", f"{workdir}/ckpt"
+    stream_feed(*args, keep_keys=2).awaitTermination()
+    _place(workdir, "in/c", "2.csv", "1.1.2018;3;1;9\n1.1.2018;7;1;9\n", 1_600_000_100)
+    stream_feed(*args, keep_keys=2).awaitTermination()
+    assert _balances(spark, f"{workdir}/ds") == [(0, 0.0), (1, 1.0), (2, 2.0), (3, 3.0), (7, 9.0)]
+    _place(workdir, "in/a", "2.csv", "1.1.2018;8;1;9\n", 1_600_000_200)
+    with pytest.raises(StreamingQueryException, match="older than"):
+        stream_feed(*args, keep_keys=2).awaitTermination()
