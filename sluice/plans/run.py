@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluice.operators import journal
-from sluice.operators.clean import Counters, accepted_observed, align
+from sluice.operators.clean import MALFORMED, Counters, accepted_observed, align
 from sluice.operators.load import check_batch, check_overwrite, merge_batch, remove_path, write_overwrite
 from sluice.plans.tables import RUN_ORDER
 from sluice.sources.delimited import read_feed
@@ -29,8 +29,9 @@ from sluice.workspace import new_dir
 
 def stage_accepted(spark: SparkSession, spec: TableSpec, source: str, stage_dir: str) -> tuple[DataFrame, Counters]:
     """The one pass over the text: accepted rows → ``stage_dir/accepted``; counters, among
-    them the rows that break NOT NULL or a length."""
-    raw = read_feed(spark, spec, source)
+    them the rows that break NOT NULL or a length, the reasons of rejected rows and the malformed
+    records."""
+    raw = read_feed(spark, spec, source, malformed=MALFORMED)
     rows, counters = accepted_observed(raw, spec)
     rows.write.mode("overwrite").parquet(f"{stage_dir}/accepted")
     staged = spark.read.schema(rows.schema).parquet(f"{stage_dir}/accepted")
@@ -46,7 +47,7 @@ def prepare_table(spark: SparkSession, spec: TableSpec, source: str, stage_dir:
     side without changing what a failed run leaves behind.
     """
     batch, counters = stage_accepted(spark, spec, source, stage_dir)
-    stats = counters.get()
+    stats = {**counters.get(), "rows_malformed": counters.malformed(), "reject_reasons": counters.rejects()}
     if spec.mode == "overwrite":
         batch = batch.dropDuplicates() if spec.distinct else batch
         check = check_overwrite(spec, batch, counters.violations())  # counted by the staging write

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from typing import Optional
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.spec import TableSpec
 
@@ -29,24 +32,33 @@ def read_raw(spark: SparkSession, path: str, sep: str = SEPARATOR) -> DataFrame:
     )
 
 
-def read_feed(spark: SparkSession, spec: TableSpec, path: str, *, by_header: bool = True) -> DataFrame:
+def read_feed(
+    spark: SparkSession, spec: TableSpec, path: str, *, by_header: bool = True, malformed: Optional[str] = None
+) -> DataFrame:
     """The spec's source columns of a feed, bound by header name (case-insensitive).
 
     ``by_header=True`` reads the header, then selects the spec's columns by name, so
     reordered or extra feed columns are fine and a missing column fails before any data
     job. ``by_header=False`` binds the spec's all-string schema without the header read
     and makes Spark verify each file's header against it (``enforceSchema=false``).
+
+    ``malformed`` names a further column for the whole line of a record that has too few or too
+    many fields (NULL for the others). The values of such records are the same with it and
+    without: missing fields are NULL, further ones are ignored. The marking is part of the
+    one scan, which then splits all columns of the feed.
     """
-    if by_header:
+    if by_header and malformed is None:
         raw = read_raw(spark, path)
         return raw.select(*[F.col(f"`{c}`").alias(c) for c in spec.source_columns])
-    return (
-        spark.read.schema(spec.raw_schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("sep", SEPARATOR)
-        .csv(path)
-    )
+    schema = read_raw(spark, path).schema if by_header else spec.raw_schema
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("sep", SEPARATOR)
+    if malformed is not None:
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType(), True)])
+        # Without pruning in the parser: it counts the fields of whole records only.
+        reader = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", malformed)
+    raw = reader.schema(schema).csv(path)
+    more = [malformed] if malformed is not None else []
+    return raw.select(*[F.col(f"`{c}`").alias(c) for c in spec.source_columns], *more)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = SEPARATOR) -> None:
