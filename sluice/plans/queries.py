@@ -831,6 +831,48 @@ def run_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.select("status", "table", "detail.transform.*")
 
 
+@register(
+    "failed_run_journal",
+    f"""
+SELECT 'Failed' AS status, 'KeyConflictError' AS error_type, 'md_account_d' AS failed_step, true AS has_traceback,
+  'ft_balance_f' AS committed,
+  (SELECT count(*) FROM (SELECT DISTINCT data_actual_date, account_rk FROM ({X.cleaned('md_account_d')}) c) k) AS conflicts,
+  (SELECT count(*) FROM ({X.cleaned('ft_balance_f')}) b) AS balances_loaded,
+  (SELECT 2 * rows_after_filter FROM ({X.counters('md_account_d')}) a) AS rows_staged, 0 AS rows_in_target""",
+)
+def failed_run_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose second table holds every key twice: its journaled failure, what was
+    committed before, and the staged rows that it leaves for a rerun."""
+    root = new_dir(spark, "runs-failed")
+    specs = [TB.FT_BALANCE_F, TB.MD_ACCOUNT_D]
+    sources = {s.feed_name: f"{root}/feeds/{s.feed_name}" for s in specs}
+    feeds.materialize_feed(spark, sf_dir, "ft_balance_f", dest=sources["ft_balance_f"])
+    accounts = feeds.feed_frame(spark, sf_dir, "md_account_d")
+    other = accounts.withColumn("ACCOUNT_NUMBER", F.concat(F.lit("9"), "ACCOUNT_NUMBER"))
+    write_delimited(accounts.unionByName(other), sources["md_account_d"])
+    targets = {s.name: f"{root}/ds/{s.name}" for s in specs}
+    try:
+        R.run_all(spark, sources, targets, f"{root}/journal", specs=specs)
+    except KeyConflictError:
+        pass
+    state = journal.fold(journal.read_events(spark, f"{root}/journal"))
+    kind = "error_type string, failed_step string, traceback string, stage string, committed array<string>"
+    found = state.select("status", "error_message", F.from_json("extra", kind).alias("d"))
+    staged = spark.read.parquet(f"{found.first()['d']['stage']}/accepted").count()
+    loaded = [read_table(spark, s, targets[s.name]).count() for s in specs]
+    return found.select(
+        "status",
+        "d.error_type",
+        "d.failed_step",
+        F.col("d.traceback").contains("KeyConflictError").alias("has_traceback"),
+        F.array_join("d.committed", ",").alias("committed"),
+        F.regexp_extract("error_message", r": (\d+) key", 1).cast("long").alias("conflicts"),
+        F.lit(loaded[0]).cast("long").alias("balances_loaded"),
+        F.lit(staged).cast("long").alias("rows_staged"),
+        F.lit(loaded[1]).cast("int").alias("rows_in_target"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -106,7 +106,8 @@ def run_all(
 
     Journal events: ``Started`` before the first table, then ``Success`` with the
     per-table counters and the Spark version, or ``Failed`` with the error, the table
-    that failed and the traceback (the exception is re-raised).
+    that failed, its staging folder, the tables committed before it and the traceback (the
+    exception is re-raised).
 
     Preparing a table (text pass, staging, checks) touches no target, so up to
     ``parallelism`` tables are prepared at once from driver threads (Spark schedules
@@ -146,9 +147,8 @@ def run_all(
                     spark.sparkContext.cancelJobsWithTag(tag)
                 raise
     except Exception as exc:
-        journal.log_finish(
-            spark, journal_path, run_id, False, error_message=str(exc), extra=journal.failure_detail(exc, step)
-        )
+        detail = {**journal.failure_detail(exc, step), "stage": f"{run_dir}/{step}", "committed": list(tables)}
+        journal.log_finish(spark, journal_path, run_id, False, error_message=str(exc), extra=detail)
         raise
     result = {"run_id": run_id, "tables": tables, "spark_version": spark.version}
     journal.log_finish(spark, journal_path, run_id, True, extra={"tables": tables, "spark_version": spark.version})
