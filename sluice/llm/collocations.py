@@ -8,11 +8,10 @@ language is ``und``, a null or empty text has no words, and every row counts, re
 2. ``sieves``: which runs of 1, 2, 3, 4 words can be frequent. A run can only if its first and its
    last words but one are, so each order is counted, by hash, for such runs alone. What is
    frequent goes into a bitmap of a fixed size, which may let others through, but drops none.
-3. ``transducers``: the runs of each shard that pass the sieves, sorted, become a weighted acyclic
-   automaton from words to counts.
-4. ``united``: the shards' automata are cut at common bounds into prefix ranges (language, first
-   words) and those of a range are added up, in two steps so that no task holds many; the result
-   is one automaton a range. Counts are exact from here on: by words, not by hashes.
+3. ``transducers``: the runs of each shard that pass the sieves, sorted, become weighted acyclic
+   automata from words to counts, one for each prefix range (language, first words).
+4. ``united``: the shards' automata of a range are added up, in two steps so that no task holds
+   many; the result is one automaton a range. Counts are exact: by words, not by hashes.
 5. ``lookup``: phrases are sent to their ranges, become an automaton there, and composing the two
    gives their counts.
 6. ``collocations``: the lowest-scoring cut of each frequent phrase, without phrases that mostly
@@ -32,24 +31,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.automata import Automaton, Key, build
-from sluice.llm.common import mix, rows, shuffle_partitions, store
+from sluice.llm.common import groups, mix, rows, shuffle_partitions, store
 from sluice.llm.tokens import pack_ids, unpack_ids
 
 #: Text bytes of one language in a shard; a longer text is a shard of its own.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
+#: Text bytes that are split into words at once.
+SPLIT_BYTES = 1 << 20
+#: Runs that a task holds before it sends their counts on.
+HELD_RUNS = 4 << 20
 #: Words of the longest phrase.
 LONGEST = 4
 #: Bits of the bitmap of each order, whatever the input (16 MB).
 SIEVE_BITS = 27
 #: Keys of a range, as far as the sample of bounds divides them evenly.
 RANGE_KEYS = 20_000
-#: Bounds are chosen among this many keys of this many shards at most.
-SAMPLE_KEYS, SAMPLE_SHARDS = 64, 4096
+#: Bounds are chosen among this many keys of each of about this many shards.
+SAMPLE_KEYS, SAMPLE_SHARDS = 256, 64
 
 _FROM = b".,;:!?\n\x0b\x0c\r" + b"\t" + bytes(range(65, 91))
 _CUT = bytes.maketrans(_FROM, b"\n" * 10 + b" " + bytes(range(97, 123)))
@@ -66,8 +70,14 @@ def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """The sorted distinct words of ``texts``, and all words as numbers from 1 in that order, with
     0 between pieces."""
     numbers = _Numbers({b".": 0})  # no word has a full stop
-    flat = b".".join(texts).translate(_CUT).replace(b"\n", b" . ").split()
-    ids = np.fromiter(map(numbers.__getitem__, flat), dtype=np.int64, count=len(flat))
+    joined = b".".join(texts).translate(_CUT).replace(b"\n", b" . ")
+    parts, start = [np.zeros(0, dtype=np.int32)], 0
+    while start < len(joined):
+        end = joined.find(b" ", start + SPLIT_BYTES)
+        flat = joined[start : end if end >= 0 else None].split()
+        parts.append(np.fromiter(map(numbers.__getitem__, flat), dtype=np.int32, count=len(flat)))
+        start = end if end >= 0 else len(joined)
+    ids = np.concatenate(parts)
     found = list(numbers)[1:]
     order = sorted(range(len(found)), key=found.__getitem__)
     place = np.zeros(len(found) + 1, dtype=np.int64)
@@ -115,6 +125,16 @@ class _Shard:
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), dtype=np.uint64, count=len(self.words))
         self.hashes = mix(np.concatenate([np.zeros(1, np.uint64), hashes]) + seed)
 
+    def _pass(self, sieve, g: np.ndarray) -> np.ndarray:
+        bits = np.frombuffer(sieve.value, dtype=np.uint8)
+        x = g & np.uint64((1 << SIEVE_BITS) - 1)
+        return (bits[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+    def ends_of_pairs(self, sieves: list) -> np.ndarray:
+        """Hashes of the words that pairs which pass begin or end with."""
+        at = self.runs(sieves)[0][1]
+        return self.hashes[np.union1d(self.ids[at], self.ids[at + 1])]
+
     def runs(self, sieves: list) -> tuple[list[np.ndarray], np.ndarray]:
         """Where the runs of 1, 2, ... words that pass begin, for each sieve; and the hashes of the
         runs of one word more whose two parts pass."""
@@ -122,9 +142,7 @@ class _Shard:
         at = np.flatnonzero(ids)
         g = self.hashes[ids[at]]
         for n, sieve in enumerate(sieves, 1):
-            bits = np.frombuffer(sieve.value, dtype=np.uint8)
-            x = g & np.uint64((1 << SIEVE_BITS) - 1)
-            stay = (bits[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            stay = self._pass(sieve, g)
             at, g = at[stay], g[stay]
             passed.append(at)
             if n == LONGEST:
@@ -144,32 +162,89 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Shard]]:
             yield lang, _Shard(lang, words, ids)
 
 
+def _packed(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted hashes as differences, and counts, each lowest bytes first, compressed."""
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() for x in (steps, counts.astype("<u4"))]
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8)
+    n = len(raw) // 12
+    steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel()
+    return np.cumsum(steps), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel()
+
+
+def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
+    return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _sieve(spark: SparkSession, cut: DataFrame, hashes, least: int, buckets: int) -> tuple[object, int]:
+    """A broadcast bitmap of the hashes that ``hashes`` (of a shard) gives ``least`` times in all,
+    and how many these are.
+
+    Counts are summed in the tasks first and travel as packed ranges of hashes; a range has a
+    bounded share of all words and is added up by one task."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("bucket", pa.int32()), ("packed", pa.binary())])
+        held, n_held = [], 0
+
+        def flush() -> pa.RecordBatch:
+            found, n = _summed(*map(np.concatenate, zip(*held)))
+            which = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            begins = np.flatnonzero(np.append(True, which[1:] != which[:-1])) if len(found) else []
+            parts = [slice(b, e) for b, e in zip(begins, np.append(begins[1:], len(found)))]
+            return rows(schema, bucket=[int(which[p.start]) for p in parts], packed=[_packed(found[p], n[p]) for p in parts])
+
+        for _, shard in _shards(batches):
+            found, n = np.unique(hashes(shard), return_counts=True)
+            held.append((found, n))
+            n_held += len(found)
+            if n_held >= HELD_RUNS:
+                yield flush()
+                held, n_held = [], 0
+        if held:
+            yield flush()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("h", pa.int64())])
+        for group in groups(batches, ["bucket"]):
+            found, n = _summed(*map(np.concatenate, zip(*map(_unpacked, group.column("packed").to_pylist()))))
+            often = found[n >= least]
+            for i in range(0, len(often), 1 << 17):
+                yield rows(schema, h=often[i : i + (1 << 17)].view(np.int64))
+
+    counted = cut.select("lang", "words", "ids").mapInArrow(count, "bucket int, packed binary")
+    dealt = counted.repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket")
+    x = F.col("h").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1)) + 1
+    blocks = dealt.mapInArrow(add, "h long").groupBy(F.bitmap_bucket_number(x).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(x)).alias("bits"), F.count("*").alias("n")
+    )
+    bits, total = np.zeros(1 << (SIEVE_BITS - 3), dtype=np.uint8), 0
+    for block, part, n in blocks.collect():  # 4,096 rows of 4 KB at most
+        bits[(block - 1) << 12 : block << 12] = np.frombuffer(part, dtype=np.uint8)
+        total += n
+    return spark.sparkContext.broadcast(bits.tobytes()), total
+
+
 def sieves(spark: SparkSession, cut: DataFrame, least: int) -> tuple[list, int]:
-    """For each order a broadcast bitmap of the hashes of runs that occur ``least`` times, and how
-    many there are in all."""
+    """For each order a broadcast bitmap of the hashes of runs that occur ``least`` times, that of
+    single words for those alone which a frequent pair begins or ends with (no other word is
+    ever asked for); and how many these runs are in all."""
+    n_words = cut.agg(F.sum("n_words")).first()[0] or 0
+    buckets = max(shuffle_partitions(spark), n_words // HELD_RUNS)
     made, total = [], 0
-    schema = pa.schema([("h", pa.int64()), ("c", pa.int32())])
     for _ in range(LONGEST):
-        so_far = list(made)
-
-        def count(batches: Iterator[pa.RecordBatch], so_far=so_far) -> Iterator[pa.RecordBatch]:
-            for _, shard in _shards(batches):
-                found, n = np.unique(shard.runs(so_far)[1], return_counts=True)
-                for i in range(0, len(found), 1 << 17):
-                    yield rows(schema, h=found[i : i + (1 << 17)].view(np.int64), c=n[i : i + (1 << 17)].astype(np.int32))
-
-        counted = cut.select("lang", "words", "ids").mapInArrow(count, "h long, c int")
-        often = counted.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
-        x = F.col("h").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1)) + 1
-        blocks = often.groupBy(F.bitmap_bucket_number(x).alias("block")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(x)).alias("bits"), F.count("*").alias("n")
-        )
-        bits = np.zeros(1 << (SIEVE_BITS - 3), dtype=np.uint8)
-        for block, part, n in blocks.collect():  # 4,096 rows of 4 KB at most
-            bits[(block - 1) << 12 : block << 12] = np.frombuffer(part, dtype=np.uint8)
-            total += n
-        made.append(spark.sparkContext.broadcast(bits.tobytes()))
-    return made, total
+        sieve, n = _sieve(spark, cut, lambda shard, so_far=list(made): shard.runs(so_far)[1], least, buckets)
+        made.append(sieve)
+        total += n
+    words, n = _sieve(spark, cut, lambda shard, pairs=made[:2]: shard.ends_of_pairs(pairs), 1, buckets)
+    return [made, words], total + n
 
 
 def _label(lang: str) -> bytes:
@@ -181,42 +256,66 @@ def _key(text: bytes) -> Key:
     return tuple(text.split(b"\t"))
 
 
-def transducers(cut: DataFrame, passed: list) -> DataFrame:
-    """automaton (from language and words to the count in the shard) and keys (a few of its keys at
-    equal distances, words joined by tabs), written to the shared folder."""
-    schema = pa.schema([("automaton", pa.binary()), ("keys", pa.list_(pa.binary()))])
+def _keys(lang: str, shard: _Shard, passed: list) -> tuple[list[Key], list[int]]:
+    """The runs of the shard that pass the sieves, in order, and how often each occurs."""
+    orders, words = passed
+    begins, _ = shard.runs(orders)
+    single = np.flatnonzero(np.append(False, shard._pass(words, shard.hashes[1:])))
+    ids = np.concatenate([shard.ids, np.zeros(LONGEST, np.int64)])
+    table = np.concatenate(
+        [np.stack([ids[at + k] if k < n else np.zeros(len(at), np.int64) for k in range(LONGEST)]) for n, at in enumerate(begins, 1) if n > 1],
+        axis=1,
+    )
+    weights = np.append(np.ones(table.shape[1], dtype=np.int64), np.bincount(shard.ids, minlength=len(shard.hashes))[single])
+    table = np.concatenate([table, np.stack([single, *[np.zeros(len(single), np.int64)] * (LONGEST - 1)])], axis=1)
+    order = np.lexsort(table[::-1])
+    table, weights = table[:, order], weights[order]
+    if not len(weights):
+        return [], []
+    first = np.flatnonzero(np.append(True, np.any(table[:, 1:] != table[:, :-1], axis=0)))
+    names, top = [b"", *shard.words], _label(lang)
+    keys = [(top, *[names[i] for i in run if i]) for run in zip(*table[:, first].tolist())]
+    return keys, np.add.reduceat(weights, first).tolist()
+
+
+def bounds(cut: DataFrame, passed: list, n_keys: int) -> list[Key]:
+    """Keys that divide all keys into ranges of about ``RANGE_KEYS``, from a sample of shards."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, shard in _shards(batches):
-            begins, _ = shard.runs(passed)
-            ids = np.concatenate([shard.ids, np.zeros(LONGEST, np.int64)])
-            table = np.concatenate(
-                [np.stack([ids[at + k] if k < n else np.zeros(len(at), np.int64) for k in range(LONGEST)]) for n, at in enumerate(begins, 1)],
-                axis=1,
-            )
-            table = table[:, np.lexsort(table[::-1])]
-            if not table.shape[1]:
-                continue
-            new = np.ones(table.shape[1], dtype=bool)
-            new[1:] = np.any(table[:, 1:] != table[:, :-1], axis=0)
-            first = np.flatnonzero(new)
-            counts = np.diff(np.append(first, table.shape[1]))
-            names, top = [b"", *shard.words], _label(lang)
-            keys = [(top, *(names[i] for i in run if i)) for run in zip(*table[:, first].tolist())]
+            keys, _ = _keys(lang, shard, passed)
             some = [keys[i] for i in np.linspace(0, len(keys) - 1, min(SAMPLE_KEYS, len(keys))).astype(int)]
-            yield rows(schema, automaton=[build(zip(keys, counts.tolist())).dump()], keys=[[b"\t".join(k) for k in some]])
-
-    return store(cut.select("lang", "words", "ids").mapInArrow(work, "automaton binary, keys array<binary>"), "transducers")
+            yield pa.RecordBatch.from_pydict({"key": pa.array([b"\t".join(k) for k in some], pa.binary())})
 
-
-def bounds(made: DataFrame, n_keys: int) -> list[Key]:
-    """Keys that divide all keys into ranges of about ``RANGE_KEYS``, from a bounded sample."""
-    some = made.select("keys", F.xxhash64("keys").alias("h")).orderBy("h").limit(SAMPLE_SHARDS).select("keys").collect()
-    found = sorted(_key(bytes(k)) for r in some for k in r["keys"])
+    every = -(-cut.count() // SAMPLE_SHARDS)
+    some = cut.filter(F.pmod(F.xxhash64("words"), F.lit(max(1, every))) == 0).select("lang", "words", "ids")
+    found = some.mapInArrow(work, "key binary").limit(4 * SAMPLE_KEYS * SAMPLE_SHARDS).collect()
+    found = sorted(_key(bytes(r["key"])) for r in found)
     n = min(-(-n_keys // RANGE_KEYS), len(found))
     return sorted({found[len(found) * i // n] for i in range(1, n)})
 
 
+def transducers(cut: DataFrame, passed: list, cuts: list[Key], salts: int) -> DataFrame:
+    """range, salt, automaton: of each shard an automaton from language and words to their counts
+    for each prefix range that it has keys of."""
+    schema = pa.schema([("range", pa.int32()), ("salt", pa.int32()), ("automaton", pa.binary())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = TaskContext.get().partitionId()
+        for lang, shard in _shards(batches):
+            n += 1
+            keys, counts = _keys(lang, shard, passed)
+            begin = 0
+            while begin < len(keys):
+                where = bisect_right(cuts, keys[begin])
+                end = bisect_left(keys, cuts[where], begin) if where < len(cuts) else len(keys)
+                made = build(zip(keys[begin:end], counts[begin:end]))
+                yield rows(schema, range=[where], salt=[n % salts], automaton=[made.dump()])
+                begin = end
+
+    return cut.select("lang", "words", "ids").mapInArrow(work, "range int, salt int, automaton binary")
+
+
 def _added(parts: DataFrame, keys: list[str], least: int) -> DataFrame:
     """``keys`` and one automaton for each of them: the sum of theirs, without counts below ``least``."""
     schema = pa.schema([*[(k, pa.int32()) for k in keys], ("automaton", pa.binary())])
@@ -244,27 +343,10 @@ def _added(parts: DataFrame, keys: list[str], least: int) -> DataFrame:
     return dealt.mapInArrow(work, ", ".join(f"{k} int" for k in keys) + ", automaton binary")
 
 
-def united(made: DataFrame, cuts: list[Key], least: int) -> DataFrame:
+def united(cut: DataFrame, passed: list, cuts: list[Key], least: int) -> DataFrame:
     """range, automaton: for each prefix range the counts of all shards, from ``least`` on."""
-    salts = max(1, int(made.count() ** 0.5))  # as many parts of a range as each part has shards
-    schema = pa.schema([("range", pa.int32()), ("salt", pa.int32()), ("automaton", pa.binary())])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = TaskContext.get().partitionId()
-        for batch in batches:
-            for dumped in batch.column("automaton"):
-                n += 1
-                items = list(Automaton.load(dumped.as_py()).items())
-                keys = [k for k, _ in items]
-                begin = 0
-                while begin < len(items):
-                    where = bisect_right(cuts, keys[begin])
-                    end = bisect_left(keys, cuts[where], begin) if where < len(cuts) else len(items)
-                    yield rows(schema, range=[where], salt=[n % salts], automaton=[build(items[begin:end]).dump()])
-                    begin = end
-
-    parts = made.select("automaton").mapInArrow(work, "range int, salt int, automaton binary")
-    some = _added(parts, ["range", "salt"], 0)
+    salts = max(1, int(cut.count() ** 0.5))  # as many parts of a range as each part has shards
+    some = _added(transducers(cut, passed, cuts, salts), ["range", "salt"], 0)
     return store(_added(some.select("range", "automaton"), ["range"], least), "united")
 
 
@@ -348,10 +430,9 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, inside_perce
     spark = docs.sparkSession
     cut = shards(docs)
     passed, n_keys = sieves(spark, cut, least)
-    made = transducers(cut, passed)
-    cuts = bounds(made, n_keys)
-    sums = united(made, cuts, least)
-    for sieve in passed:
+    cuts = bounds(cut, passed, n_keys)
+    sums = united(cut, passed, cuts, least)
+    for sieve in [*passed[0], passed[1]]:
         sieve.unpersist()
 
     known = store(counted_phrases(sums).filter("n_words > 1").withColumnRenamed("f", "a"), "phrases")
