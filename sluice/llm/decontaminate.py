@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from sluice.llm.common import pieces, texts_of
+from sluice.llm.common import pieces, store, texts_of
 from sluice.llm.fm_index import FMIndex
 
 _LETTERS = b"".join(
@@ -36,6 +36,8 @@ _LETTERS = b"".join(
 )
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _SHARD_BYTES = 16 << 20
+#: Blocks of the benchmark that are broadcast at the same time.
+BLOCKS_AT_ONCE = 8
 
 
 def words(text: bytes) -> list[bytes]:
@@ -124,14 +126,21 @@ def cut(text: bytes, hit: np.ndarray) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Phrases]:
-    """The benchmark's phrases, a bounded number of items at a time."""
-    items = benchmark.select(
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = max(1, -(-size // block_bytes))
+
+
+def block_count(benchmark: DataFrame, block_bytes: int) -> int:
+    size = _items(benchmark).agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(1, -(-size // block_bytes))
+
+
+def blocks(benchmark: DataFrame, window: int, count: int) -> Iterator[Phrases]:
+    """The benchmark's phrases, a bounded number of items at a time."""
+    items = _items(benchmark)
     for k in range(count):
         mine = items.filter(F.pmod(F.xxhash64("name", "text"), F.lit(count)) == k) if count > 1 else items
         yield Phrases([(r["name"], bytes(r["text"])) for r in mine.collect()], window)
@@ -139,14 +148,23 @@ def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Phra
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` (its text as bytes) with n_words, ``hit_words`` (merged [start, end) word spans)
-    and ``items`` (names of the items with occurring phrases)."""
+    and ``items`` (names of the items with occurring phrases).
+
+    At most ``BLOCKS_AT_ONCE`` blocks are broadcast at a time; in between, what has been found is
+    written to the shared folder."""
     span = StructType([StructField("start", LongType()), StructField("end", LongType())])
     added = {"n_words": LongType(), "hit_words": ArrayType(span), "items": ArrayType(StringType())}
     found = docs.drop(*added).withColumn("text", F.col("text").cast("binary"))
     schema = StructType([*found.schema.fields, *(StructField(k, t) for k, t in added.items())])
     arrow = to_arrow_schema(schema)
-    for k, phrases in enumerate(blocks(benchmark, window, block_bytes)):
+    count, alive = block_count(benchmark, block_bytes), []
+    for k, phrases in enumerate(blocks(benchmark, window, count)):
+        if len(alive) == BLOCKS_AT_ONCE:
+            found = store(found, "marked")
+            while alive:
+                alive.pop().unpersist()
         shared = docs.sparkSession.sparkContext.broadcast(phrases)
+        alive.append(shared)
 
         def work(batches, shared=shared, first=k == 0):
             for batch in batches:
@@ -172,35 +190,72 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes:
     return found
 
 
+def _cut_one_block(docs: DataFrame, phrases: Phrases) -> DataFrame:
+    """``docs`` (text as bytes) without occurrences; each text is searched again while it changes."""
+    shared = docs.sparkSession.sparkContext.broadcast(phrases)
+    names = docs.schema.names
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, limit=_SHARD_BYTES):
+                texts = part.column("text").to_pylist()
+                todo = list(range(len(texts)))
+                while todo:
+                    hit, starts, *_ = find([texts[i] or b"" for i in todo], shared.value)
+                    left = []
+                    for k, i in enumerate(todo):
+                        flags = hit[starts[k] : starts[k + 1]]
+                        if flags.any():
+                            texts[i] = cut(texts[i], flags)
+                            left.append(i)
+                    todo = left
+                columns = [pa.array(texts, pa.binary()) if n == "text" else part.column(n) for n in names]
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return docs.mapInArrow(work, docs.schema)
+
+
+def _cut_marked(marked: DataFrame) -> DataFrame:
+    """text and row of ``search``'s result, the hit words cut out."""
+    schema = marked.select("text", "row").schema
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i, (n, spans) in enumerate(zip(batch.column("n_words").to_pylist(), batch.column("hit_words").to_pylist())):
+                hit = np.zeros(n, dtype=bool)
+                for x in spans:
+                    hit[x["start"] : x["end"]] = True
+                texts[i] = cut(texts[i], hit)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), batch.column("row")], names=["text", "row"])
+
+    return marked.mapInArrow(work, schema)
+
+
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` with the benchmark's occurrences cut out of the texts (again, where what is
-    left reads as one); all columns stay, and n_chars, where there is one, follows."""
-    found = docs.withColumn("text", F.col("text").cast("binary"))
-    schema = found.schema
-    names = schema.names
-    for phrases in blocks(benchmark, window, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(phrases)
+    left reads as one); all columns stay, and n_chars, where there is one, follows.
 
-        def work(batches, shared=shared):
-            for batch in batches:
-                for part in pieces(batch, limit=_SHARD_BYTES):
-                    texts = part.column("text").to_pylist()
-                    todo = list(range(len(texts)))
-                    while todo:
-                        hit, starts, *_ = find([texts[i] or b"" for i in todo], shared.value)
-                        left = []
-                        for k, i in enumerate(todo):
-                            flags = hit[starts[k] : starts[k + 1]]
-                            if flags.any():
-                                texts[i] = cut(texts[i], flags)
-                                left.append(i)
-                        todo = left
-                    columns = [pa.array(texts, pa.binary()) if n == "text" else part.column(n) for n in names]
-                    yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
-
-        found = found.mapInArrow(work, schema)
-    found = found.withColumn("text", F.col("text").cast("string"))
-    if "n_chars" in names:
+    What all blocks find in a text is cut out at once, and texts that changed are searched again
+    for all blocks until nothing is found, so the result does not depend on ``block_bytes``. With
+    several blocks each round is written to the shared folder."""
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    todo = docs.select(F.col("text").cast("binary").alias("text"), row)
+    count = block_count(benchmark, block_bytes)
+    if count == 1:
+        found = _cut_one_block(todo, next(blocks(benchmark, window, 1)))
+    else:
+        found = None
+        while True:
+            marked = store(search(todo, benchmark, window, block_bytes), "marked")
+            clean = marked.filter("size(hit_words) = 0").select("text", "row")
+            found = clean if found is None else found.unionByName(clean)
+            hit = marked.filter("size(hit_words) > 0")
+            if hit.isEmpty():
+                break
+            todo = store(_cut_marked(hit), "cut")
+    found = found.withColumn("text", F.col("text").cast("string")).select("text", "row.*").drop("_")
+    if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         found = found.withColumn("n_chars", F.length("text").cast(kind))
     return found.select(docs.columns)
