@@ -120,6 +120,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         "n_spans",
         F.sha2(F.coalesce("kept", F.lit("").cast("binary")), 256).alias("kept_sha256"),
+        # What is left, to read; parts of characters (bytes are removed, not letters) are U+FFFD.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
