@@ -2,11 +2,11 @@
 
 import collections
 import hashlib
+import math
 import zlib
 
 import duckdb
 import numpy as np
-import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -78,26 +78,110 @@ def test_quality_of_odd_documents(spark):
     assert quality_rules.verdicts(empty(spark)).count() == 0 and quality_rules.keep_good(empty(spark)).count() == 0
 
 
-def test_fences_follow_group_language_and_corpus(spark):
-    clean, marked = sentence(1, 40), sentence(2, 40).replace(" ", "# ", 12)
-    rows = [(i, clean, "en", "a", 0) for i in range(300)] + [(1000 + i, marked, "en", "b", 0) for i in range(300)]
-    rows += [(2000 + i, clean, "de", "c", 0) for i in range(5)]
+def _buckets(shares):
+    return [0 if x <= 2.0**-30 else math.floor(math.log(x / 2.0**-30) / math.log(1.02)) + 1 for x in shares]
+
+
+def _quantile(shares, q):
+    ordered = sorted(_buckets(shares))
+    number = ordered[max(0, math.ceil(q * len(ordered) - 1e-9) - 1)]
+    return 2.0**-30 * 1.02 ** (number - 0.5) if number else 0.0
+
+
+def brute_verdicts(rows, reach=4.0, least=100):
+    """(kept, broken) of each (lang, source, text), from plain counts and sorted lists."""
+    rules = {"symbols": ("n_symbols", "word_chars"), "capitals": ("n_upper", "word_chars"),
+             "stutter": ("n_same_words", "n_words"), "dup_lines": ("n_dup_lines", "n_lines")}
+    counted = [_counts(t) for _, _, t in rows]
+    groups = collections.defaultdict(list)
+    for (lang, source, _), c in zip(rows, counted):
+        if c["n_words"]:
+            for key in ((lang, source), lang, "all of them"):
+                groups[key].append(c)
+    levels = {}
+
+    def level(key, r):
+        if (key, r) not in levels:
+            a, b = rules[r]
+            shares = [c[a] / max(1, c[b]) for c in groups[key]]
+            low, mid, high = (_quantile(shares, q) for q in (0.1, 0.5, 0.95))
+            levels[key, r] = mid + reach * (mid - low), high, _quantile([c[b] for c in groups[key]], 0.5)
+        return levels[key, r]
+
+    out = []
+    for (lang, source, _), c in zip(rows, counted):
+        broken = []
+        for r, (a, b) in rules.items():
+            if not groups[lang, source]:
+                continue
+            wide, high, size = level(lang, r)
+            most = max(wide, high)
+            if len(groups[lang]) < least:
+                wide, _, size = level("all of them", r)
+                most = wide
+            ordinary = wide
+            if len(groups[lang, source]) >= least:
+                ordinary, _, size = level((lang, source), r)
+                ordinary = min(ordinary, most)
+            part = min(1.0, size / max(1, c[b]))
+            if 2 * (math.sqrt(c[a] * part + 0.375) - math.sqrt(ordinary * c[b] * part + 0.375)) > reach:
+                broken.append(r)
+        failed = c["n_words"] < 10 or 100 * c["n_repeat_words"] > 20 * c["n_words"]
+        out.append((not failed and not broken, broken))
+    return out
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_registered_verdicts_against_brute_force(spark, scale):
+    sf = f"/root/testdata/sf{scale}"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    rows = queries.op2_quality_rules(spark, sf).orderBy("doc_id").collect()
+    want = brute_verdicts([(d.lang, d.source, d.text) for d in docs])
+    assert [(r.kept, r.broken) for r in rows] == [(k, ",".join(b)) for k, b in want]
+
+
+def _two_sources():
+    """Ordinary documents with no symbols, ordinary documents with many, junk with more, in one
+    language; a small group of another one."""
+    marked = lambda i, n: sentence(i, 60).replace(" ", "# ", n)
+    rows = [(i, sentence(i, 40 + i % 30), "en", "a", 0) for i in range(200)]
+    rows += [(1000 + i, marked(500 + i, 10 + i % 5), "en", "b", 0) for i in range(200)]
+    rows += [(2000 + i, marked(900 + i, 59), "en", "ab"[i % 2], 0) for i in range(12)]
+    rows += [(3000 + i, marked(950 + i, 12), "en", "a", 0) for i in range(8)]
+    rows += [(4000 + i, sentence(980 + i, 30), None, "c", 0) for i in range(5)]
+    return rows
+
+
+def test_levels_follow_their_groups_and_runs_repeat(spark):
+    rows = _two_sources()
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    want = {r[0]: v for r, v in zip(rows, brute_verdicts([(r[2], r[3], r[1]) for r in rows]))}
+    for parts in (1, 5, 13):
+        docs = spark.createDataFrame(rows, schema).repartition(parts)
+        found = {r.doc_id: (r.kept, r.broken) for r in quality_rules.verdicts(docs).collect()}
+        assert found == want
+    limits = {(r.lang, r.source): r.level_symbols for r in quality_rules.levels(text_stats.with_counts(docs)).collect()}
+    assert limits["en", "a"] == 0 and 0.03 < limits["en", "b"] < 0.1 < limits[None, "c"]  # too few rows: all of them
+    kept = {d for d, (k, _) in want.items() if k}
+    assert kept == {r[0] for r in rows if r[0] < 2000 or r[0] >= 4000}  # what is ordinary in b is junk in a
+
+
+def test_source_full_of_junk_does_not_excuse_itself(spark):
+    rows = [(i, sentence(i, 50), "en", "a", 0) for i in range(4000)]
+    rows += [(9000 + i, sentence(i, 50).replace(" ", "# ", 49), "en", "b", 0) for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    limits = {(r.lang, r.source): r for r in quality_rules.fences(text_stats.with_counts(docs)).collect()}
-    share = 12 / sum(map(len, marked.split()))
-    exact = pd.Series([0.0] * 300 + [share] * 300).quantile([0.25, 0.75])
-    wide = exact[0.75] + 3 * max(exact[0.75] - exact[0.25], 0.02)
-    assert limits["en", "a"].fence_symbols == pytest.approx(min(0.06, wide + 0.02), abs=0.01)
-    assert limits["en", "b"].fence_symbols == pytest.approx(min(share + 0.06, wide + 0.02), abs=0.01)
-    assert limits["de", "c"].fence_symbols > 0.06  # too few rows: the corpus's sketch
+    kept = {r.doc_id for r in quality_rules.verdicts(docs).filter("kept").collect()}
+    assert kept == set(range(4000))
 
 
-def test_sketch_quantiles_are_near(spark):
+def test_sketch_quantiles_are_near_and_merge(spark):
     df = spark.range(20000).select((F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)).alias("x"), (F.col("id") % 7).alias("g"))
-    parts = df.groupBy("g").agg(F.kll_sketch_agg_double("x").alias("k"))
-    got = parts.agg(F.kll_merge_agg_double("k").alias("k")).select(F.kll_sketch_get_quantile_double("k", F.lit(0.75))).first()[0]
-    values = np.array([r.x for r in df.collect()])
-    assert abs((values <= got).mean() - 0.75) < 0.03
+    each = df.groupBy("g", F.lit("r").alias("rule"), quality_rules.bucket(F.col("x")).alias("bucket")).agg(F.count("*").alias("n"))
+    whole = quality_rules.quantiles(quality_rules.merged(each), [], {"q1": 0.1, "q5": 0.5, "q9": 0.95}).first()
+    values = np.sort(np.array([r.x for r in df.collect()]))
+    for got, q in ((whole.q1, 0.1), (whole.q5, 0.5), (whole.q9, 0.95)):
+        assert abs(got / values[int(q * 20000)] - 1) < 0.011
+    assert whole.n == 20000
 
 
 def test_ranker_orders_pairs():
