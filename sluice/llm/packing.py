@@ -94,12 +94,12 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
     schema = pa.schema([*fields, ("ids", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4")
         for batch in batches:
             for part in pieces(batch):
                 out: dict[str, list] = {f.name: [] for f in schema}
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode_all(texts_of(part))):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    ids = np.concatenate([ids, end])
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         piece = ids[at : at + capacity]
                         for name, value in zip(out, (doc_id, k, at, len(piece), pack_ids(piece))):

@@ -82,42 +82,49 @@ def decode_shard(content: bytes) -> tuple[int, int, list, np.ndarray, np.ndarray
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, n_tokens (with the end id) and the packed ids of every text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
+    """doc_id, n_tokens (with the end id), crc and the packed ids of every text; and for each task
+    a row with ``counts``, the ids that it has made (little-endian: all ids, then how often)."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())]
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc, total = encoder(tokenizer), np.zeros(0, dtype=np.int64)
+        end = np.array([end_id], dtype="<u4")
         for batch in batches:
             for part in pieces(batch):
-                ids = [np.append(i, np.uint32(end_id)).astype("<u4") for i in enc.encode_all(texts_of(part))]
+                ids = [np.concatenate([i, end]) for i in enc.encode_all(texts_of(part))]
+                n = np.bincount(np.concatenate(ids), minlength=len(total))
+                n[: len(total)] += total
+                total = n
                 yield rows(
                     schema,
                     doc_id=part.column("doc_id"),
                     n_tokens=[len(i) for i in ids],
-                    crc=[zlib.crc32(i.tobytes()) for i in ids],
+                    crc=[zlib.crc32(i) for i in ids],
                     ids=[pack_ids(i) for i in ids],
+                    counts=[None] * len(ids),
                 )
+        found = np.flatnonzero(total)
+        made = np.concatenate([found, total[found]]).astype("<i8").tobytes()
+        yield rows(schema, doc_id=[None], n_tokens=[None], crc=[None], ids=[None], counts=[made])
 
     return binary_text(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(
-        work, "doc_id long, n_tokens long, crc long, ids binary"
+        work, "doc_id long, n_tokens long, crc long, ids binary, counts binary"
     )
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
-    """token_id, n: occurrences of each id; a task sends one row an id."""
+    """token_id, n: occurrences of each id, from the tasks' counts (a row a task)."""
     schema = pa.schema([("token_id", pa.int64()), ("n", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for packed in batch.column("ids").to_pylist():
-                got = np.bincount(unpack_ids(packed), minlength=len(total))
-                got[: len(total)] += total
-                total = got
-        found = np.flatnonzero(total)
-        yield rows(schema, token_id=found, n=total[found])
+            for made in batch.column("counts").to_pylist():
+                found, n = np.frombuffer(made, dtype="<i8").reshape(2, -1)
+                yield rows(schema, token_id=found, n=n)
 
-    counted = tokens.select("ids").mapInArrow(work, "token_id long, n long")
+    counted = tokens.filter("counts is not null").select("counts").mapInArrow(work, "token_id long, n long")
     return counted.groupBy("token_id").agg(F.sum("n").alias("n"))
 
 
@@ -151,7 +158,8 @@ def write_shards(
             yield rows(schema, shard=[encode_shard(partition, sequence, ids, values)])
 
     ordered = (
-        tokens.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), "n_tokens", "crc")
+        tokens.filter("ids is not null")
+        .repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), "n_tokens", "crc")
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "crc")
         .select("doc_id", "ids")
     )

@@ -190,6 +190,80 @@ def test_own_sections(spark):
         token_counts.count_tokens(docs, PATH, rule="other")
 
 
+def _allocated(spans, sections, rule):
+    """Tokens and crossing tokens of each section (pairs or None), token by token."""
+    counts, crossing = [0] * len(sections), [0] * len(sections)
+    order = sorted((s[0], s[1], k) for k, s in enumerate(sections) if s and None not in s and s[0] < s[1])
+    for a, b in spans:
+        best = None
+        for start, end, k in order:
+            overlap = min(b, end) - max(a, start)
+            if overlap <= 0:
+                continue
+            value = overlap if rule == "most" else -max(a, start)
+            if best is None or value > best[0]:
+                best = value, k, a < start or b > end
+        if best:
+            counts[best[1]] += 1
+            crossing[best[1]] += best[2]
+    return counts, crossing
+
+
+def test_registered_counts_section_by_section(spark, whole):
+    found = {}
+    for r in queries.op6_token_counts(spark, SF).collect():
+        found.setdefault(r.doc_id, []).append((r.section, r.start, r.end, r.n_tokens, r.n_crossing))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert set(found) == {r.doc_id for r in docs}
+    for r in docs:
+        text, sections, at = r.text or "", [], 0
+        for line in text.split("\n"):
+            sections += [(at + i, at + min(i + 1000, len(line))) for i in range(0, max(1, len(line)), 1000)]
+            at += len(line) + 1
+        counts = _allocated(whole(text).offsets, sections, "most")
+        assert sorted(found[r.doc_id]) == [(k, *s, n, c) for k, (s, n, c) in enumerate(zip(sections, *counts))]
+
+
+SECTION = st.one_of(st.none(), st.tuples(*[st.one_of(st.none(), st.integers(-2, 30))] * 2))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 5), max_size=12), st.lists(SECTION, max_size=8), st.sampled_from(token_counts.RULES))
+def test_sections_in_any_order(lengths, sections, rule):
+    ends = np.cumsum([n + k % 2 for k, n in enumerate(lengths)])
+    spans = np.array([(e - n, e) for e, n in zip(ends, lengths)], dtype=np.int64).reshape(-1, 2)
+    given_ = [s and {"name": None, "start": s[0], "end": s[1]} for s in sections]
+    found = token_counts.allocate_any(spans, given_, rule)
+    assert tuple(x.tolist() for x in found) == _allocated(spans.tolist(), sections, rule)
+
+
+def test_odd_sections(spark):
+    kind = "doc_id long, text string, sections array<struct<name: string, start: int, end: int>>"
+    text = "title here\nand a body"
+    rows = [
+        (1, text, [("b", 11, 21), None, ("a", 0, 10), (None, None, 5), ("x", 4, None), ("y", 7, 7)]),
+        (2, text, None), (3, text, []), (4, None, [("n", 0, 9)]), (5, text, [("all", 0, 21), ("a", 0, 10)]),
+    ]
+    found = {}
+    for r in token_counts.count_tokens(spark.createDataFrame(rows, kind), PATH, own_sections=True).collect():
+        found.setdefault(r.doc_id, {})[r.section] = (r.name, r.start, r.end, r.n_tokens)
+    assert found[1] == {0: ("b", 11, 21, 3), 1: (None, None, None, 0), 2: ("a", 0, 10, 2), 3: (None, None, 5, 0),
+                        4: ("x", 4, None, 0), 5: ("y", 7, 7, 0)}
+    assert set(found) == {1, 4, 5} and found[4] == {0: ("n", 0, 9, 0)}
+    assert [found[5][k][3] for k in (0, 1)] == [3, 2]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_file(name):
+    """A file whose words are not independent is left to the library, ids and spans alike."""
+    path = public_tokenizers.path(name)
+    tokenizer, encoder, spans = Tokenizer.from_file(path), Encoder(path), token_counts.Spans(path)
+    texts = [t for t in odd_texts() if t is not None and len(t) < 5000]
+    plain = [tokenizer.encode(t, add_special_tokens=False) for t in texts]
+    assert [i.tolist() for i in encoder.encode_all([t.encode() for t in texts])] == [e.ids for e in plain]
+    assert all(spans.of(t).tolist() == [list(o) for o in e.offsets] for t, e in zip(texts, plain))
+
+
 def test_empty_tables(spark):
     none = empty(spark)
     path = new_dir(spark, "tests")
