@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators import swap
+from sluice.operators import bucketed, swap
 from sluice.operators.checks import violation_flags
 from sluice.spec import TableSpec
 from sluice.workspace import new_dir
@@ -244,14 +244,17 @@ def _replace(df: DataFrame, spec: TableSpec, path: str, *, spread: bool = True,
     """
     parts = partition_columns(spec)
     spark = df.sparkSession
-    out = _spread(df, spec) if parts and spread else df
+    out = _spread(df, spec) if parts and spread and not spec.store_buckets else df
     if _file_system(spark, path) is None:
         if replace_all and parts:
             raise RuntimeError("replacing a partitioned table needs the session's file system (no Spark Connect)")
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
         return
     pending = swap.new_pending(spark, path)
-    out.write.partitionBy(*parts).parquet(pending)
+    if spec.store_buckets:
+        bucketed.write(df.select(*spec.columns, *parts), spec, pending, parts)
+    else:
+        out.write.partitionBy(*parts).parquet(pending)
     swap.decide(spark, path, pending, len(parts), replace_all=replace_all or not parts)
     swap.finish(spark, path)
 
@@ -365,7 +368,11 @@ def check_batch(
     spark = batch.sparkSession
     folder = f"{work_dir or new_dir(spark, f'stage/{spec.name}')}/keyed"
     keyed = keyed_rows(batch.select(*spec.columns), spec, distinct_rows=not batch_is_distinct and spec.distinct)
-    keyed.write.mode("overwrite").parquet(folder)
+    if spec.store_buckets:
+        remove_path(spark, folder)  # of an earlier attempt
+        bucketed.write(keyed, spec, folder, [])
+    else:
+        keyed.write.mode("overwrite").parquet(folder)
     summary = batch_summary(spark.read.schema(keyed.schema).parquet(folder), spec, max_partition_list)
     summary["keyed"] = folder
     try:
@@ -401,19 +408,42 @@ def merged_rows(
         if touched is None:  # only new partitions: nothing to keep
             return batch
     else:
-        touched = read_target(spark, spec, path)
-        if values is None:
-            touched = touched.filter(F.col(parts[0]).between(summary["lo"], summary["hi"]))
-            touched = touched.join(batch.select(*parts).distinct(), parts, "left_semi")
-        else:
-            dates = sorted({v[0] if isinstance(v, tuple) else v for v in values})
-            touched = touched.filter(F.col(parts[0]).isin(dates))  # PartitionFilters
-            if len(parts) > 1:  # buckets of those dates that the batch has no key of stay as they are
-                touched = touched.join(batch.select(*parts).distinct(), parts, "left_semi")
+        touched = _touched(read_target(spark, spec, path), batch, spec, summary)
     kept = touched.join(batch.select(*pk), pk, "left_anti")
     return kept.select(*spec.columns, *parts).unionByName(batch)
 
 
+def _touched(target: DataFrame, batch: DataFrame, spec: TableSpec, summary: dict) -> DataFrame:
+    """Rows of the partitions that the batch touches: PartitionFilters, and a semi join where
+    these alone would take in more."""
+    parts, values = partition_columns(spec), summary["partitions"]
+    if values is None:
+        target = target.filter(F.col(parts[0]).between(summary["lo"], summary["hi"]))
+        return target.join(batch.select(*parts).distinct(), parts, "left_semi")
+    dates = sorted({v[0] if isinstance(v, tuple) else v for v in values})
+    target = target.filter(F.col(parts[0]).isin(dates))
+    if len(parts) > 1:  # buckets of those dates that the batch has no key of stay as they are
+        target = target.join(batch.select(*parts).distinct(), parts, "left_semi")
+    return target
+
+
+def _merge_bucketed(spark: SparkSession, spec: TableSpec, path: str, summary: dict) -> None:
+    """A wide merge into a target stored in buckets: the table's rows stay in their tasks."""
+    parts = partition_columns(spec)
+    keyed = spark.read.parquet(summary["keyed"]).schema
+    pending = swap.new_pending(spark, path)
+    with (
+        bucketed.table(spark, spec, path, target_schema(spec), parts) as target,
+        bucketed.table(spark, spec, summary["keyed"], keyed, []) as batch,
+    ):
+        batch = spark.table(batch)
+        kept = bucketed.kept_rows(_touched(spark.table(target), batch, spec, summary), batch, spec)
+        bucketed.write(kept.select(*spec.columns, *parts), spec, pending, parts, dealt=True)
+        bucketed.write(batch.select(*spec.columns, *parts), spec, pending, parts)
+    swap.decide(spark, path, pending, len(parts), replace_all=False)
+    swap.finish(spark, path)
+
+
 def merge_batch(
     spark: SparkSession,
     spec: TableSpec,
@@ -434,7 +464,11 @@ def merge_batch(
         complete_swap(spark, path)  # of a load that was lost; the merge reads the target itself
         above = SPREAD_ABOVE_PARTITIONS if spread_above is None else spread_above
         spread = summary["n_partitions"] > above or not path_exists(spark, path)
-        _replace(merged_rows(spark, spec, path, summary, read_folders_up_to), spec, path, spread=spread)
+        folders = READ_FOLDERS_UP_TO if read_folders_up_to is None else read_folders_up_to
+        if spec.store_buckets and summary["n_partitions"] > folders and path_exists(spark, path):
+            _merge_bucketed(spark, spec, path, summary)
+        else:
+            _replace(merged_rows(spark, spec, path, summary, read_folders_up_to), spec, path, spread=spread)
     remove_path(spark, summary["keyed"])
     return result
 

@@ -7,6 +7,7 @@ result directly, without parsing text. Column names match between the two.
 
 from __future__ import annotations
 
+import dataclasses
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -570,10 +571,9 @@ _UPSERT_ORACLE = (
 )
 
 
-def _upsert_batches(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
+def _upsert_batches(spark: SparkSession, sf_dir: str, times: int, spec: TableSpec = TB.FT_BALANCE_F) -> DataFrame:
     """Even order keys loaded first; then odd keys (inserts) with keys ≡ 0 mod 4 re-sent at
     a changed amount (updates), ``times`` times. Keys ≡ 2 mod 4 stay as first loaded."""
-    spec = TB.FT_BALANCE_F
     target = f"{new_dir(spark, 'targets')}/{spec.name}"
     first = feeds.materialize_feed(spark, sf_dir, spec.name, where="o_orderkey % 2 = 0")
     R.load_table(spark, spec, first, target)
@@ -599,6 +599,13 @@ def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_batches(spark, sf_dir, 2)
 
 
+@register("upsert_wide", _UPSERT_ORACLE)
+def upsert_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 for backfills: the batches of ``upsert_merge``, which touch every month, merged into a
+    target stored in key buckets, whose rows no merge moves."""
+    return _upsert_batches(spark, sf_dir, 1, dataclasses.replace(TB.FT_BALANCE_F, store_buckets=8))
+
+
 def _stream_drops(spark: SparkSession, sf_dir: str, one_by_one: bool) -> DataFrame:
     """The two batches of ``upsert_merge`` as two file drops, streamed as each arrives or both
     waiting for one start."""

@@ -49,6 +49,8 @@ class TableSpec:
     row never moves between partitions.
     ``key_buckets``: above 1, each date partition is divided by a hash of the key, so a
     small batch rewrites a few buckets of a date that holds most of the table.
+    ``store_buckets``: above 0, the files of each partition are divided by a hash of the key
+    (``operators.bucketed``), so merges of many partitions need not shuffle the table.
     """
 
     name: str
@@ -62,6 +64,7 @@ class TableSpec:
     partition_grain: str = "month"
     source_name: Optional[str] = None  # feed file base name; defaults to ``name``
     key_buckets: int = 1
+    store_buckets: int = 0
 
     def __post_init__(self) -> None:
         names = [f.name for f in self.fields]
@@ -91,6 +94,8 @@ class TableSpec:
             raise ValueError(f"{self.name}: partition_date must be a date column")
         if self.key_buckets < 1 or (self.key_buckets > 1 and not (self.partition_date and self.primary_key)):
             raise ValueError(f"{self.name}: key_buckets is 1, or more for a table with partition_date and a key")
+        if self.store_buckets and (self.mode != "upsert" or not self.partition_date or self.key_buckets > 1):
+            raise ValueError(f"{self.name}: store_buckets are for upserts by partition_date without key_buckets")
         if self.partition_grain not in ("month", "day"):
             raise ValueError(f"{self.name}: partition_grain must be 'month' or 'day'")
 
