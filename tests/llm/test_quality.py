@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
