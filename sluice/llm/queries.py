@@ -16,6 +16,7 @@ from sluice.llm import (
     line_dedup,
     lm_score,
     near_dedup,
+    oracles,
     packing,
     quality_classifier,
     quality_rules,
@@ -162,4 +163,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements of the queries that SQL can express."""
-    return {"op7_license_scan": license_scan.oracle(), "op12_line_dedup": line_dedup.oracle()}
+    return {
+        "op2_quality_rules": oracles.quality_rules(),
+        "op3_decontaminate": oracles.decontaminate(),
+        "op5_near_dedup": oracles.near_dedup(),
+        "op7_license_scan": license_scan.oracle(),
+        "op11_conversation_trie": oracles.conversation_trie(),
+        "op12_line_dedup": line_dedup.oracle(),
+        "op13_collocations": oracles.collocations(),
+    }
