@@ -16,7 +16,8 @@ text is put together again by line position.
 
 Only hashes, ids and positions are shuffled for the counts, after summing in the tasks; whole
 texts travel once, to meet their dropped positions. A line that a third of all documents hold
-is one row after the sums, and its join is split by adaptive execution.
+is one row after the sums; the shared lines are written to the shared folder, and adaptive
+execution splits their join where one line has many rows.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import store
+
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ROW = ["_line_row1", "_line_row2"]
@@ -60,6 +63,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Da
         .agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
         .filter(F.col("n") >= max(2, min_docs))
     )
+    # Written, so that the join shuffles both of its sides itself and can split a hot line's rows.
+    shared = store(shared, "shared-lines")
     gone = lines.join(shared, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first")))
     return gone.groupBy(*_ROW).agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
