@@ -45,15 +45,20 @@ def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     v[: len(values)] = values
     extra = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
     control = (extra.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    used = np.arange(4) <= extra[: len(values), None]
-    return control.tobytes(), v[: len(values)].view(np.uint8).reshape(-1, 4)[used].tobytes()
+    extra = extra[: len(values)]
+    most = 1 + int(extra.max(initial=0))  # bytes beyond those of the longest value are not looked at
+    used = np.arange(most, dtype=np.uint8) <= extra[:, None]
+    return control.tobytes(), v[: len(values)].view(np.uint8).reshape(-1, 4)[:, :most][used].tobytes()
 
 
 def decode_values(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
     """Values back from control and data bytes, by looking up the four lengths of each control byte."""
     lengths = _LENGTHS[control].ravel()[:count]
+    most = int(lengths.max(initial=1))
+    found = np.zeros((count, most), dtype=np.uint8)
+    found[np.arange(most, dtype=np.uint8) < lengths[:, None]] = data
     out = np.zeros((count, 4), dtype=np.uint8)
-    out[np.arange(4) < lengths[:, None]] = data
+    out[:, :most] = found
     return out.view("<u4").ravel()
 
 

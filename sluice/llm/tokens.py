@@ -22,7 +22,6 @@ from functools import lru_cache
 import numpy as np
 import zstandard
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import WhitespaceSplit
 
 #: The parts of a tokenizer file for which words are independent of each other.
 _NORMALIZER = {
@@ -97,11 +96,10 @@ def words_are_independent(path: str) -> bool:
 class Encoder:
     """``encode_all(texts)``: the ids of each text; up to ``limit`` words are remembered."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 900_000):
         self._tokenizer = Tokenizer.from_file(path)
         self._by_words = words_are_independent(path)
         self._bare = Tokenizer(self._tokenizer.model)  # the model alone, for words as byte letters
-        self._bare.pre_tokenizer = WhitespaceSplit()
         vocabulary = self._tokenizer.get_vocab()
         self._last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._last[[i for token, i in vocabulary.items() if token.endswith(_SUFFIX)]] = True
@@ -134,8 +132,9 @@ class Encoder:
         """Remembers words that the split pattern leaves whole."""
         if not words:
             return
-        found = self._bare.encode(" ".join(words).translate(self._letters), add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
+        letters = " ".join(words).translate(self._letters).split(" ")
+        found = self._bare.encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found[0].ids, dtype="<u4")
         ends = (4 * np.flatnonzero(self._last[ids]) + 4).tolist()  # each word's last token, and no other, has the suffix
         raw = ids.tobytes()
         self._words.update(zip(words, [raw[s:e] for s, e in zip([0, *ends], ends)], strict=True))
