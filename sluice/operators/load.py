@@ -37,6 +37,9 @@ READ_FOLDERS_UP_TO = 64
 #: rebalance shuffle; each task then writes at most this many files, and the touched side
 #: keeps its scan layout when the batch keys are broadcast.
 SPREAD_ABOVE_PARTITIONS = 8
+#: Above this many keys a join with a batch's keys shuffles both sides. A broadcast passes
+#: through the driver, and Spark's choice goes by compressed file sizes, which say little of it.
+BROADCAST_KEYS = 100_000
 
 KEY_BUCKET = "key_bucket"
 
@@ -297,6 +300,11 @@ def overwrite(spark: SparkSession, spec: TableSpec, df: DataFrame, path: str) ->
     return write_overwrite(spark, spec, df, path, check_overwrite(spec, df))
 
 
+def joined_by_key(keys: DataFrame, at_most: int) -> DataFrame:
+    """``keys`` (``at_most`` of them) as one side of a join: too many are never broadcast."""
+    return keys if at_most <= BROADCAST_KEYS else keys.hint("merge")
+
+
 def keyed_rows(batch: DataFrame, spec: TableSpec, *, distinct_rows: bool) -> DataFrame:
     """One row per key, with its partition, ``_conflict`` and its violation counts.
 
@@ -394,8 +402,8 @@ def merged_rows(
     """``touched ▷ batch keys ∪ batch``: what the touched partitions hold after the merge.
 
     The batch is read back one row a key, once for its rows and once for its keys alone;
-    neither is shuffled unless the join asks for it. The join strategy is Catalyst's and
-    AQE's choice.
+    neither is shuffled unless the join asks for it. Up to ``BROADCAST_KEYS`` keys the join
+    strategy is Catalyst's and AQE's choice.
     """
     most = READ_FOLDERS_UP_TO if read_folders_up_to is None else read_folders_up_to
     parts, pk = partition_columns(spec), list(spec.primary_key)
@@ -409,7 +417,7 @@ def merged_rows(
             return batch
     else:
         touched = _touched(read_target(spark, spec, path), batch, spec, summary)
-    kept = touched.join(batch.select(*pk), pk, "left_anti")
+    kept = touched.join(joined_by_key(batch.select(*pk), summary["keys"]), pk, "left_anti")
     return kept.select(*spec.columns, *parts).unionByName(batch)
 
 

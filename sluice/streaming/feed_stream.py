@@ -67,7 +67,7 @@ def load_micro_batch(
             numbers = ledger.order(batch_id, waiting)
             for drop in sorted(waiting, key=numbers.__getitem__):
                 mine = align(staged.filter(F.col(DROP) == drop), spec)  # PartitionFilters
-                mine = ledger.admit(spec, mine, numbers[drop], batch_id)
+                mine = ledger.admit(spec, mine, numbers[drop], batch_id, stats["rows_after_filter"])
                 loads.append(upsert(spark, spec, mine, target, batch_is_distinct=not spec.distinct))
             ledger.forget(spec)
             if spec.distinct:

@@ -19,7 +19,7 @@ from typing import Optional
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.load import KeyConflictError, path_exists, remove_path
+from sluice.operators.load import KeyConflictError, joined_by_key, path_exists, remove_path
 from sluice.spec import TableSpec
 
 DROP = "_drop"
@@ -77,8 +77,9 @@ class Ledger:
         keys = [f"`{f.name}` {f.dtype}" for f in spec.fields if f.name in spec.primary_key]
         return self.spark.read.schema(", ".join([*keys, "h1 long, h2 long, seq long, batch long"])).parquet(f"{self.path}/keys")
 
-    def admit(self, spec: TableSpec, rows: DataFrame, seq: int, batch_id: int) -> DataFrame:
-        """The rows of a drop's part that are to be merged, and a note of their keys."""
+    def admit(self, spec: TableSpec, rows: DataFrame, seq: int, batch_id: int, at_most: int) -> DataFrame:
+        """The rows of a drop's part (``at_most`` so many) that are to be merged, and a note of
+        their keys."""
         pk = list(spec.primary_key)
         marked = rows.select("*", *[F.xxhash64(F.lit(k), *spec.columns).alias(f"h{k}") for k in (1, 2)])
         mine = marked.select(*pk, "h1", "h2").distinct()
@@ -90,11 +91,12 @@ class Ledger:
             earlier = loaded.filter((F.col("seq") == seq) & (F.col("batch") != batch_id))
             if seq in known:
                 same = earlier.select(*pk, F.col("h1").alias("o1"), F.col("h2").alias("o2"))
-                clash = mine.join(same, pk).filter("h1 <> o1 OR h2 <> o2").select(*pk).distinct().count()
+                clash = joined_by_key(mine, at_most).join(same, pk).filter("h1 <> o1 OR h2 <> o2").select(*pk).distinct().count()
                 if clash:
                     raise KeyConflictError(f"{spec.name}: {clash} key(s) of {tuple(pk)} occur more than once in a drop", clash)
             if known and known[-1] > seq:
-                later = loaded.filter(F.col("seq") > seq).select(*pk).distinct()
+                later = loaded.filter(F.col("seq") > seq).select(*pk)
+                later = joined_by_key(later.distinct(), later.count())  # counted by the Parquet footers
                 rows = rows.join(later, pk, "left_anti").select(*rows.columns)
         mine.write.mode("overwrite").parquet(f"{self.path}/keys/seq={seq}/batch={batch_id}")
         return rows

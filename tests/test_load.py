@@ -241,6 +241,17 @@ def test_staged_batch_is_scanned_and_shuffled_once(spark, workdir):
     assert "Exchange hashpartitioning" not in merged and "BroadcastHashJoin" in merged
 
 
+def test_keys_of_a_large_batch_do_not_pass_through_the_driver(spark, workdir):
+    """However small their files are: Spark would broadcast these by their compressed size."""
+    t, rows = f"{workdir}/t", ("date'2018-01-31' AS on_date", "id AS account_rk", "1 AS currency_rk", "1.0D AS balance_out")
+    load.upsert(spark, SPEC, spark.range(10).selectExpr(*rows), t)
+    for n, broadcast in ((load.BROADCAST_KEYS, True), (load.BROADCAST_KEYS + 1, False)):
+        summary = load.check_batch(SPEC, spark.range(5, 5 + n).selectExpr(*rows))
+        merged = load.merged_rows(spark, SPEC, t, summary)
+        assert ("BroadcastHashJoin" in merged._jdf.queryExecution().executedPlan().toString()) == broadcast
+        assert merged.count() == n + 5
+
+
 def test_delta_rewrites_one_key_bucket(spark, workdir):
     spec, t = TB.MD_ACCOUNT_D, f"{workdir}/acc"
     columns = "data_actual_date date, data_actual_end_date date, account_rk long, account_number string, char_type string, currency_rk int, currency_code string"

@@ -128,3 +128,25 @@ def test_rows_of_forgotten_drops_are_refused(spark, workdir):
     _place(workdir, "in/a", "2.csv", "1.1.2018;8;1;9\n", 1_600_000_200)
     with pytest.raises(StreamingQueryException, match="older than"):
         stream_feed(*args, keep_keys=2).awaitTermination()
+
+
+def test_joins_of_many_keys_find_the_same(spark, workdir, monkeypatch):
+    """Rows that a later drop has loaded, and conflicts, where no side of a join is broadcast."""
+    from pyspark.errors import StreamingQueryException
+
+    from sluice.operators import load
+
+    joins = []
+    real = load.joined_by_key
+    monkeypatch.setattr("sluice.streaming.ledger.joined_by_key", lambda k, n: joins.append(n) or real(k, n), raising=False)
+    monkeypatch.setattr(load, "BROADCAST_KEYS", 0)
+    _place(workdir, "in/a", "1.csv", "1.1.2018;1;1;10\n1.1.2018;2;1;10\n", 1_600_000_000)
+    _place(workdir, "in/b", "1.csv", "1.1.2018;2;1;20\n1.1.2018;3;1;20\n", 1_600_000_100)
+    _place(workdir, "in/a", "2.csv", "1.1.2018;3;1;10\n1.1.2018;4;1;10\n", 1_600_000_200)
+    args = spark, TB.FT_BALANCE_F, f"{workdir}/in/*", f"{workdir}/ds", f"{workdir}/ckpt"
+    stream_feed(*args, max_files=1).awaitTermination()
+    assert _balances(spark, f"{workdir}/ds") == [(1, 10.0), (2, 20.0), (3, 20.0), (4, 10.0)]
+    assert joins == [2, 2]  # the part's rows, then the later drop's keys
+    _place(workdir, "in/a", "3.csv", "1.1.2018;4;1;12\n", 1_600_000_300)
+    with pytest.raises(StreamingQueryException, match="more than once"):
+        stream_feed(*args, max_files=1).awaitTermination()
