@@ -147,3 +147,13 @@ def test_rules_do_not_depend_on_ansi_mode(spark):
         assert got["true"] == got["false"]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("layout", list(parse.DATE_LAYOUTS))
+def test_dates_are_cast_and_not_formatted(spark, layout):
+    """A formatter costs as much as the rest of the row and raises inside for each bad date."""
+    write = lambda y, m, d: layout.replace("yyyy", y).replace("d", d).replace("M", m)
+    texts = [write("1998", "2", "7"), write("0007", "02", "01"), write("1998", "4", "31"), write("1998", "13", "1"), "--", "000--"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(parse.parse_date(F.col("t"), layout).alias("d"))
+    assert "gettimestamp" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.d for r in df.collect() if r.d} == {D(1998, 2, 7), D(7, 2, 1)}
