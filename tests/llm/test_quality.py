@@ -196,6 +196,49 @@ def test_ranker_orders_pairs():
     assert quality_classifier.fit(good, bad[:0], 0.0) is None
 
 
+def _labelled(spark, n_good, n_bad, copies):
+    random = np.random.default_rng(3)
+    x = [*random.normal(0, 1, (n_good, 3)).tolist(), *(random.normal(0, 1, (n_bad, 3)) + [1.5, 0, -1]).tolist()]
+    rows = [(i, x[i % len(x)]) for i in range(copies * len(x))]
+    marks = [(i, int(i % len(x) < n_good)) for i, _ in rows]
+    featured = spark.createDataFrame(rows, "doc_id long, x array<double>")
+    return np.array(x), featured, spark.createDataFrame(marks, "doc_id long, quality int")
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_every_labelled_row_is_learned_from(spark, copies):
+    """As by all pairs in memory while there is one group; copies change nothing but counts."""
+    x, featured, labels = _labelled(spark, 700, 90, copies)
+    got = quality_classifier.train(featured, labels, F.lit(True))
+    want = quality_classifier.fit(np.tile(x[:700], (copies, 1)), np.tile(x[700:], (copies, 1)), 90 / 790)
+    for name in ("mean", "spread", "weights", "scale"):
+        assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-4, atol=1e-6), name
+    scores = np.sort(np.tile(got.raw(x), copies))
+    assert got.cut == pytest.approx(scores[90 * copies - 1 : 90 * copies + 1].mean())
+
+
+def test_groups_hold_every_row_and_both_labels(spark, monkeypatch):
+    """More than 20,000 rows of a label, none left out; few rows of the other stand in many groups."""
+    x, featured, labels = _labelled(spark, 20_500, 40, 1)
+    rows = featured.join(labels, "doc_id").select((F.col("quality") == 1).alias("good"), "x", F.lit(1).cast("long").alias("n"))
+    found = quality_classifier.dealt(rows, {True: 20_500, False: 40}).groupBy("group").agg(F.sum(F.col("good").cast("int")).alias("good"), F.count("*").alias("n")).collect()
+    assert sum(r.good for r in found) == 20_500 and len(found) == 21
+    assert all(r.n > r.good and r.good < 2 * quality_classifier.GROUP for r in found)
+    ranker = quality_classifier.train(featured, labels, F.lit(True))
+    assert np.allclose(ranker.mean, x.mean(axis=0)) and np.allclose(ranker.spread, x.std(axis=0))
+    assert ranker.cut == pytest.approx(np.sort(ranker.raw(x))[39:41].mean())
+    assert (ranker.raw(x[:20_500])[:, None] > ranker.raw(x[20_500:])[None]).mean() > 0.85
+
+
+@pytest.mark.parametrize("most", [1, 7, 10_000])
+def test_value_at_a_rank(spark, most):
+    values = [(float(v * v) - 3, 1 + v % 3) for v in range(60)]
+    table = spark.createDataFrame(values, "raw double, n long")
+    each = [v for v, n in values for _ in range(n)]
+    for rank in (1, 2, 37, 60, len(each) - 1, len(each)):
+        assert quality_classifier.value_at(table, rank, most) == each[rank - 1]
+
+
 def test_registered_classifier(spark):
     rows = {r.doc_id: r for r in queries.op8_quality_classifier(spark, SF).collect()}
     assert len(rows) == 1000
