@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import decontaminate, near_dedup, packing, quality_rules, suffix_dedup
 from sluice.llm.common import store
-from sluice.llm.queries import SEQUENCE_TOKENS, table, word_tokenizer
-
-PASSAGE_WORDS = 51
+from sluice.llm.queries import PASSAGE_WORDS, SEQUENCE_TOKENS, table, word_tokenizer
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 Texts are UTF-8 bytes (null: empty). A byte is removed if a string of ``LENGTH`` bytes that
 covers it also starts anywhere else, in the same text or another one. With ``words``, the bytes
 of so many words in a row (runs of bytes other than ASCII white space) that also occur
-anywhere else go too, whatever white space is between them; the steps below are then taken a
-second time, with words for bytes (``Unit``).
+anywhere else go too, whatever white space is between them, or are only counted; the steps
+below are then taken for words (as 64-bit hashes) and bytes side by side (``Unit``).
 
 1. Equal texts collapse by their MD5; if there are two or more of at least ``LENGTH`` bytes,
    all their bytes go, and one of them stands for them below.
@@ -28,15 +28,13 @@ repeated rows are texts that occur twice; other columns are ignored, or kept by
 from __future__ import annotations
 
 import hashlib
-import itertools
 import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -46,12 +44,14 @@ from sluice.llm.suffix import suffix_array
 from sluice.workspace import new_dir
 
 LENGTH, GRAM = 400, 100
-_BUFFER = 1 << 19  # bytes hashed at once; longer texts are taken in overlapping parts
+_BUFFER = 1 << 17  # bytes hashed at once; longer texts are taken in overlapping parts
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LETTERS = np.random.default_rng(400).integers(1, 1 << 63, 1 << 9, dtype=np.uint64)
 _powers: dict[int, np.ndarray] = {}
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_IS_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 class Unit(NamedTuple):
@@ -62,24 +62,23 @@ class Unit(NamedTuple):
     gram: int = GRAM
     words: bool = False
 
-    def of(self, text: bytes) -> Sequence:
-        return text.split() if self.words else text
+    def split(self, texts: list[bytes]) -> list[Sequence]:
+        """The units of each text: its bytes, or its words' hashes."""
+        if not self.words:
+            return texts
+        hashes, _, _, n = word_places(texts)
+        return np.split(hashes, np.cumsum(n)[:-1]) if texts else []
 
-    def join(self, units: Sequence) -> bytes:
-        return b" ".join(units) if self.words else units
-
-    def letters(self, parts: list) -> np.ndarray:
+    def letters(self, parts: list[Sequence]) -> np.ndarray:
         """A 64-bit number for each unit of all parts, one after the other."""
         if self.words:
-            flat = itertools.chain.from_iterable(parts)
-            return np.fromiter(map(xxhash.xxh3_64_intdigest, flat), dtype=np.uint64, count=sum(map(len, parts)))
+            return np.concatenate([np.zeros(0, np.uint64), *parts])
         return _LETTERS[np.frombuffer(b"".join(parts), dtype=np.uint8)]
 
-    def symbols(self, parts: list) -> np.ndarray:
+    def symbols(self, parts: list[Sequence]) -> np.ndarray:
         """As ``letters``, but small numbers that only equal units share."""
         if self.words:
-            known: dict[bytes, int] = {}
-            return np.array([known.setdefault(w, len(known)) for w in itertools.chain.from_iterable(parts)], dtype=np.int64)
+            return np.unique(self.letters(parts), return_inverse=True)[1]
         return np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.int64)
 
 
@@ -115,6 +114,47 @@ def window_hashes(letters: np.ndarray, length: int) -> np.ndarray:
     return mix((sums[length:] - sums[:n]) * _power(_INVERSE, n))
 
 
+def word_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end in its text of every word of all texts, one after the other, and
+    the number of words of each text."""
+    n = np.zeros(len(texts), dtype=np.int64)
+    found: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+
+    def flush() -> None:
+        nonlocal held, size
+        data = np.frombuffer(b" " + b" ".join(part for *_, part in held) + b" ", dtype=np.uint8)
+        blank = _IS_BLANK[data]
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        start, end = edges[::2], edges[1::2]
+        begins = np.cumsum([1, *(len(part) + 1 for *_, part in held)])
+        words = np.diff(np.searchsorted(start, begins))
+        np.add.at(n, [text for text, *_ in held], words)
+        shift = np.repeat(begins[:-1] - [offset for _, offset, _ in held], words)
+        sums = prefix_hash(_LETTERS[data])
+        for out, value in zip(found, (substring_hash(sums, start, end - start), start - shift, end - shift)):
+            out.append(value)
+        held, size = [], 0
+
+    for i, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            stop = len(text)
+            if stop - at > _BUFFER:  # a long text is cut at a blank
+                cut = _BLANK.search(text, at + _BUFFER)
+                stop = cut.start() if cut else stop
+            held.append((i, at, text[at:stop]))
+            size += stop - at
+            at = stop
+            if size >= _BUFFER:
+                flush()
+    if held:
+        flush()
+    hashes, starts, ends = map(np.concatenate, found)
+    return hashes, starts, ends, n
+
+
 def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
     """Least of each ``width`` neighbouring keys, from running minima of blocks."""
     n = len(keys) - width + 1
@@ -126,7 +166,7 @@ def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def anchors(texts: list[bytes], unit: Unit = BYTES) -> list[tuple[np.ndarray, np.ndarray]]:
+def anchors(texts: list[Sequence], unit: Unit = BYTES) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text, where runs of windows with one anchor begin and the anchors' hashes."""
     out: list[tuple[list, list]] = [([], []) for _ in texts]
     held: list[tuple[int, int, Sequence]] = []
@@ -152,8 +192,7 @@ def anchors(texts: list[bytes], unit: Unit = BYTES) -> list[tuple[np.ndarray, np
                 begin += len(part)
         held, size = [], 0
 
-    for i, text in enumerate(texts):
-        whole = unit.of(text)
+    for i, whole in enumerate(texts):
         for offset in range(0, max(0, len(whole) - unit.length + 1), most):
             part = whole[offset : offset + most + unit.length - 1]
             held.append((i, offset, part))
@@ -165,29 +204,31 @@ def anchors(texts: list[bytes], unit: Unit = BYTES) -> list[tuple[np.ndarray, np
     return [(np.concatenate(s), np.concatenate(h)) if s else none for s, h in out]
 
 
-def describe(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
-    """doc_id, text_hash, size in units, and each run's first window and anchor hash."""
-    fields = [("doc_id", pa.int64()), ("text_hash", pa.binary()), ("size", pa.int64())]
-    schema = pa.schema([*fields, ("starts", pa.list_(pa.int64())), ("anchors", pa.list_(pa.int64()))])
+def describe(docs: DataFrame, words: Unit | None = None) -> DataFrame:
+    """doc_id, text_hash, size in bytes, and each run's first window and anchor hash; with
+    ``words`` also word_size, word_starts and word_anchors."""
+    fields = [("doc_id", pa.int64()), ("text_hash", pa.binary())]
+    names = {"": BYTES} | ({"word_": words} if words else {})
+    for p in names:
+        fields += [(f"{p}size", pa.int64()), (f"{p}starts", pa.list_(pa.int64())), (f"{p}anchors", pa.list_(pa.int64()))]
+    schema = pa.schema(fields)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 texts = texts_of(part)
-                found = anchors(texts, unit)
-                yield rows(
-                    schema,
-                    doc_id=part.column("doc_id"),
-                    text_hash=[hashlib.md5(t).digest() for t in texts],
-                    size=[len(unit.of(t)) for t in texts],
-                    starts=[s for s, _ in found],
-                    anchors=[h.view(np.int64) for _, h in found],
-                )
+                got = {"doc_id": part.column("doc_id"), "text_hash": [hashlib.md5(t).digest() for t in texts]}
+                for p, unit in names.items():
+                    split = unit.split(texts)
+                    found = anchors(split, unit)
+                    got[f"{p}size"] = [len(t) for t in split]
+                    got[f"{p}starts"] = [s for s, _ in found]
+                    got[f"{p}anchors"] = [h.view(np.int64) for _, h in found]
+                yield rows(schema, **got)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(
-        work, "doc_id long, text_hash binary, size long, starts array<long>, anchors array<long>"
-    )
+    each = ", ".join(f"{p}size long, {p}starts array<long>, {p}anchors array<long>" for p in names)
+    return texts.mapInArrow(work, f"doc_id long, text_hash binary, {each}")
 
 
 def _spans_schema() -> pa.Schema:
@@ -232,6 +273,7 @@ def maximal_repeats(
     prefix = common_prefixes(prefix_hash(mix(symbols.astype(np.uint64) + np.uint64(1))), order, rest)
     left = symbols[order - 1]
     left = np.where(order == begins[owner[order]], -1 - np.arange(len(order)), left)
+    changes = np.concatenate([[0], np.cumsum(left[1:] != left[:-1])])
     stack: list[tuple[int, int]] = []  # open intervals: first slot and common prefix
     deep = np.concatenate([[False], prefix >= least, [False]])
     for slot in np.flatnonzero(deep[1:] | deep[:-1]).tolist():  # others neither open nor close one
@@ -240,7 +282,7 @@ def maximal_repeats(
         while stack and stack[-1][1] > here:
             first, length = stack.pop()
             mine = slice(first, slot)
-            if (left[mine] != left[first]).any():
+            if changes[slot - 1] != changes[first]:
                 at = order[mine]
                 yield owner[at], at - begins[owner[at]], length
         if here >= least and (not stack or stack[-1][1] < here):
@@ -252,7 +294,7 @@ def repeats(
 ) -> tuple[list, list, list]:
     """Spans (text, start, end) of the repeated windows of some runs: ``joined[i]`` stands at
     ``starts[i]`` of the text named ``texts[i]``."""
-    strings, length = [unit.of(s) for s in joined], unit.length
+    strings, length = unit.split(joined), unit.length
     sizes = np.array([len(s) for s in strings])
     begins = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(strings)), sizes - length + 1)
@@ -270,54 +312,77 @@ def repeats(
     edge[:-1] = (owner[1:] != owner[:-1]) | ~twice[1:]
     last = np.flatnonzero(twice & edge)
     places: dict[bytes, list[tuple[bytes, int]]] = {}
-    for s, e in zip(first.tolist(), last.tolist()):
-        i, low = owner[s], int(at[s] - begins[owner[s]])
-        text = unit.join(strings[i][low : low + e - s + length])
-        places.setdefault(text, []).append((texts[i], starts[i] + low))
-    distinct = list(places)
+    apart: list[Sequence] = []  # the distinct strings
+    for s, e, i, low in zip(first.tolist(), last.tolist(), owner[first].tolist(), (at - begins[owner])[first].tolist()):
+        string = strings[i][low : low + e - s + length]
+        mine = places.setdefault(string.tobytes() if unit.words else string, [])
+        if not mine:
+            apart.append(string)
+        mine.append((texts[i], starts[i] + low))
     # Spans within each distinct string; one that is found twice repeats as a whole.
-    apart = [unit.of(d) for d in distinct]
-    inside: list[list[tuple[int, int]]] = [[(0, len(a))] if len(places[d]) > 1 else [] for d, a in zip(distinct, apart)]
-    if distinct:
+    often = [k for k, p in enumerate(places.values()) if len(p) > 1]
+    spans = [(np.array(often, np.int64), np.zeros(len(often), np.int64), np.array([len(apart[k]) for k in often], np.int64))]
+    if apart:
         for which, offsets, common in maximal_repeats(apart, length, unit):
-            for k, offset in zip(which.tolist(), offsets.tolist()):
-                inside[k].append((offset, offset + common))
+            spans.append((which, offsets, offsets + common))
+    which, low, high = (np.concatenate(c) for c in zip(*spans))
+    inside: list[list[tuple[int, int]]] = [[] for _ in apart]
+    for k, s, e in zip(*(c.tolist() for c in union(which, low, high))):
+        inside[k].append((s, e))
     found: tuple[list, list, list] = ([], [], [])
-    for text, spans in zip(distinct, inside):
-        for s, e in merge(spans):
-            for name, start in places[text]:
+    for mine, here in zip(places.values(), inside):
+        for s, e in here:
+            for name, start in mine:
                 found[0].append(name)
                 found[1].append(start + s)
                 found[2].append(start + e)
     return found
 
 
-def find_repeats(runs: DataFrame, unit: Unit = BYTES) -> DataFrame:
-    """Spans of the repeated windows of ``runs`` (anchor, text_hash, start, string)."""
+def union(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping and touching spans (low, high) of the same ``which`` become one."""
+    if not len(which):
+        return which, low, high
+    wide = int(high.max()) + 1
+    order = np.argsort(which * wide + low, kind="stable")
+    first, last = (which * wide + low)[order], (which * wide + high)[order]
+    reach = np.maximum.accumulate(last)
+    new = np.concatenate([[True], first[1:] > reach[:-1]])
+    begin = np.flatnonzero(new)
+    end = reach[np.concatenate([begin[1:] - 1, [len(first) - 1]])]
+    return first[begin] // wide, first[begin] % wide, end % wide
+
+
+def find_repeats(runs: DataFrame, words: Unit | None = None) -> DataFrame:
+    """Spans of the repeated windows of ``runs`` (anchor, text_hash, start, string, and words:
+    whether it is a run of words)."""
+    schema = _spans_schema().append(pa.field("words", pa.bool_()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[bytes, int], bytes] = {}
+        held: dict[tuple[bool, bytes, int], bytes] = {}
         size, anchor = 0, None
         for batch in batches:
-            for h, text, start, string in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for h, text, start, string, kind in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if h != anchor and size >= _BUFFER:  # an anchor's runs stay together
-                    yield flush(held)
+                    yield from flush(held)
                     held, size = {}, 0
                 anchor = h
-                if (text, start) not in held:
-                    held[text, start] = string
+                if (kind, text, start) not in held:
+                    held[kind, text, start] = string
                     size += len(string)
         if held:
-            yield flush(held)
+            yield from flush(held)
 
-    def flush(held: dict[tuple[bytes, int], bytes]) -> pa.RecordBatch:
-        found = repeats([t for t, _ in held], [s for _, s in held], list(held.values()), unit)
-        return rows(_spans_schema(), text_hash=found[0], start=found[1], end=found[2])
+    def flush(held: dict[tuple[bool, bytes, int], bytes]) -> Iterator[pa.RecordBatch]:
+        for kind in (False, True):
+            if mine := [k for k in held if k[0] == kind]:
+                found = repeats([t for _, t, _ in mine], [s for *_, s in mine], [held[k] for k in mine], words if kind else BYTES)
+                yield rows(schema, text_hash=found[0], start=found[1], end=found[2], words=[kind] * len(found[0]))
 
-    dealt = runs.select("anchor", "text_hash", "start", "string").repartition(
+    dealt = runs.select("anchor", "text_hash", "start", "string", "words").repartition(
         shuffle_partitions(runs.sparkSession), "anchor"
     )
-    return dealt.sortWithinPartitions("anchor", "text_hash", "start").mapInArrow(work, _SPANS)
+    return dealt.sortWithinPartitions("anchor", "text_hash", "start").mapInArrow(work, f"{_SPANS}, words boolean")
 
 
 def count_windows(runs: DataFrame, bucket_bytes: int = 32 << 20, unit: Unit = BYTES) -> DataFrame:
@@ -334,8 +399,8 @@ def count_windows(runs: DataFrame, bucket_bytes: int = 32 << 20, unit: Unit = BY
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "string"):
-                strings = part.column("string").to_pylist()
-                hashes = [window_hashes(unit.letters([unit.of(s)]), unit.length) for s in strings]
+                strings = unit.split(part.column("string").to_pylist())
+                hashes = [window_hashes(unit.letters([s]), unit.length) for s in strings]
                 value, n = np.unique(np.concatenate(hashes), return_counts=True)
                 bucket = (value >> np.uint64(64 - bits)).astype(np.int64)
                 cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]]).tolist()
@@ -372,8 +437,9 @@ def mark_windows(
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for text, start, string in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                    hashes = window_hashes(unit.letters([unit.of(string)]), unit.length).view(np.int64)
+                names, starts, strings = (batch.column(k).to_pylist() for k in range(3))
+                for text, start, string in zip(names, starts, unit.split(strings)):
+                    hashes = window_hashes(unit.letters([string]), unit.length).view(np.int64)
                     at = start + np.arange(len(hashes))
                     yield rows(schema, text_hash=[text] * len(at), start=at, window=hashes)
 
@@ -393,8 +459,9 @@ def mark_windows(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: tuple[list, list, list] = ([], [], [])
-            for text, start, string in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                hashes = window_hashes(unit.letters([unit.of(string)]), unit.length).view(np.int64)
+            names, starts, strings = (batch.column(k).to_pylist() for k in range(3))
+            for text, start, string in zip(names, starts, unit.split(strings)):
+                hashes = window_hashes(unit.letters([string]), unit.length).view(np.int64)
                 slot = np.minimum(np.searchsorted(shared.value, hashes), max(0, len(shared.value) - 1))
                 hit = shared.value[slot] == hashes if len(shared.value) else np.zeros(len(hashes), bool)
                 edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
@@ -407,22 +474,28 @@ def mark_windows(
     return runs.select("text_hash", "start", "string").mapInArrow(work, _SPANS)
 
 
-def read_runs(docs: DataFrame, wanted: DataFrame, unit: Unit = BYTES) -> DataFrame:
+def read_runs(docs: DataFrame, wanted: DataFrame, words: Unit | None = None) -> DataFrame:
     """The strings of the wanted runs (doc_id, text_hash, runs of anchor, start, last window,
-    hot): one row a run, read from the document that stands for its text."""
+    hot and, with ``words``, words): one row a run, read from the document that stands for its
+    text; runs of words from the first word's first byte to the last one's end."""
     fields = [("anchor", pa.int64()), ("text_hash", pa.binary()), ("start", pa.int64()), ("hot", pa.bool_())]
-    schema = pa.schema([*fields, ("string", pa.binary())])
+    schema = pa.schema([*fields, ("string", pa.binary()), *([("words", pa.bool_())] if words else [])])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 out: dict[str, list] = {f.name: [] for f in schema}
                 size = 0
-                for text, name, runs in zip(*(part.column(c).to_pylist() for c in ("text", "text_hash", "runs"))):
-                    whole = unit.of(text)
+                texts = part.column("text").to_pylist()
+                _, first, end, n = word_places(texts if words else [])
+                begins = np.cumsum(n) - n if words else [0] * len(texts)
+                for text, begin, name, runs in zip(texts, begins, part.column("text_hash").to_pylist(), part.column("runs").to_pylist()):
                     for run in runs:
-                        string = unit.join(whole[run["start"] : run["last"] + unit.length])
-                        for f, v in zip(out, (run["anchor"], name, run["start"], run["hot"], string)):
+                        if words and run["words"]:
+                            string = text[first[begin + run["start"]] : end[begin + run["last"] + words.length - 1]]
+                        else:
+                            string = text[run["start"] : run["last"] + LENGTH]
+                        for f, v in zip(out, (run["anchor"], name, run["start"], run["hot"], string, run.get("words"))):
                             out[f].append(v)
                         size += len(string)
                         if size > 4 * _BUFFER:
@@ -435,49 +508,66 @@ def read_runs(docs: DataFrame, wanted: DataFrame, unit: Unit = BYTES) -> DataFra
     texts = texts.withColumn("_name", F.unhex(F.md5("text")))
     same = texts["doc_id"].eqNullSafe(wanted["stands"]) & (texts["_name"] == wanted["text_hash"])
     return texts.join(wanted, same).select("text", "text_hash", "runs").mapInArrow(
-        work, "anchor long, text_hash binary, start long, hot boolean, string binary"
+        work, "anchor long, text_hash binary, start long, hot boolean, string binary" + ", words boolean" * bool(words)
     )
 
 
 def removal_spans(
-    docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int = 100_000, unit: Unit = BYTES
+    docs: DataFrame, hot_runs: int = 1_000, broadcast_rows: int = 100_000, words: Unit | None = None
 ) -> DataFrame:
     """text_hash, whole (every byte goes) and spans (start, end; they may overlap) of the texts
-    of which something is removed."""
-    described = store(describe(docs, unit), "anchors")
+    of which something is removed. With ``words`` also whole_words (the number of words of a
+    text that repeats as a whole) and words (spans of words)."""
+    described = store(describe(docs, words), "anchors")
+    names = {"": BYTES} | ({"word_": words} if words else {})
     texts = store(
         described.groupBy("text_hash").agg(
             F.count("*").alias("copies"),
             F.min("doc_id").alias("stands"),
-            F.first("size").alias("size"),
-            F.first("starts").alias("starts"),
-            F.first("anchors").alias("anchors"),
+            *[F.first(p + c).alias(p + c) for p in names for c in ("size", "starts", "anchors")],
         ),
         "texts",
     )
-    last = F.concat(F.transform(F.slice("starts", 2, F.size("starts")), lambda s: s - 1), F.array(F.col("size") - unit.length))
-    zipped = F.arrays_zip(F.col("anchors").alias("anchor"), F.col("starts").alias("start"), last.alias("last"))
-    each = texts.filter(F.size("starts") > 0).select("text_hash", "stands", F.explode(zipped).alias("r"))
-    each = each.select("text_hash", "stands", "r.*")
+
+    def runs_of(p: str, unit: Unit) -> Column:
+        starts = F.col(f"{p}starts")
+        last = F.concat(F.transform(F.slice(starts, 2, F.size(starts)), lambda s: s - 1), F.array(F.col(f"{p}size") - unit.length))
+        zipped = F.arrays_zip(F.col(f"{p}anchors").alias("anchor"), starts.alias("start"), last.alias("last"))
+        mine = F.transform(
+            zipped, lambda r: F.struct(r["anchor"].alias("anchor"), r["start"].alias("start"), r["last"].alias("last"), F.lit(unit.words).alias("words"))
+        )
+        return F.when(F.size(starts) > 0, mine)
+
+    none = F.array().cast("array<struct<anchor: bigint, start: bigint, last: bigint, words: boolean>>")
+    found = F.concat(*[F.coalesce(runs_of(p, u), none) for p, u in names.items()])
+    each = texts.select("text_hash", "stands", F.explode(found).alias("r")).select("text_hash", "stands", "r.*")
     repeated = store(each.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "repeated-anchors")
     side = F.broadcast(repeated) if repeated.count() <= broadcast_rows else repeated
-    run = F.struct("anchor", "start", "last", (F.col("n") > hot_runs).alias("hot"))
+    run = F.struct("anchor", "start", "last", (F.col("n") > hot_runs).alias("hot"), "words")
     wanted = store(
         each.join(side, "anchor").groupBy("text_hash").agg(F.first("stands").alias("stands"), F.collect_list(run).alias("runs")),
         "wanted-runs",
     )
     path = new_dir(docs.sparkSession, "runs")
-    runs = read_runs(docs, wanted, unit)
-    runs.write.partitionBy("hot").parquet(path)
+    runs = read_runs(docs, wanted, words)
+    if not words:
+        runs = runs.withColumn("words", F.lit(False))
+    runs.write.partitionBy("hot", "words").parquet(path)
     runs = docs.sparkSession.read.schema(runs.schema).parquet(path)
-    hot = runs.filter("hot")
-    spans = find_repeats(runs.filter("not hot"), unit)
-    if hot.limit(1).count():
-        often = store(count_windows(hot, unit=unit), "repeated-windows")
-        spans = spans.unionByName(mark_windows(hot, often, unit=unit))
-    mine = spans.groupBy("text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    whole = texts.filter((F.col("copies") > 1) & (F.col("size") >= unit.length)).select("text_hash", F.lit(True).alias("whole"))
-    return mine.join(whole, "text_hash", "full")
+    spans = find_repeats(runs.filter("not hot"), words)
+    for unit in names.values():
+        hot = runs.filter("hot").filter(F.col("words") == unit.words)
+        if hot.limit(1).count():
+            often = store(count_windows(hot, unit=unit), "repeated-windows")
+            spans = spans.unionByName(mark_windows(hot, often, unit=unit).withColumn("words", F.lit(unit.words)))
+    span = F.struct("start", "end")
+    kinds = {"spans": ~F.col("words")} | ({"words": F.col("words")} if words else {})
+    mine = spans.groupBy("text_hash").agg(*[F.collect_list(F.when(mine, span)).alias(c) for c, mine in kinds.items()])
+    whole = {"whole": F.when(F.col("size") >= LENGTH, True)}
+    if words:
+        whole["whole_words"] = F.when(F.col("word_size") >= words.length, F.col("word_size"))
+    copied = texts.filter("copies > 1").select("text_hash", *[v.alias(c) for c, v in whole.items()])
+    return mine.join(copied.dropna("all", subset=list(whole)), "text_hash", "full")
 
 
 def remove(
@@ -486,22 +576,21 @@ def remove(
     broadcast_rows: int = 100_000,
     characters: bool = False,
     words: int | None = None,
+    count: bool = False,
 ) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and, instead of the text, ``kept`` (its remaining
     bytes; null for a null text). With ``characters``, characters of which a byte goes go as
-    a whole. With ``words``, runs of so many words that repeat go besides."""
-    spans = store(removal_spans(docs, hot_runs, broadcast_rows), "removal-spans")
-    if words:
-        unit = Unit(words, max(1, words // 4), True)
-        more = store(removal_spans(docs, hot_runs, broadcast_rows, unit), "removal-words")
-        more = more.withColumnsRenamed({"whole": "whole_words", "spans": "words"})
-        spans = spans.join(more, "text_hash", "full")
-    else:
-        spans = spans.withColumns({"whole_words": F.lit(None).cast("boolean"), "words": F.lit(None).cast(spans.schema["spans"].dataType)})
+    a whole. With ``words``, runs of so many words that repeat go besides; with ``count`` they
+    stay and n_passage_words has the number of their words."""
+    unit = Unit(words, max(1, words // 4), True) if words else None
+    spans = store(removal_spans(docs, hot_runs, broadcast_rows, unit), "removal-spans")
+    if not words:
+        spans = spans.withColumns({"whole_words": F.lit(None).cast("long"), "words": F.lit(None).cast(spans.schema["spans"].dataType)})
     names = {"text_hash": "_removal_of", "whole": "_removal_whole", "spans": "_removal_spans"}
     spans = spans.withColumnsRenamed(names | {"whole_words": "_removal_whole_words", "words": "_removal_words"})
     taken = ("_removal_text", "_removal_whole", "_removal_spans", "_removal_whole_words", "_removal_words")
-    added = [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())]
+    counted = ("n_bytes", "n_removed", "n_spans", *["n_passage_words"] * count)
+    added = [StructField(c, LongType()) for c in counted] + [StructField("kept", BinaryType())]
     mine = docs.withColumnRenamed("text", taken[0]).withColumn(taken[0], F.col(taken[0]).cast("binary"))
     mine = mine.drop(*(f.name for f in added))
     schema = StructType([*(f for f in mine.schema.fields if f.name != taken[0]), *added])
@@ -513,8 +602,11 @@ def remove(
                 got: dict[str, list] = {f.name: [] for f in added}
                 for text, whole, spans, whole_words, apart in zip(*(part.column(c).to_pylist() for c in taken)):
                     size = len(text or b"")
-                    gone = [(0, size)] if whole or whole_words else [(s["start"], s["end"]) for s in spans or []]
-                    if apart:
+                    gone = [(0, size)] if whole or whole_words and not count else [(s["start"], s["end"]) for s in spans or []]
+                    if count:
+                        runs = merge([(s["start"], s["end"]) for s in apart or []])
+                        got["n_passage_words"].append(whole_words or sum(e - s for s, e in runs))
+                    elif apart:
                         at = [w.span() for w in _WORD.finditer(text)]
                         gone += [(at[s["start"]][0], at[s["end"] - 1][1]) for s in apart]
                     gone = merge(gone)
